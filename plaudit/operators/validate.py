@@ -39,6 +39,24 @@ def checked(values: Mapping[str, Column], contract: StructType) -> tuple[dict[st
     return columns, faults
 
 
+def native_faults(
+    contract: StructType, values: Mapping[str, Column], raw: Mapping[str, Column], broken: Mapping[str, Column]
+) -> list[Column]:
+    """Faults of fields that were parsed straight to their types.
+
+    For messages written by a typed source. ``raw`` is the field's JSON text, read only where the
+    parser marked the message ``broken`` and the value is null.
+    """
+    faults = []
+    for field in contract.fields:
+        name = field.name
+        fault = F.when(values[name].isNull() & broken[name] & raw[name].isNotNull(), F.lit(f"bad_type:{name}"))
+        if not field.nullable:
+            fault = F.coalesce(fault, F.when(values[name].isNull(), F.lit(f"missing_required:{name}")))
+        faults.append(fault)
+    return faults
+
+
 def accepted(parsed: DataFrame, contract: StructType) -> DataFrame:
     return parsed.where(F.col("reason").isNull()).select(*contract.fieldNames())
 
