@@ -90,6 +90,8 @@ class StreamConfig:
     # When given, only these products fan out and all others use a single state group.
     hot_products: tuple[str, ...] | None = None
     state_partitions: int = 200
+    # Reviews of one group that a task holds in memory before it parks them in state.
+    held_reviews: int = 5_000
     # Optional expiry of state in milliseconds; None keeps waiting reviews for ever.
     state_ttl_ms: int | None = None
     # Records per file of the cold archive.

@@ -13,6 +13,18 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def spread_scan(rows: DataFrame, *columns: str) -> DataFrame:
+    """Shuffle a scan that has fewer splits than the cluster has cores; leave any other as it is.
+
+    A file of one row group is read by one task, which then also does all work up to the next
+    shuffle. ``columns`` should tell rows apart, so that no key gathers.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        return rows.repartition(cores, *columns)
+    return rows
+
+
 def read_parsed(spark: SparkSession, path: str, contract: StructType, fmt: str = "parquet") -> DataFrame:
     """The accepted rows; the partition filter keeps rejected files from being opened."""
     return read_table(spark, path, fmt).where("status = 'valid'").select(*contract.fieldNames())
@@ -37,8 +49,13 @@ def read_merge_data(spark: SparkSession, config: LakeConfig) -> DataFrame:
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Name a lake folder in the catalog so that any SQL can reach it."""
+    """Name a lake folder in the catalog so that any SQL can reach it.
+
+    Registering again picks up slices written since.
+    """
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
+    if fmt != "delta" and any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
 def read_merge(spark: SparkSession, config: LakeConfig) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from plaudit.config import StreamConfig
 from plaudit.contracts import METADATA, REVIEWS
+from plaudit.sources.lake import spread_scan
 from plaudit.streaming.messages import MESSAGE
 
 _STARS = "(1 + CAST(l_quantity AS INT) % 5)"
@@ -131,6 +132,7 @@ def _columns(expressions: dict[str, str]) -> list:
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    lines = spread_scan(lines, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
