@@ -69,8 +69,8 @@ class LakeConfig:
 class StreamConfig:
     """Settings of the change-stream jobs.
 
-    ``lanes`` and ``state_partitions`` are part of the state layout and must not change for the
-    life of a checkpoint.
+    ``state_buckets``, ``lanes``, the hot products and ``state_partitions`` are part of the state layout and must not
+    change for the life of a checkpoint.
     """
 
     source: str = "files"  # or "kafka" when its jar is on the classpath
@@ -85,13 +85,16 @@ class StreamConfig:
     trigger: str | None = "3 minutes"  # None: drain what is there, then stop
     max_offsets_per_trigger: int = 50_000_000
     max_files_per_trigger: int = 1_000
-    # Reviews of one product are spread over this many state groups; every item goes to all of them.
+    # State is kept per bucket of products; a micro-batch brings each bucket its share of rows.
+    state_buckets: int = 16_384
+    # Reviews of a hot product are spread over this many buckets; its items go to all of them.
     lanes: int = 16
-    # When given, only these products fan out and all others use a single state group.
-    hot_products: tuple[str, ...] | None = None
+    # A product with more than this share of the reviews is hot. Measured at the first start and kept
+    # with the checkpoint. None: every product is spread, for feeds without a history to measure.
+    hot_share: float | None = 0.002
     state_partitions: int = 200
-    # Reviews of one group that a task holds in memory before it parks them in state.
-    held_reviews: int = 5_000
+    # Reviews of one bucket that a task holds in memory before it parks them in state.
+    held_reviews: int = 10_000
     # Optional expiry of state in milliseconds; None keeps waiting reviews for ever.
     state_ttl_ms: int | None = None
     # Records per file of the cold archive.

@@ -110,6 +110,27 @@ FOREIGN_KEYS = [
     ("fact_reviews", "time_id", "dim_time"),
 ]
 
+# Raw key behind each review and item column; item attributes are nested in raw lines, and plain
+# columns in change rows.
+REVIEW_KEYS = {
+    "rating": "rating",
+    "review_title": "title",
+    "review_text": "text",
+    "product_id": "asin",
+    "parent_product_id": "parent_asin",
+    "user_id": "user_id",
+    "timestamp": "timestamp",
+    "helpful_vote": "helpful_vote",
+    "verified_purchase": "verified_purchase",
+}
+ITEM_KEYS = {
+    "category": "main_category",
+    "product_title": "title",
+    "price": "price",
+    "store": "store",
+}
+DETAIL_KEYS = ("brand", "material", "style", "color")
+
 _AVRO_TO_SPARK = {
     "boolean": T.BooleanType(),
     "int": T.IntegerType(),

@@ -5,6 +5,7 @@ import random
 from itertools import count
 
 import pytest
+from pyspark.sql import functions as F
 
 from plaudit.config import LakeConfig, StreamConfig
 from plaudit.contracts import MERGE
@@ -12,11 +13,11 @@ from plaudit.operators.validate import accepted
 from plaudit.session import scratch_path
 from plaudit.sources import lake
 from plaudit.streaming import codec, jobs
-from plaudit.streaming.merge import merged_rows, spread
+from plaudit.streaming.merge import hot_products, merged_rows, spread
 from plaudit.streaming.changes import events, parse_changes
 from plaudit.streaming.messages import MESSAGE, kafka_sink_options, kafka_source_options
 
-CONFIG = StreamConfig(trigger=None, lanes=3, state_partitions=4)
+CONFIG = StreamConfig(trigger=None, state_buckets=7, lanes=3, state_partitions=4, hot_share=None)
 
 
 def review(key, name, ts, **changes):
@@ -100,20 +101,42 @@ def test_random_interleavings(spark):
 
 def test_reviews_beyond_a_chunk_are_parked(spark):
     """More reviews of a group in one batch than are held in memory, with and without an item."""
-    config = StreamConfig(trigger=None, lanes=1, state_partitions=2, held_reviews=4)
+    config = StreamConfig(trigger=None, lanes=2, state_partitions=2, held_reviews=4, hot_share=None)
     first = [review("P", f"r{i:03}", i) for i in range(30)]
     second = [review("P", f"r{i:03}", i) for i in range(30, 60)] + [item("P", "m1", 45), item("P", "m2", 50)]
     assert run_merge(spark, [first, second], config) == sequential([first, second])
 
 
+def _hot_feed():
+    return ([item("hot", "m", 1), item("cold", "m", 1)] + [review("hot", f"r{i}", 2) for i in range(200)]
+            + [review(f"P{i}", f"q{i}", 2) for i in range(300)])
+
+
 def test_only_hot_products_fan_out(spark):
-    config = StreamConfig(lanes=5, hot_products=("hot",))
-    messages = [item("hot", "m", 1), item("cold", "m", 1)] + [review("hot", f"r{i}", 2) for i in range(200)]
-    rows = spread(events(parse_changes(spark.createDataFrame(messages, MESSAGE), config)), config)
-    lanes = {(r.parent_asin, r.is_review): r.n for r in rows.groupBy("parent_asin", "is_review").agg(
-        {"lane": "count"}).withColumnRenamed("count(lane)", "n").collect()}
-    assert lanes == {("hot", False): 5, ("cold", False): 1, ("hot", True): 200}
-    assert rows.where("is_review").select("lane").distinct().count() == 5
+    changes = events(parse_changes(spark.createDataFrame(_hot_feed(), MESSAGE), CONFIG))
+    assert hot_products(changes, 0.3) == ["hot"]
+    assert hot_products(changes, 0.5) == []
+    rows = spread(changes, StreamConfig(lanes=5), ["hot"])
+    copies = {(r.parent_asin, r.is_review): r.n for r in rows.groupBy("parent_asin", (F.col("rank") < 0).alias("is_review")).agg(
+        F.count("bucket").alias("n")).collect()}
+    assert copies["hot", False] == 5 and copies["cold", False] == 1
+    assert copies["hot", True] == 200 and copies["P7", True] == 1
+    used = rows.where("rank < 0").groupBy("parent_asin").agg(F.countDistinct("bucket").alias("n"))
+    assert {r.n for r in used.where("parent_asin = 'hot'").collect()} == {5}
+    assert {r.n for r in used.where("parent_asin <> 'hot'").collect()} == {1}
+
+
+def test_hot_products_are_kept_with_the_checkpoint(spark):
+    """Measured at the first start; a later delivery that is hot itself does not change the layout."""
+    config = StreamConfig(trigger=None, lanes=3, state_partitions=2, hot_share=0.3)
+    lake_config = LakeConfig(root=scratch_path(spark, "hot-test"))
+    feed = f"{lake_config.root}/feed"
+    write(spark, _hot_feed(), f"{feed}/0")
+    assert jobs.layout_products(spark, lake_config, config, feed) == ["hot"]
+    write(spark, [review("other", f"r{i}", 3) for i in range(900)], f"{feed}/1")
+    assert jobs.layout_products(spark, lake_config, config, feed) == ["hot"]
+    deliveries = [_hot_feed(), [review("hot", "late", 5), item("P1", "m", 4), item("hot", "m2", 6)]]
+    assert run_merge(spark, deliveries, config) == sequential(deliveries)
 
 
 def test_rejected_changes(spark):
