@@ -15,7 +15,7 @@ from plaudit.operators import checks, enrich, ingest
 from plaudit.operators.sinks import write_merge_data, write_table
 from plaudit.operators.validate import accepted, rejected
 from plaudit.plans import batch, gold, silver
-from plaudit.session import scratch_path
+from plaudit.session import scratch_path, tune
 from plaudit.sources import lake, starschema
 from plaudit.sources.lines import is_item_file, read_lines
 from plaudit.streaming import changes, codec, jobs
@@ -296,7 +296,11 @@ def cdc_archive(spark, sf_dir):
     return spark.read.text(config.archive).select("topic", "partition", "value")
 
 
-QUERIES: dict[str, Query] = {
+def _tuned(query: Query) -> Query:
+    return lambda spark, sf_dir: query(tune(spark), sf_dir)
+
+
+_QUERIES: dict[str, Query] = {
     "silver_reviews": silver_reviews,
     "silver_metadata": silver_metadata,
     "quarantine_reviews": quarantine_reviews,
@@ -343,3 +347,5 @@ QUERIES: dict[str, Query] = {
     "stream_to_lake": stream_to_lake,
     "cdc_archive": cdc_archive,
 }
+
+QUERIES: dict[str, Query] = {name: _tuned(query) for name, query in _QUERIES.items()}

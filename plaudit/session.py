@@ -8,17 +8,21 @@ from functools import cache
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
+# Settings that results or scale depend on; they can be applied to a session that already runs.
+RUNTIME = {
     # Epoch and calendar functions must not depend on the machine.
     "spark.sql.session.timeZone": "UTC",
     # Skewed join partitions are split and tiny ones merged at run time.
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also when the rows are then grouped by the join key, at the price of one more shuffle of
+    # partial aggregates; otherwise a hot product would be joined and grouped in one task.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A write split in valid and rejected rows keeps both files open instead of sorting each task.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
-    "spark.ui.enabled": "false",
 }
+SETTINGS = {**RUNTIME, "spark.ui.enabled": "false"}
 
 ROCKSDB_STATE = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -37,10 +41,15 @@ def build_session(master: str | None = None, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def stateful_session(spark: SparkSession, state_partitions: int) -> SparkSession:
     """A sibling session with the state-store settings, so the caller's session stays untouched."""
-    child = spark.newSession()
-    child.conf.set("spark.sql.session.timeZone", "UTC")
+    child = tune(spark.newSession())
     for key, value in ROCKSDB_STATE.items():
         child.conf.set(key, value)
     child.conf.set("spark.sql.shuffle.partitions", str(state_partitions))

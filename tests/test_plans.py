@@ -9,7 +9,7 @@ from plaudit.config import LakeConfig
 from plaudit.operators import enrich
 from plaudit.operators.sinks import write_merge_data
 from plaudit.plans import gold, registry, silver
-from plaudit.session import scratch_path
+from plaudit.session import scratch_path, tune
 from plaudit.sources import lake
 
 
@@ -66,11 +66,11 @@ def test_json_is_parsed_once(spark, sf_dir):
         assert plan(registry.QUERIES[name](spark, sf_dir)).count("from_json") == 1, name
 
 
-def test_hot_product_join_is_split(spark):
-    """A third of all reviews are of one product: the adaptive join splits its partition."""
-    session = spark.newSession()
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """Reviews of which a third are of one product, and their items, too big to broadcast."""
+    session = tune(spark.newSession())
     for key, value in {
-        "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -79,19 +79,27 @@ def test_hot_product_join_is_split(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
     }.items():
         session.conf.set(key, value)
-    n = 60_000
     key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), F.col("id") % 500))
-    reviews = session.range(0, n, 1, 8).select(
-        F.lit(4.0).cast("float").alias("rating"), F.sha2(F.col("id").cast("string"), 256).alias("review_title"),
+    reviews = session.range(0, 60_000, 1, 8).select(
+        (F.col("id") % 5).cast("float").alias("rating"), F.sha2(F.col("id").cast("string"), 256).alias("review_title"),
         F.lit("x").alias("review_text"), F.lit("a").alias("product_id"), key.alias("parent_product_id"),
         F.col("id").cast("string").alias("user_id"), F.lit(None).cast("timestamp").alias("timestamp"),
-        F.lit(1).alias("helpful_vote"), F.lit(True).alias("verified_purchase"))
+        F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("int").alias("helpful_vote"), F.lit(True).alias("verified_purchase"))
     items = reviews.select("parent_product_id").distinct().select(
         F.lit("c").alias("category"), "parent_product_id", F.lit("t").alias("product_title"),
         F.lit(1.0).cast("float").alias("price"), F.lit("s").alias("store"),
         *[F.lit(None).cast("string").alias(c) for c in ("brand", "material", "style", "color")])
     path = scratch_path(spark, "skew")
     items.write.parquet(path)
-    merged = enrich.merge_reviews(reviews, session.read.parquet(path))
-    assert len(merged.collect()) == n
-    assert "skew=true" in plan(merged)
+    return enrich.merge_reviews(reviews, session.read.parquet(path))
+
+
+def test_hot_product_join_is_split(skewed):
+    assert len(skewed.collect()) == 60_000
+    assert "skew=true" in plan(skewed)
+
+
+def test_hot_product_join_is_split_before_grouping_by_it(skewed):
+    mart = gold.mart_parent_products(skewed)
+    assert {r.parent_product_id: r.total_reviews for r in mart.collect()}["hot"] == 20_000
+    assert "skew=true" in plan(mart)
