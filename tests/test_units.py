@@ -124,7 +124,7 @@ def test_ids_are_unique_and_stable(spark, sf_dir):
 def test_union_and_dedup_of_a_hot_duplicate(spark, sf_dir):
     rows = registry.merge_data(spark, sf_dir)
     hot = rows.orderBy("review_id").limit(1)
-    copies = hot.crossJoin(spark.range(3000)).drop("id")
+    copies = hot.select("*", F.explode(F.sequence(F.lit(1), F.lit(3000))).alias("n")).drop("n")
     both = enrich.union_sources(rows, rows.unionByName(copies))
     kept = enrich.dedup_reviews(both)
     assert kept.count() == rows.count()
