@@ -2,9 +2,12 @@
 
 import json
 import random
+import subprocess
+import sys
 from itertools import count
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from plaudit.config import LakeConfig, StreamConfig
@@ -12,7 +15,7 @@ from plaudit.contracts import MERGE
 from plaudit.operators.validate import accepted
 from plaudit.session import scratch_path
 from plaudit.sources import lake
-from plaudit.streaming import codec, jobs
+from plaudit.streaming import codec, jobs, processor
 from plaudit.streaming.merge import hot_products, merged_rows, spread
 from plaudit.streaming.changes import events, parse_changes
 from plaudit.streaming.messages import MESSAGE, kafka_sink_options, kafka_source_options
@@ -215,3 +218,15 @@ def test_kafka_options():
     assert options["subscribe"] == "test.public.raw_reviews,test.public.raw_item_metadata"
     assert options["startingOffsets"] == "earliest"
     assert kafka_sink_options(config, config.merged_topic)["topic"] == "merge_metadata_reviews"
+
+
+def test_state_logic_travels_without_the_package(tmp_path):
+    """An executor that has no copy of this package can still run the merge."""
+    state = tmp_path / "processor.pickle"
+    state.write_bytes(cloudpickle.dumps(processor.MergeProcessor(None, 5)))
+    code = ("import sys, importlib.util; from pyspark import cloudpickle\n"
+            "p = cloudpickle.loads(open(sys.argv[1], 'rb').read())\n"
+            "assert importlib.util.find_spec('plaudit') is None\n"
+            "print(list(p._framed(iter([('r', 'i')])))[0].columns.tolist())")
+    done = subprocess.run([sys.executable, "-c", code, str(state)], cwd=tmp_path, capture_output=True, text=True)
+    assert "['review', 'item']" in done.stdout, done.stderr
