@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaudit.llm import contamination, simhash, substring, tokens
+from plaudit.llm import contamination, language, packing, quality, simhash, substring, tokens, toxicity
+from plaudit.llm.rows import fold
 
 DOC = F.col("doc")
 
@@ -20,6 +21,18 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the folds 0 and 2 of 3."""
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
+    model = toxicity.fitted(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return _judged(toxicity.scored(docs, model), held_out)
+
+
+def _judged(rows: DataFrame, held_out) -> DataFrame:
+    return rows.select(DOC["doc_id"].alias("doc_id"), "score").select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after later copies of 13-word passages are taken out."""
     rows = substring.without_repeats(table(spark, sf_dir, "documents"))
@@ -27,6 +40,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return packing.sequences(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain benchmark passages."""
     rows = contamination.searched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -39,6 +57,21 @@ def contaminated():
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the folds 0 and 2 of 3."""
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
+    rows = language.identified(docs, language.fitted(docs.filter(~held_out)))
+    return rows.select(DOC["doc_id"].alias("doc_id"), "lang_pred", "score").select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the folds 0, 1 and 3 of 4."""
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 4) == 2
+    model = quality.fitted(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return _judged(quality.scored(docs, model), held_out)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     rows = tokens.counted(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -52,5 +85,6 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-LLM_QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_benchmark_decontamination, op8_token_counts,
-                                       op10_simhash_near_dedup)}
+LLM_QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_substring_dedup, op3_packing, op4_benchmark_decontamination, op6_language_id,
+    op7_quality_classifier, op8_token_counts, op10_simhash_near_dedup)}

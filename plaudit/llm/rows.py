@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,3 +60,21 @@ def durable(spark: SparkSession) -> SparkSession:
 def checkpointed(frame: DataFrame) -> DataFrame:
     durable(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def fold(id: str, parts: int) -> Column:
+    """crc32 of the id as text, modulo `parts`: which fold of the labels a row belongs to."""
+    return F.crc32(F.col(id).cast("string").cast("binary")) % parts
+
+
+def sampled(rows: DataFrame, by: str, id: str, most: int) -> DataFrame:
+    """(id, by) of at most `most` rows of each value of `by`, those with the smallest hash of the id."""
+    order = Window.partitionBy(by).orderBy(F.xxhash64(id), id)
+    return (rows.select(id, by).dropna().withColumn("_rank", F.row_number().over(order))
+            .filter(F.col("_rank") <= most).drop("_rank"))
+
+
+def of_sample(docs: DataFrame, sample: DataFrame, id: str, most: int = 1_000_000) -> DataFrame:
+    """The documents of a sample. It is broadcast after its size has been checked; else Spark joins as it likes."""
+    sample = checkpointed(sample)
+    return docs.join(F.broadcast(sample) if sample.count() <= most else sample, id)
