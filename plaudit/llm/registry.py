@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaudit.llm import contamination, language, packing, quality, simhash, substring, tokens, toxicity
+from plaudit.llm import contamination, language, packing, quality, rules, simhash, substring, suffix, tokens, toxicity
 from plaudit.llm.rows import fold
 
 DOC = F.col("doc")
@@ -57,6 +57,13 @@ def contaminated():
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left after every copy of a repeated 400-byte string is taken out."""
+    rows = suffix.without_repeats(table(spark, sf_dir, "documents"))
+    return rows.select(DOC["doc_id"].alias("doc_id"), "n_bytes", "n_removed",
+                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the folds 0 and 2 of 3."""
     docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
@@ -79,6 +86,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return rules.judged(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     rows = simhash.near_copies(table(spark, sf_dir, "documents"))
@@ -86,5 +98,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_substring_dedup, op3_packing, op4_benchmark_decontamination, op6_language_id,
-    op7_quality_classifier, op8_token_counts, op10_simhash_near_dedup)}
+    op1_toxicity, op2_substring_dedup, op3_packing, op4_benchmark_decontamination, op5_suffix_array_dedup,
+    op6_language_id, op7_quality_classifier, op8_token_counts, op9_quality_rules, op10_simhash_near_dedup)}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -57,6 +58,14 @@ def durable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame written as Parquet in the checkpoint folder and read again."""
+    spark = durable(frame.sparkSession)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def checkpointed(frame: DataFrame) -> DataFrame:
     durable(frame.sparkSession)
     return frame.checkpoint(eager=True)

@@ -21,11 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plaudit.llm.components import components
-from plaudit.llm.rows import checkpointed, packed, with_columns
+from plaudit.llm.rows import checkpointed, packed, unpacked, with_columns
 from plaudit.llm.text import U64, mix
 
 SEED = 42
@@ -179,13 +179,14 @@ def links(prints: DataFrame, distance: int = 3, group: int = 512) -> DataFrame:
 
 
 def classes(prints: DataFrame, distance: int = 3, group: int = 512) -> DataFrame:
-    """(print, component_id) from rows (print, id): the smallest id reachable over links, itself included."""
+    """(print, root, component_id) from rows (print, id): the component's smallest fingerprint, and the smallest id
+    reachable over links, itself included."""
     nodes = checkpointed(prints.groupBy("print").agg(F.min("id").alias("least")))
     roots = components(links(nodes.select("print"), distance, group))
     placed = (nodes.join(roots, nodes["print"] == roots["node"], "left")
               .select("print", "least", F.coalesce("root", "print").alias("root")))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return placed.join(least, "root").select("print", "component_id")
+    return placed.join(least, "root").select("print", "root", "component_id")
 
 
 def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3,
@@ -195,3 +196,19 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle
     found = classes(prints, distance, group)
     return prints.join(found, "print").select(F.col("id").alias(id), F.col("print").alias("fingerprint"),
                                               "component_id")
+
+
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3,
+                group: int = 512) -> DataFrame:
+    """The rows of `docs` with one document of each component: the one with the smallest id, once if it is repeated. A row
+    without id stays only if its component has no id; of several the first by text."""
+    prints = checkpointed(fingerprints(docs, id, text, shingle).select(F.col("doc").getField(id).alias("id"), "print"))
+    found = checkpointed(classes(prints, distance, group))
+    chosen = found.select(F.col("component_id").alias("_chosen")).dropna().distinct()
+    named = docs.join(chosen, F.col(id) == F.col("_chosen"), "left_semi").withColumn(
+        "_rank", F.row_number().over(Window.partitionBy(id).orderBy(text)))
+    unnamed = fingerprints(docs.filter(F.col(id).isNull()), id, text, shingle, docs.columns).join(
+        found.filter("component_id is null").select("print", F.col("root").alias("_root")), "print").withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("_root").orderBy(F.col("doc").getField(text))))
+    return unpacked(packed(named.filter("_rank = 1"), docs.columns).union(
+        unnamed.filter("_rank = 1").select("doc")))

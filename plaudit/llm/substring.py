@@ -2,8 +2,7 @@
 
 Pass 1 counts, for every document, the anchors of its word windows in a count-min sketch. A window's anchor is
 the smallest hash among its inner word groups: equal windows have equal anchors, neighbours mostly share one, and so
-the sketch holds a quarter of the keys and its estimate for a window is still never too low. Each task sends its
-part of the sketch as compressed cells; the parts are merged by block of cells.
+the sketch holds a quarter of the keys and its estimate for a window is still never too low.
 
 Pass 2 groups exactly, by 96 bits of hash, those windows whose estimate is two documents or more. Windows
 estimated in fewer than `hot` documents go through one window function: the estimate bounds its groups. The others are
@@ -24,16 +23,12 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plaudit.llm.rows import packed, text_of, text_slices, with_columns
-from plaudit.llm.text import U64, covered, sliding_min, whole_windows, window_hashes, word_hashes, words_of
-
-DEPTH = 2  # rows of the sketch
-BLOCK_BITS = 22
-
+from plaudit.llm.sketch import sketched
+from plaudit.llm.text import covered, sliding_min, whole_windows, window_hashes, word_hashes, words_of
 
 def _windows(texts: pa.Array, window: int):
     """Words, which windows lie in one row, their 64-bit hashes, and their cells' source: the anchors."""
@@ -44,89 +39,21 @@ def _windows(texts: pa.Array, window: int):
     return words, whole_windows(words, window), window_hashes(hashes, window, 0), anchors
 
 
-def _cells(anchors: np.ndarray, bits: int) -> list[np.ndarray]:
-    """A cell in each row of the sketch; rows stand one after another."""
-    mask = U64((1 << bits) - 1)
-    return [((anchors >> U64(32 * k)) & mask).astype(np.int64) + (k << bits) for k in range(DEPTH)]
-
-
-def _block_bits(bits: int) -> int:
-    return min(BLOCK_BITS, bits)
-
-
-def _sketch_parts(text: str, window: int, bits: int):
-    """Counts of documents by cell as this task sees them: blocks of cells, steps between cells, counts."""
-    def send(found: list[np.ndarray]) -> pa.RecordBatch:
-        pack = zstandard.ZstdCompressor(level=1)
-        cells, counts = np.unique(np.concatenate(found), return_counts=True)
-        bounds = np.flatnonzero(np.diff(cells >> _block_bits(bits), prepend=-1))
-        rows = []
-        for a, b in zip(bounds, [*bounds[1:], len(cells)], strict=True):
-            block = int(cells[a]) >> _block_bits(bits)
-            steps = np.diff(cells[a:b], prepend=block << _block_bits(bits)).astype(np.uint32)
-            rows.append((block, pack.compress(steps.tobytes()), pack.compress(counts[a:b].astype(np.uint32).tobytes())))
-        return pa.RecordBatch.from_pylist([dict(zip(("block", "steps", "counts"), r, strict=True)) for r in rows],
-                                          pa.schema([("block", pa.int32()), ("steps", pa.binary()),
-                                                     ("counts", pa.binary())]))
+def _anchors(text: str, window: int):
+    """Anchors of the windows of a slice of rows, once for each row."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, size = [], 0
-        for batch in text_slices(batches, text):
-            words, whole, _, anchors = _windows(text_of(batch, text), window)
-            rows, anchors = words.row[:len(whole)][whole], anchors[whole]
-            # Once for each document: neighbours first, then all.
+    def keys(batch: pa.RecordBatch) -> np.ndarray:
+        words, whole, _, anchors = _windows(text_of(batch, text), window)
+        rows, anchors = words.row[:len(whole)][whole], anchors[whole]
+        for order in (None, np.lexsort):  # neighbours first, then all
+            if order is not None:
+                order = order((anchors, rows))
+                rows, anchors = rows[order], anchors[order]
             new = np.r_[True, (anchors[1:] != anchors[:-1]) | (rows[1:] != rows[:-1])][:len(rows)]
             rows, anchors = rows[new], anchors[new]
-            order = np.lexsort((anchors, rows))
-            rows, anchors = rows[order], anchors[order]
-            new = np.r_[True, (anchors[1:] != anchors[:-1]) | (rows[1:] != rows[:-1])][:len(rows)]
-            found += _cells(anchors[new], bits)
-            size += DEPTH * int(new.sum())
-            if size > 6_000_000:
-                yield send(found)
-                found, size = [], 0
-        if size:
-            yield send(found)
-
-    return run
+        return anchors
 
-
-def _merged(bits: int, hot: int):
-    """Sums the parts of each block; bits of the cells with two documents or more, and with `hot` or more."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack, sums = zstandard.ZstdDecompressor(), {}
-        for batch in batches:
-            for part in batch.to_pylist():
-                total = sums.setdefault(part["block"], np.zeros(1 << _block_bits(bits), np.uint32))
-                at = np.cumsum(np.frombuffer(unpack.decompress(part["steps"]), np.uint32))
-                total[at] += np.frombuffer(unpack.decompress(part["counts"]), np.uint32)
-        pack = zstandard.ZstdCompressor(level=1)
-        for block, total in sums.items():
-            yield pa.RecordBatch.from_pylist([{"block": block, **{
-                name: pack.compress(np.packbits(total >= least, bitorder="little").tobytes())
-                for name, least in (("twice", 2), ("often", hot))}}],
-                pa.schema([("block", pa.int32()), ("twice", pa.binary()), ("often", pa.binary())]))
-
-    return run
-
-
-class Sketch:
-    """Which cells hold two documents or more, and which hold many; a bit each."""
-
-    def __init__(self, bits: int, blocks: list) -> None:
-        self.bits = bits
-        unpack, size = zstandard.ZstdDecompressor(), (1 << _block_bits(bits)) // 8
-        self.twice, self.often = (np.zeros(DEPTH << bits >> 3, np.uint8) for _ in range(2))
-        for block in blocks:
-            for whole, part in ((self.twice, block["twice"]), (self.often, block["often"])):
-                whole[block["block"] * size:][:size] = np.frombuffer(unpack.decompress(part), np.uint8)
-
-    def at_least(self, table: np.ndarray, anchors: np.ndarray) -> np.ndarray:
-        flags = np.ones(len(anchors), bool)
-        for cells in _cells(anchors, self.bits):
-            flags &= (table[cells >> 3] >> (cells & 7).astype(np.uint8) & 1).astype(bool)
-        return flags
+    return keys
 
 
 def _candidates(id: str, text: str, window: int, sketch):
@@ -134,7 +61,7 @@ def _candidates(id: str, text: str, window: int, sketch):
         for batch in text_slices(batches, text):
             words, whole, keys, anchors = _windows(text_of(batch, text), window)
             chosen = np.flatnonzero(whole)
-            chosen = chosen[sketch.value.at_least(sketch.value.twice, anchors[chosen])]
+            chosen = chosen[sketch.value.repeated(anchors[chosen])]
             if not len(chosen):
                 continue
             rows, keys = words.row[chosen], keys[chosen]
@@ -147,29 +74,20 @@ def _candidates(id: str, text: str, window: int, sketch):
                 pa.array(keys[order[new]].view(np.int64)),
                 pa.array(second[chosen].astype(np.uint32).view(np.int32)),
                 ids.take(pa.array(words.row[chosen])),
-                pa.array(sketch.value.at_least(sketch.value.often, anchors[chosen])),
+                pa.array(sketch.value.frequent(anchors[chosen])),
             ], ["key", "more", "id", "often"])
 
     return run
 
 
-def sketch_bits(text_bytes: int, max_bits: int) -> int:
-    """Width of a row of the sketch: about four cells for each anchor, one of which comes with 26 bytes of text."""
-    return min(max_bits, max(16, int(text_bytes / 6.5).bit_length()))
-
-
 def removed_windows(docs: DataFrame, id: str, text: str, window: int = 13, hot: int = 1000,
                     max_bits: int = 27) -> DataFrame:
     """For each id the keys of its windows that also start in a document with a smaller id."""
     spark = docs.sparkSession
     rows = packed(docs.filter(F.col(id).isNotNull()), [id, text])
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    bits = sketch_bits(size, max_bits)
-    parts = rows.mapInArrow(_sketch_parts(text, window, bits), "block int, steps binary, counts binary")
-    n_blocks = max(1, DEPTH << bits >> _block_bits(bits))
-    blocks = parts.repartition(n_blocks, "block").mapInArrow(
-        _merged(bits, hot), "block int, twice binary, often binary").collect()  # two bits a cell at most
-    sketch = spark.sparkContext.broadcast(Sketch(bits, blocks))
+    # An anchor comes with about 26 bytes of text.
+    sketch = spark.sparkContext.broadcast(sketched(rows, text, _anchors(text, window), size / 26, max_bits, hot))
     found = rows.mapInArrow(_candidates(id, text, window, sketch), "key long, more int, id long, often boolean")
     rare = (found.filter(~F.col("often"))
             .withColumn("least", F.min("id").over(Window.partitionBy("key", "more"))))

@@ -86,7 +86,7 @@ def words_of(texts: pa.Array, kind: np.ndarray = PLAIN, fold: bool = False) -> W
     return Words(data, starts, ends, first, row)
 
 
-@lru_cache(4)
+@lru_cache(16)
 def _lane(lane: int) -> tuple[np.ndarray, int, int]:
     rng = np.random.default_rng(1000 + lane)
     table = rng.integers(1, 1 << 64, 256, U64, endpoint=False)
@@ -94,7 +94,7 @@ def _lane(lane: int) -> tuple[np.ndarray, int, int]:
     return table, factor, pow(factor, -1, 1 << 64)
 
 
-@lru_cache(8)
+@lru_cache(12)
 def _powers(base: int, size: int) -> np.ndarray:
     out = np.full(size, base, U64)
     out[0] = 1
@@ -128,6 +128,12 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: in
     return mix((sums[ends] - sums[starts]) * powers(inverse, len(sums))[starts])
 
 
+def group_hashes(data: np.ndarray, size: int, lane: int) -> np.ndarray:
+    """Hash of the `size` bytes at each place, rows disregarded."""
+    sums = prefix_sums(data, lane)
+    return mix((sums[size:] - sums[:-size]) * powers(_lane(lane)[2], len(data) - size + 1))
+
+
 def word_hashes(words: Words, lane: int) -> np.ndarray:
     return span_hashes(prefix_sums(words.data, lane), words.starts, words.ends, lane)
 
