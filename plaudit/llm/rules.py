@@ -122,7 +122,7 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def judged(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", least_chars: int = 300,
-           least_words: int = 100, char_limit: float = 0.2, word_limit: float = 0.4) -> DataFrame:
+           least_words: int = 100, char_limit: float = 0.25, word_limit: float = 0.26) -> DataFrame:
     """Every row's id with its base counts, `char_distance` and `word_distance` (null where not judged), `base_failed`
     and `kept`."""
     rows = checkpointed(measured(docs, id, text, lang).select(
