@@ -21,7 +21,7 @@ from plaudit.llm.rows import fold, stored, unpacked
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    profiles = language.fitted(docs.filter(fold("doc_id", 3) != 1))
+    profiles = language.fitted(docs.filter(~fold("doc_id", 3).eqNullSafe(1)))
     rows = language.identified(docs, profiles, carry=docs.columns)
     return unpacked(rows.filter(F.col("lang_pred") != language.UNKNOWN)).select(docs.columns)
 

@@ -1,3 +1,123 @@
-"""SQL for another engine, for the operators that SQL can express."""
+"""SQL for another engine, for the operators that SQL can express.
 
-LLM_ORACLE: dict[str, str] = {}
+Not expressible: learned models (op1, op6, op7), public tokenizers (op3, op8), the 64-bit hash of the fingerprints (op10) and
+strings of bytes at any place (op5); tests hold these against brute force.
+"""
+
+from plaudit.llm.rules import COMMON, N_CLASSES
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN = rf"regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SUBSTRING = f"""
+WITH split AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS passage
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 11, 1))) AS i FROM split)),
+firsts AS (SELECT passage, min(doc_id) AS first_id FROM windows GROUP BY passage),
+gone AS (
+    SELECT DISTINCT doc_id, place FROM (
+        SELECT doc_id, unnest(range(i, i + 13)) AS place
+        FROM windows JOIN firsts USING (passage) WHERE first_id < doc_id)),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS place FROM split),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS rest, count(*) AS n
+    FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
+
+CONTAMINATION = f"""
+WITH split AS (SELECT doc_id, {_PLAIN} AS ws FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_PLAIN} AS ws FROM benchmark),
+patterns AS (
+    SELECT DISTINCT item, least(len(ws), 13) AS size, array_to_string(ws[i:i + least(len(ws), 13) - 1], ' ') AS passage
+    FROM (SELECT item, ws, unnest(range(1, len(ws) - least(len(ws), 13) + 2)) AS i FROM items WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT size FROM patterns),
+windows AS (
+    SELECT doc_id, size, i, array_to_string(ws[i:i + size - 1], ' ') AS passage
+    FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+          FROM split, sizes WHERE len(ws) >= size)),
+hits AS (SELECT doc_id, i, size, item FROM windows JOIN patterns USING (size, passage)),
+covered AS (
+    SELECT doc_id, count(DISTINCT place) AS n
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+          FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(ws) AS contaminated
+FROM split LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+def _count(letters: str) -> str:
+    letters = letters.replace("'", "''")
+    return f"length(t) - length(translate(t, '{letters}', ''))"
+
+
+def _listed(words: list[str]) -> str:
+    names = ", ".join(f"'{w}'" for w in words)
+    each = ", ".join(f"len(list_filter(ws, lambda w: lower(w) = '{w}'))" for w in words)
+    return f"[{each}, len(list_filter(ws, lambda w: lower(w) NOT IN ({names})))]"
+
+
+def _distance(p: str, q: str, size: int) -> str:
+    def part(x: str, y: str) -> str:
+        return f"CASE WHEN {x}[i] > 0 THEN {x}[i] * log2(2 * {x}[i] / ({x}[i] + {y}[i])) ELSE 0.0 END"
+
+    return (f"sqrt(greatest(list_sum(list_transform(range(1, {size + 1}), "
+            f"lambda i: ({part(p, q)} + {part(q, p)}) / 2)), 0.0))")
+
+
+_COMMON = " ".join(f"WHEN lang = '{name}' THEN {_listed(words)}" for name, words in COMMON.items())
+_N_COMMON = len(COMMON["en"]) + 1
+_MEAN_P = ", ".join(f"avg(p[{k}])" for k in range(1, N_CLASSES + 1))
+_MEAN_Q = ", ".join(f"avg(q[{k}])" for k in range(1, _N_COMMON + 1))
+
+RULES = f"""
+WITH texts AS (
+    SELECT doc_id, lang, coalesce(text, '') AS t, {_WORDS} AS ws,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+    FROM documents),
+triples AS (
+    SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS triple
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 1))) AS i FROM texts)),
+repeats AS (
+    SELECT doc_id, count(DISTINCT place) AS n FROM (
+        SELECT doc_id, unnest(range(i, i + 3)) AS place
+        FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, triple) AS times FROM triples) WHERE times > 1)
+    GROUP BY doc_id),
+counts AS (
+    SELECT doc_id, lang, len(ws) AS n_words,
+           CAST(coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+           {_count("#*$%&|<>")} AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           coalesce(n, 0) AS n_repeat_words, length(t) AS n_chars,
+           [length(t) - length(regexp_replace(t, '\\p{{Ll}}', '', 'g')),
+            length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')), {_count("0123456789")},
+            length(t) - length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')), {_count("#*$%&|<>")},
+            {_count(".,;:!?'" + '"()-')}] AS known,
+           CASE {_COMMON} END AS common
+    FROM texts LEFT JOIN repeats USING (doc_id)),
+shares AS (
+    SELECT *, CASE WHEN word_chars >= 300 THEN
+               list_transform(list_append(known, CAST(n_chars - list_sum(known) AS BIGINT)), lambda x: x / n_chars) END AS p,
+           CASE WHEN n_words >= 100 THEN list_transform(common, lambda x: x / n_words) END AS q
+    FROM counts),
+refs AS (SELECT lang, [{_MEAN_P}] AS rp, [{_MEAN_Q}] AS rq FROM shares GROUP BY lang),
+far AS (
+    SELECT shares.*, {_distance("p", "rp", N_CLASSES)} AS char_distance, {_distance("q", "rq", _N_COMMON)} AS word_distance,
+           n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+    FROM shares LEFT JOIN refs ON shares.lang IS NOT DISTINCT FROM refs.lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (p IS NULL OR char_distance <= 0.25) AND (q IS NULL OR word_distance <= 0.26) AS kept
+FROM far
+"""
+
+LLM_ORACLE: dict[str, str] = {
+    "op2_substring_dedup": SUBSTRING,
+    "op4_benchmark_decontamination": CONTAMINATION,
+    "op9_quality_rules": RULES,
+}

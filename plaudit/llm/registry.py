@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plaudit.llm import contamination, language, packing, quality, rules, simhash, substring, suffix, tokens, toxicity
 from plaudit.llm.rows import fold
 
-DOC = F.col("doc")
+DOC_ID = "doc.doc_id"  # an operator's rows hold the document in one column
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,20 +23,20 @@ def tokenizer(name: str) -> str:
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the folds 0 and 2 of 3."""
-    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3).eqNullSafe(1)
     model = toxicity.fitted(docs, table(spark, sf_dir, "labels").filter(~held_out))
     return _judged(toxicity.scored(docs, model), held_out)
 
 
 def _judged(rows: DataFrame, held_out) -> DataFrame:
-    return rows.select(DOC["doc_id"].alias("doc_id"), "score").select(
+    return rows.select(DOC_ID, "score").select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after later copies of 13-word passages are taken out."""
     rows = substring.without_repeats(table(spark, sf_dir, "documents"))
-    return rows.select(DOC["doc_id"].alias("doc_id"), "n_words", "n_removed",
+    return rows.select(DOC_ID, "n_words", "n_removed",
                        F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
@@ -48,7 +48,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain benchmark passages."""
     rows = contamination.searched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return rows.select(DOC["doc_id"].alias("doc_id"), "n_words", "n_hit", "n_items",
+    return rows.select(DOC_ID, "n_words", "n_hit", "n_items",
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                        contaminated().alias("contaminated"))
 
@@ -60,21 +60,21 @@ def contaminated():
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left after every copy of a repeated 400-byte string is taken out."""
     rows = suffix.without_repeats(table(spark, sf_dir, "documents"))
-    return rows.select(DOC["doc_id"].alias("doc_id"), "n_bytes", "n_removed",
+    return rows.select(DOC_ID, "n_bytes", "n_removed",
                        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the folds 0 and 2 of 3."""
-    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3).eqNullSafe(1)
     rows = language.identified(docs, language.fitted(docs.filter(~held_out)))
-    return rows.select(DOC["doc_id"].alias("doc_id"), "lang_pred", "score").select(
+    return rows.select(DOC_ID, "lang_pred", "score").select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from the folds 0, 1 and 3 of 4."""
-    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 4) == 2
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 4).eqNullSafe(2)
     model = quality.fitted(docs, table(spark, sf_dir, "labels").filter(~held_out))
     return _judged(quality.scored(docs, model), held_out)
 
@@ -82,13 +82,15 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     rows = tokens.counted(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
-    return rows.select(DOC["doc_id"].alias("doc_id"), "n_bytes", "n_tokens",
+    return rows.select(DOC_ID, "n_bytes", "n_tokens",
                        (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
-    return rules.judged(table(spark, sf_dir, "documents"))
+    rows = rules.judged(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                       "kept")
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

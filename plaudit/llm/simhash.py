@@ -205,10 +205,11 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle
     prints = checkpointed(fingerprints(docs, id, text, shingle).select(F.col("doc").getField(id).alias("id"), "print"))
     found = checkpointed(classes(prints, distance, group))
     chosen = found.select(F.col("component_id").alias("_chosen")).dropna().distinct()
-    named = docs.join(chosen, F.col(id) == F.col("_chosen"), "left_semi").withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(id).orderBy(text)))
+    rows = packed(docs, docs.columns)
+    own = F.col("doc").getField(id)
+    named = rows.join(chosen, own == F.col("_chosen"), "left_semi").withColumn(
+        "rank", F.row_number().over(Window.partitionBy(own).orderBy(F.col("doc").getField(text))))
     unnamed = fingerprints(docs.filter(F.col(id).isNull()), id, text, shingle, docs.columns).join(
-        found.filter("component_id is null").select("print", F.col("root").alias("_root")), "print").withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_root").orderBy(F.col("doc").getField(text))))
-    return unpacked(packed(named.filter("_rank = 1"), docs.columns).union(
-        unnamed.filter("_rank = 1").select("doc")))
+        found.filter("component_id is null").select("print", "root"), "print").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("root").orderBy(F.col("doc").getField(text))))
+    return unpacked(named.filter("rank = 1").select("doc").union(unnamed.filter("rank = 1").select("doc")))

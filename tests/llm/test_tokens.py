@@ -1,0 +1,117 @@
+"""Token counts and packing, against the libraries called on whole texts, and as exact round trips."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from plaudit.llm import packing, tokens
+from plaudit.llm.registry import LLM_QUERIES, tokenizer
+
+pytest.importorskip("public_tokenizers")
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=tokenizer("piece_bpe_32k.model"))
+
+
+@pytest.fixture(scope="module")
+def words():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer("word_bpe_49k.json"))
+
+
+def test_counts(docs, corpus, nothing, pieces):
+    rows = tokens.counted(docs, tokenizer("piece_bpe_32k.model"))
+    got = Counter((r.doc.doc_id, r.n_bytes, r.n_tokens) for r in rows.collect())
+    assert got == Counter((i, len((t or "").encode()), len(pieces.encode(t or ""))) for i, t in corpus)
+    assert tokens.counted(nothing, tokenizer("piece_bpe_32k.model")).count() == 0
+
+
+@given(st.lists(st.sampled_from(["a", "word", " ", "  ", "\n", "é", "▁", ".", "<s>", "\t", "日本", "'"]), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_cuts_are_safe(pieces, parts):
+    text = "".join(parts)
+    assert sum(len(pieces.encode(p)) for p in tokens.cut(text, 5)) == len(pieces.encode(text))
+
+
+@given(st.lists(st.sampled_from(["It's", "word", " ", "\n", "É", "ß", "12", "½", "!?", "<|endoftext|>", "<|", "é",
+                                 "Σ", "İ", "日本", "\x85", "\x1c", "''s", "ª", "ſ", "ŉ"]), max_size=40))
+@settings(max_examples=200, deadline=None)
+def test_word_ids(words, parts):
+    text = "".join(parts)
+    got = np.frombuffer(packing.word_ids(tokenizer("word_bpe_49k.json"))(text), "<u4").tolist()
+    assert got == words.encode(text, add_special_tokens=False).ids
+
+
+@given(st.lists(st.integers(1, 40), min_size=1, max_size=80), st.integers(1, 8))
+@settings(max_examples=200, deadline=None)
+def test_first_fit_decreasing(lengths, least_cut):
+    bins = packing.first_fit_decreasing(lengths, 40, least_cut)
+    covered = defaultdict(list)
+    for sequence in bins:
+        assert sum(size for *_, size in sequence) <= 40
+        for piece, begin, size in sequence:
+            covered[piece].append((begin, size))
+    for piece, parts in covered.items():
+        at = 0
+        for begin, size in sorted(parts):
+            assert begin == at and size > 0
+            at += size
+        assert at == lengths[piece]
+    assert len(covered) == len(lengths)
+
+
+def check_pieces(rows, table, words, length=packing.LENGTH):
+    ids = defaultdict(list)
+    for i, text in table:
+        ids[i].append(words.encode(text or "", add_special_tokens=False).ids + [1])
+    by, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by[r.doc_id, r.doc_tokens].append(r)
+        sequences[r.sequence_id].append(r)
+    for r in sequences.values():
+        r.sort(key=lambda x: x.offset)
+        assert [x.offset for x in r] == [sum(y.length for y in r[:k]) for k in range(len(r))]
+        assert sum(x.length for x in r) <= length
+    wanted = Counter()
+    for i, lists in ids.items():
+        for own in lists:
+            wanted[i, len(own)] += 1
+    for (i, total), n in wanted.items():
+        assert sum(r.length for r in by[i, total]) == n * total
+        for r in by[i, total]:
+            assert any(zlib.crc32(np.array(own[r.start:r.start + r.length], "<u4").tobytes()) == r.ids_crc32
+                       for own in ids[i] if len(own) == total)
+    assert set(by) == set(wanted)
+    return sequences
+
+
+def test_packing(docs, corpus, nothing, words):
+    path = tokenizer("word_bpe_49k.json")
+    for length, group in ((2048, 8192), (64, 5)):
+        rows = packing.sequences(docs, path, length=length, group=group)
+        check_pieces(rows.collect(), corpus, words, length)
+    assert packing.sequences(nothing, path).count() == 0
+
+
+def test_packing_query(spark, sf_dir, words):
+    table = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    rows = LLM_QUERIES["op3_packing"](spark, sf_dir).collect()
+    sequences = check_pieces(rows, table, words)
+    used = sum(r.length for r in rows)
+    assert used > 0.9 * 2048 * len(sequences)
+
+
+def test_count_query(spark, sf_dir, pieces):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    got = {r.doc_id: (r.n_tokens, r.over_limit) for r in LLM_QUERIES["op8_token_counts"](spark, sf_dir).collect()}
+    want = {r.doc_id: len(pieces.encode(r.text)) for r in table}
+    assert got == {i: (n, n > 4096) for i, n in want.items()}
