@@ -47,6 +47,14 @@ class LakeConfig:
     def merge_data(self) -> str:
         return self.path("gold", "merge_data")
 
+    @property
+    def published(self) -> str:
+        """The canonical table with each review once, which the silver and gold tables are built from."""
+        return self.path("gold", "published")
+
+    def raw_table(self, table: str) -> str:
+        return self.path("bronze", "tables", table)
+
     @property
     def streaming(self) -> str:
         return self.path("gold", "streaming")
@@ -69,8 +77,8 @@ class LakeConfig:
 class StreamConfig:
     """Settings of the change-stream jobs.
 
-    ``state_buckets``, ``lanes``, the hot products and ``state_partitions`` are part of the state layout and must not
-    change for the life of a checkpoint.
+    ``state_buckets``, ``lanes`` and ``state_partitions`` are part of the state layout and must not change for the
+    life of a checkpoint.
     """
 
     source: str = "files"  # or "kafka" when its jar is on the classpath
@@ -84,22 +92,26 @@ class StreamConfig:
     schema_id: int = 1
     trigger: str | None = "3 minutes"  # None: drain what is there, then stop
     max_offsets_per_trigger: int = 50_000_000
+    # Offline feed: a micro-batch is bounded by files.
     max_files_per_trigger: int = 1_000
     # State is kept per bucket of products; a micro-batch brings each bucket its share of rows.
     state_buckets: int = 16_384
-    # Reviews of a hot product are spread over this many buckets; its items go to all of them.
-    lanes: int = 16
-    # A product with more than this share of the reviews is hot. Measured at the first start and kept
-    # with the checkpoint. None: every product is spread, for feeds without a history to measure.
-    hot_share: float | None = 0.002
+    # The reviews of a product are spread over this many buckets. Its items go to all of them, so the item stream and
+    # its state are multiplied by it; a product's share of a task's work is divided by it.
+    lanes: int = 8
     state_partitions: int = 200
-    # Reviews of one bucket that a task holds in memory before it parks them in state.
-    held_reviews: int = 10_000
+    # Reviews, and item versions, of one bucket that a task holds in memory before it parks them in state.
+    held_rows: int = 10_000
     # Optional expiry of state in milliseconds; None keeps waiting reviews for ever.
     state_ttl_ms: int | None = None
     # Records per file of the cold archive.
     archive_records_per_file: int = 100_000
 
+    @property
+    def rejected_topic(self) -> str:
+        """Pairs that break the merged contract, with the reason."""
+        return f"{self.merged_topic}.rejected"
+
     @property
     def reviews_topic(self) -> str:
         return f"{self.topic_prefix}.{self.reviews_table}"

@@ -39,6 +39,8 @@ METADATA = table(
     "price FLOAT, store STRING, brand STRING, material STRING, style STRING, color STRING"
 )
 MERGE = StructType(REVIEWS.fields + [f for f in METADATA.fields if f.name != "parent_product_id"])
+# Largest magnitude of a number; sums of what is allowed stay exact. Numbers must be finite everywhere.
+LIMITS = {"price": 1e12}
 IDS = table("review_id STRING, time_id STRING, store_id STRING, category_id STRING")
 MERGE_DATA = StructType(IDS.fields + MERGE.fields)
 

@@ -55,7 +55,15 @@ def is_missing(value: Column) -> Column:
     return value.isNull() | F.is_variant_null(value)
 
 
-def typed(value: Column, dtype: T.DataType) -> Column:
+def bounded(number: Column, dtype: T.DataType, limit: float | None = None) -> Column:
+    """The number, or null where it is not finite or its magnitude is over ``limit``; other types as they are."""
+    if not isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return number
+    most = F.lit(limit if limit is not None else 3.4e38 if isinstance(dtype, T.FloatType) else 1.7e308)
+    return F.when(F.abs(number).cast("double") <= most, number)  # NaN is larger than any number
+
+
+def typed(value: Column, dtype: T.DataType, limit: float | None = None) -> Column:
     """The value as ``dtype``; null when JSON held another kind or it does not fit.
 
     A timestamp is epoch milliseconds, as a number or as text.
@@ -63,7 +71,7 @@ def typed(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.TimestampType):
         result = times.from_millis(F.try_variant_get(value, "$", "bigint"))
     else:
-        result = F.try_variant_get(value, "$", dtype.simpleString())
+        result = bounded(F.try_variant_get(value, "$", dtype.simpleString()), dtype, limit)
     return F.when(_holds(F.schema_of_variant(value), dtype), result)
 
 

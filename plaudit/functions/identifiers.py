@@ -46,5 +46,8 @@ def name_id(kind: str, name: Column) -> Column:
 
 
 def content_digest(*columns: Column) -> Column:
-    """md5 over the columns' text; a null differs from an empty text and fields cannot run together."""
-    return F.md5(F.concat_ws("\u001f", *[F.coalesce(c.cast("string"), F.lit("\u0001")) for c in columns]))
+    """md5 over the columns' texts, each after its length; a null differs from any text, and no text can pass for two."""
+    def part(text: Column) -> Column:
+        return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.md5(F.concat(*[part(c.cast("string")) for c in columns]))

@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+# Milliseconds of the years 1 to 9999, which the text form can hold.
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
+
+
 def from_millis(millis: Column) -> Column:
-    """Timestamp floored to the second."""
-    return F.date_trunc("second", F.timestamp_millis(millis))
+    """Timestamp floored to the second; null outside the years 1 to 9999."""
+    known = millis.between(FIRST_MILLIS, LAST_MILLIS)
+    return F.when(known, F.date_trunc("second", F.timestamp_millis(F.when(known, millis))))
 
 
 def to_text(ts: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,29 +27,62 @@ def fk_orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 
 def primary_key_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per table: rows, null keys and keys that repeat."""
-    def one(name: str) -> DataFrame:
-        key = PRIMARY_KEYS[name]
-        per_key = tables[name].groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        return per_key.agg(
-            F.lit(name).alias("table_name"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-            F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
-            F.count_if((F.col("n") > 1) & F.col(key).isNotNull()).alias("repeated_keys"),
-        )
+    """Per table: rows, null keys and keys that repeat.
 
-    return reduce(DataFrame.unionByName, [one(name) for name in tables])
+    All tables' keys go through one grouping; what it leaves is summed in one row.
+    """
+    keys = reduce(DataFrame.unionByName, [
+        tables[name].select(F.lit(name).alias("table_name"), F.col(PRIMARY_KEYS[name]).alias("key")) for name in tables])
+    return _keys_summed(keys, list(tables))
+
+
+def derived_key_report(per_review: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The same before the tables are written: those of one row per review are taken from one pass over the reviews;
+    ``tables`` are the others."""
+    alike = [name for name in PRIMARY_KEYS if name not in tables]
+    pairs = F.create_map(*[c for name in alike for c in (F.lit(name), F.col(PRIMARY_KEYS[name]))])
+    keys = reduce(DataFrame.unionByName, [
+        per_review.select(F.explode(pairs).alias("table_name", "key")),
+        *[rows.select(F.lit(name).alias("table_name"), F.col(PRIMARY_KEYS[name]).alias("key"))
+          for name, rows in tables.items()]])
+    return _keys_summed(keys, [*alike, *tables])
+
+
+def _keys_summed(keys: DataFrame, names: list[str]) -> DataFrame:
+    per_key = keys.groupBy("table_name", "key").agg(F.count(F.lit(1)).alias("n"))
+
+    def of(name: str) -> list[Column]:
+        here = F.col("table_name") == name
+        return [F.lit(name).alias("table_name"),
+                F.coalesce(F.sum(F.when(here, F.col("n"))), F.lit(0)).alias("n_rows"),
+                F.coalesce(F.sum(F.when(here & F.col("key").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
+                F.count_if(here & (F.col("n") > 1) & F.col("key").isNotNull()).alias("repeated_keys")]
+
+    return per_key.agg(F.array(*[F.struct(*of(name)) for name in names]).alias("r")).select(F.inline("r"))
 
 
 def foreign_key_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per constraint: child rows that have no parent."""
-    def one(child: str, key: str, parent: str) -> DataFrame:
-        return fk_orphans(tables[child], tables[parent], key).agg(
-            F.lit(f"{child}.{key} -> {parent}").alias("constraint_name"),
-            F.coalesce(F.sum("n_rows"), F.lit(0)).alias("orphan_rows"),
-        )
-
-    return reduce(DataFrame.unionByName, [one(*fk) for fk in FOREIGN_KEYS])
+    """Per constraint: child rows that have no parent. Null keys satisfy the constraint.
+
+    Each child table is read once for all its keys, and children meet parents in one grouping, where a hot key has
+    been counted before the shuffle.
+    """
+    def named(child: str, key: str, parent: str) -> str:
+        return f"{child}.{key} -> {parent}"
+
+    parts = []
+    for child in dict.fromkeys(c for c, _, _ in FOREIGN_KEYS):
+        pairs = F.create_map(*[x for c, k, p in FOREIGN_KEYS if c == child for x in (F.lit(named(c, k, p)), F.col(k))])
+        parts.append(tables[child].select(F.explode(pairs).alias("constraint_name", "key"), F.lit(1).alias("n"))
+                     .where(F.col("key").isNotNull()))
+    parts += [tables[p].select(F.lit(named(c, k, p)).alias("constraint_name"), F.col(k).alias("key"), F.lit(0).alias("n"))
+              for c, k, p in FOREIGN_KEYS]
+    per_key = reduce(DataFrame.unionByName, parts).groupBy("constraint_name", "key").agg(
+        F.sum("n").alias("n"), F.min("n").alias("parent"))
+    orphans = [F.struct(F.lit(named(*fk)).alias("constraint_name"), F.coalesce(F.sum(F.when(
+        (F.col("constraint_name") == named(*fk)) & (F.col("parent") == 1), F.col("n"))), F.lit(0)).alias("orphan_rows"))
+        for fk in FOREIGN_KEYS]
+    return per_key.agg(F.array(*orphans).alias("r")).select(F.inline("r"))
 
 
 def conform(rows: DataFrame, target: StructType) -> DataFrame:

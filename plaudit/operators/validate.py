@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plaudit.functions.documents import is_missing, once, typed
+from plaudit.contracts import LIMITS
+from plaudit.functions.documents import bounded, is_missing, once, typed
 
 _TYPED = "_typed"
 
 
 def add_typed(rows: DataFrame, values: Mapping[str, Column], contract: StructType) -> DataFrame:
     """Convert the variants once per row; the struct of results is read by ``checked``."""
-    fields = [typed(values[f.name], f.dataType).alias(f.name) for f in contract.fields]
+    fields = [typed(values[f.name], f.dataType, LIMITS.get(f.name)).alias(f.name) for f in contract.fields]
     return rows.select("*", once(F.struct(*fields)).alias(_TYPED))
 
 
@@ -51,6 +52,9 @@ def native_faults(
     for field in contract.fields:
         name = field.name
         fault = F.when(values[name].isNull() & broken[name] & raw[name].isNotNull(), F.lit(f"bad_type:{name}"))
+        within = bounded(values[name], field.dataType, LIMITS.get(name))
+        if within is not values[name]:
+            fault = F.when(values[name].isNotNull() & within.isNull(), F.lit(f"bad_type:{name}")).otherwise(fault)
         if not field.nullable:
             fault = F.coalesce(fault, F.when(values[name].isNull(), F.lit(f"missing_required:{name}")))
         faults.append(fault)

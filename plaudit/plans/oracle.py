@@ -1,7 +1,7 @@
 """The same results as plain SQL for another engine, on the same tables.
 
-Marts are written in the self-join form (counts per key joined back to the rows), not in the
-single-aggregate form that the Spark plans use.
+A mart is put together from one small query per column, each with the key, so that no column depends on how another
+one is computed, nor on the single aggregate of the Spark plans.
 """
 
 from __future__ import annotations
@@ -38,11 +38,11 @@ def _name_id(kind: str, name: str) -> str:
 
 
 def _content() -> str:
-    fields = []
+    parts = []
     for name in MERGE.fieldNames():
-        text = "epoch_ms(\"timestamp\")" if name == "timestamp" else f'"{name}"'
-        fields.append(f"coalesce(CAST({text} AS VARCHAR), chr(1))")
-    return f"md5(concat_ws(chr(31), {', '.join(fields)}))"
+        text = f"""CAST({'epoch_ms("timestamp")' if name == "timestamp" else f'"{name}"'} AS VARCHAR)"""
+        parts.append(f"coalesce(length({text}) || ':' || {text}, '-')")
+    return f"md5({' || '.join(parts)})"
 
 
 _MERGE = f"""
@@ -62,16 +62,17 @@ merge_data AS (SELECT {_uuid7('epoch_ms("timestamp")', '_digest')} AS review_id,
 _LINE_REASON = """CASE WHEN l_discount = 0 THEN 'corrupt_json'
     WHEN l_linenumber = 7 THEN 'bad_type:rating'
     WHEN l_tax = 0 THEN 'missing_required:review_title'
+    WHEN l_discount IN (0.08, 0.09) THEN 'bad_type:timestamp'
     WHEN l_tax = 0.08 THEN 'bad_type:helpful_vote' END"""
 _ITEM_REASON = """CASE WHEN p_size = 4 THEN 'missing_required:category'
-    WHEN p_size = 3 THEN 'bad_type:price' END"""
+    WHEN p_size IN (3, 7) THEN 'bad_type:price' END"""
 _LINE_REVIEWS = {
     **s.REVIEW_COLUMNS,
     "timestamp": f"CASE WHEN l_discount <> 0.1 THEN {s.REVIEW_COLUMNS['timestamp']} END",
 }
 _LINE_ITEMS = {
     **s.ITEM_COLUMNS,
-    "price": "CASE WHEN p_size <> 5 THEN CAST(p_retailprice AS FLOAT) END",
+    "price": f"CASE WHEN p_size <> 5 THEN {s.ITEM_COLUMNS['price']} END",
     "brand": "CASE WHEN p_size <> 2 THEN p_brand END",
     "material": "CAST(NULL AS VARCHAR)",
     "color": "CASE WHEN p_size <> 2 THEN split_part(p_name, ' ', 1) END",
@@ -90,14 +91,15 @@ SELECT '{LOADED_AT}' AS created, CAST({s.REVIEW_COLUMNS['rating']} AS DOUBLE) AS
     CASE WHEN l_linenumber = 1 THEN '' ELSE concat('m/', {_PRODUCT}) END AS medium_image_urls,
     CASE WHEN l_linenumber = 1 THEN '' ELSE concat('l/', {_PRODUCT}) END AS large_image_urls,
     {_PRODUCT} AS asin, CAST(l_partkey AS VARCHAR) AS parent_asin, CAST(o_custkey AS VARCHAR) AS user_id,
-    CASE WHEN l_discount = 0.1 THEN NULL WHEN l_discount = 0.05 THEN CAST(epoch_ms(l_shipdate) AS VARCHAR)
+    CASE WHEN l_discount = 0.1 THEN NULL WHEN l_discount = 0.09 THEN '9223372036854775807'
+         WHEN l_discount = 0.08 THEN '1000000000000000' WHEN l_discount = 0.05 THEN CAST(epoch_ms(l_shipdate) AS VARCHAR)
          ELSE CAST(epoch_ms(l_shipdate) + 789 AS VARCHAR) END AS "timestamp",
     CASE WHEN l_tax = 0.08 THEN 3000000000 ELSE CAST(l_linenumber AS BIGINT) END AS helpful_vote,
     l_returnflag <> 'R' AS verified_purchase
 FROM {_SALES} WHERE l_discount <> 0 AND l_linenumber <> 7"""
 _RAW_ITEMS = f"""
 SELECT '{LOADED_AT}' AS created, CASE WHEN p_size <> 4 THEN p_type END AS main_category, p_name AS title,
-    CASE WHEN p_size <> 5 THEN p_retailprice END AS price,
+    CASE WHEN p_size = 6 THEN floor(p_retailprice) + 0.125 WHEN p_size <> 5 THEN p_retailprice END AS price,
     CASE WHEN p_size % 5 = 0 THEN '' ELSE concat('h/', CAST(p_partkey AS VARCHAR)) END AS hi_res_images,
     concat('l/', CAST(p_partkey AS VARCHAR), ' l2/', CAST(p_partkey AS VARCHAR)) AS large_images,
     concat('t/', CAST(p_partkey AS VARCHAR)) AS thumb_images,
@@ -105,52 +107,49 @@ SELECT '{LOADED_AT}' AS created, CASE WHEN p_size <> 4 THEN p_type END AS main_c
     CASE WHEN p_size <> 2 THEN p_brand END AS brand, CAST(NULL AS VARCHAR) AS material,
     CAST(NULL AS VARCHAR) AS style, CASE WHEN p_size <> 2 THEN split_part(p_name, ' ', 1) END AS color,
     CAST(p_partkey AS VARCHAR) AS parent_asin
-FROM part WHERE p_size <> 3"""
+FROM part WHERE p_size NOT IN (3, 7)"""
+
+
+def _by_column(mart: str, key: str, columns: dict[str, str], rows: str = "merged") -> str:
+    """A mart of one row per key; each column is an expression over that key's rows, in a query of its own."""
+    parts = [f"SELECT DISTINCT {key} FROM {rows} WHERE {key} IS NOT NULL"]
+    parts += [f"SELECT {key}, {expression} AS {name} FROM {rows} GROUP BY {key}" for name, expression in columns.items()]
+    joined = " ".join(f"LEFT JOIN ({part}) c{k} USING ({key})" for k, part in enumerate(parts) if k)
+    return f"{mart} AS (SELECT {key}, {', '.join(columns)} FROM ({parts[0]}) c0 {joined})"
+
+
+_N = "COUNT(*)"
+_BOUGHT = "COUNT(*) FILTER (verified_purchase)"
+_VOTES = "CAST(SUM(helpful_vote) AS BIGINT)"
+_STARS = "ROUND(AVG(rating))"
+_PRODUCTS = "COUNT(DISTINCT parent_product_id)"
+# Prices are added up as they are written.
+_REVENUE = "CAST(COALESCE(SUM(CAST(CAST(price AS VARCHAR) AS DECIMAL(38, 12))), 0) AS DOUBLE)"
 
 
 def _store_mart(rows: str = "merged") -> str:
-    return f"""
-revenue AS (SELECT store, SUM(CAST(CAST(price AS VARCHAR) AS DECIMAL(12, 2))) AS revenue_sum FROM {rows}
-            WHERE price IS NOT NULL AND store IS NOT NULL GROUP BY store),
+    per_store = _by_column("per_store", "store", {
+        "total_reviews": _N, "avg_rating": _STARS, "total_sell_products": _PRODUCTS, "total_revenue": _REVENUE}, rows)
+    return f"""{per_store},
 mart_store_performance AS (
-    SELECT {_name_id('store', 'd.store')} AS store_id, d.store AS store_name, COUNT(*) AS total_reviews,
-        ROUND(AVG(d.rating)) AS avg_rating, COUNT(DISTINCT d.parent_product_id) AS total_sell_products,
-        CAST(COALESCE(v.revenue_sum, 0) AS DOUBLE) AS total_revenue
-    FROM {rows} d LEFT JOIN revenue v ON d.store = v.store
-    WHERE d.store IS NOT NULL GROUP BY d.store, v.revenue_sum)"""
-
-
-_MART_USERS = """
-bought AS (SELECT user_id, COUNT(*) AS buy_count FROM merged WHERE verified_purchase = true GROUP BY user_id),
-counts AS (SELECT user_id, category, COUNT(*) AS category_count FROM merged GROUP BY user_id, category),
-ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY category_count DESC, category) AS rn
-           FROM counts),
-mart_users AS (
-    SELECT d.user_id, COUNT(*) AS total_reviews, AVG(d.rating) AS avg_rating,
-        CAST(SUM(d.helpful_vote) AS BIGINT) AS total_helpful_votes,
-        COALESCE(b.buy_count, 0) AS total_buy_products, t.category AS top_category,
-        MIN(d."timestamp") AS first_review_date, MAX(d."timestamp") AS last_review_date
-    FROM merged d LEFT JOIN bought b ON d.user_id = b.user_id
-    LEFT JOIN ranked t ON d.user_id = t.user_id AND t.rn = 1
-    GROUP BY d.user_id, b.buy_count, t.category)"""
-_MART_PRODUCTS = """
-sold AS (SELECT parent_product_id, COUNT(*) AS sell_count FROM merged WHERE verified_purchase = true
-         GROUP BY parent_product_id),
-mart_parent_products AS (
-    SELECT d.parent_product_id, COUNT(*) AS total_reviews, ROUND(AVG(d.rating)) AS avg_rating,
-        CAST(SUM(d.helpful_vote) AS BIGINT) AS total_helpful_votes, COALESCE(p.sell_count, 0) AS total_sell_products
-    FROM merged d LEFT JOIN sold p ON d.parent_product_id = p.parent_product_id
-    GROUP BY d.parent_product_id, p.sell_count)"""
-_MART_CATEGORIES = f"""
-purchases AS (SELECT category, COUNT(*) AS verified_count FROM merged WHERE verified_purchase = true
-              GROUP BY category),
+    SELECT {_name_id('store', 'store')} AS store_id, * RENAME (store AS store_name) FROM per_store)"""
+
+
+_USER_CATEGORIES = """
+user_categories AS (SELECT user_id, category, COUNT(*) AS category_count FROM merged GROUP BY ALL),
+favourites AS (SELECT user_id, category AS top_category, category_count FROM user_categories
+    QUALIFY RANK() OVER (PARTITION BY user_id ORDER BY category_count DESC, category) = 1)"""
+_MART_USERS = _USER_CATEGORIES + ", " + _by_column("per_user", "user_id", {
+    "total_reviews": _N, "avg_rating": "AVG(rating)", "total_helpful_votes": _VOTES, "total_buy_products": _BOUGHT,
+    "first_review_date": 'MIN("timestamp")', "last_review_date": 'MAX("timestamp")'}) + """,
+mart_users AS (SELECT per_user.*, top_category FROM per_user JOIN favourites USING (user_id))"""
+_MART_PRODUCTS = _by_column("mart_parent_products", "parent_product_id", {
+    "total_reviews": _N, "avg_rating": _STARS, "total_helpful_votes": _VOTES, "total_sell_products": _BOUGHT})
+_MART_CATEGORIES = _by_column("per_category", "category", {
+    "total_products": _PRODUCTS, "total_helpful_votes": _VOTES, "total_reviews": _N, "avg_rating": _STARS,
+    "verified_purchases": _BOUGHT}) + f""",
 mart_categories AS (
-    SELECT {_name_id('category', 'd.category')} AS category_id, d.category AS category_name,
-        COUNT(DISTINCT d.parent_product_id) AS total_products,
-        CAST(SUM(d.helpful_vote) AS BIGINT) AS total_helpful_votes, COUNT(*) AS total_reviews,
-        ROUND(AVG(d.rating)) AS avg_rating, COALESCE(v.verified_count, 0) AS verified_purchases
-    FROM merged d LEFT JOIN purchases v ON d.category = v.category
-    GROUP BY d.category, v.verified_count)"""
+    SELECT {_name_id('category', 'category')} AS category_id, * RENAME (category AS category_name) FROM per_category)"""
 _MART_REVIEWS = """
 mart_reviews AS (SELECT review_id, user_id, product_id, CAST(rating AS DOUBLE) AS rating, verified_purchase,
     CAST(helpful_vote AS BIGINT) AS helpful_vote FROM merge_data)"""
@@ -163,7 +162,7 @@ dim_reviews AS (SELECT review_id, review_title, review_text FROM merge_data),
 first_seen AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id
         ORDER BY "timestamp", {', '.join(f'{a} NULLS FIRST' for a in _ATTRIBUTES)}) AS rn FROM merge_data),
 dim_products AS (SELECT product_id, parent_product_id, store, category, product_title,
-    ROUND(CAST(price AS DOUBLE), 2) AS price, brand, material FROM first_seen WHERE rn = 1),
+    CAST(CAST(price AS VARCHAR) AS DOUBLE) AS price, brand, material FROM first_seen WHERE rn = 1),
 fact_reviews AS (SELECT review_id, user_id, time_id, product_id, CAST(rating AS DOUBLE) AS rating,
     verified_purchase, CAST(helpful_vote AS BIGINT) AS helpful_vote FROM merge_data)"""
 _ALL = ",".join([_IDS, _SILVER, _MART_USERS, _MART_PRODUCTS, _MART_CATEGORIES, _store_mart(), _MART_REVIEWS])
@@ -195,35 +194,56 @@ def _foreign_report() -> str:
 
 # Change streams.
 _CHANGES = " UNION ALL ".join(
-    [f"""SELECT '{STREAMS.reviews_topic}' AS topic, 'c' AS op, CAST(l_partkey AS VARCHAR) AS parent_asin,
+    [f"""SELECT '{STREAMS.reviews_topic}' AS topic, 'c' AS op, 'raw_reviews' AS source_table, false AS has_before,
+        CAST(l_partkey AS VARCHAR) AS parent_asin,
         CAST(l_linenumber AS BIGINT) AS ts_ms, CAST(l_orderkey % 3 AS INTEGER) AS "partition",
         CAST(l_orderkey * 16 + l_linenumber AS BIGINT) AS "offset", CAST(NULL AS VARCHAR) AS reason,
         {s.REVIEW_CHANGE} AS "value" FROM {_SALES}"""]
-    + [f"""SELECT '{STREAMS.items_topic}', {op}, {key}, CAST({s.ITEM_STEPS[version]} AS BIGINT),
+    + [f"""SELECT '{STREAMS.items_topic}', {op}, {origin}, {before}, {key}, CAST({s.ITEM_STEPS[version]} AS BIGINT),
         CAST(p_partkey % 3 AS INTEGER), CAST(p_partkey * 16 + {s.ITEM_STEPS[version]} AS BIGINT), {reason},
         {s.item_change(version)} FROM part WHERE {s.item_rows(version)}"""
-       for version, op, key, reason in [
-           ("v1", "'c'", "CAST(p_partkey AS VARCHAR)", "NULL"),
-           ("v2", "'u'", "CAST(p_partkey AS VARCHAR)", "NULL"),
-           ("gone", "'d'", "NULL", "'delete_event'"),
-           ("tombstone", "NULL", "NULL", "'tombstone'")]]
+       for version, op, origin, before, key, reason in [
+           ("v1", "'c'", "'raw_item_metadata'", "false", "CAST(p_partkey AS VARCHAR)", "NULL"),
+           ("v2", "'u'", "'raw_item_metadata'", "true", "CAST(p_partkey AS VARCHAR)", "NULL"),
+           ("gone", "'d'", "'raw_item_metadata'", "false", "NULL", "'delete_event'"),
+           ("tombstone", "NULL", "NULL", "false", "NULL", "'tombstone'")]]
 )
 # Per review: the latest version not after it, otherwise the first one after it.
-_STREAM_MERGE = f"""
-WITH versions AS (
-    SELECT p_partkey, {s.ITEM_STEPS['v1']} AS step, p_name AS title FROM part WHERE {s.item_rows('v1')}
+_PAIRS = f"""
+versions AS (
+    SELECT p_partkey, {s.ITEM_STEPS['v1']} AS step, p_name AS item_title FROM part WHERE {s.item_rows('v1')}
     UNION ALL
     SELECT p_partkey, {s.ITEM_STEPS['v2']}, concat(p_name, ' v2') FROM part WHERE {s.item_rows('v2')}),
-paired AS (
+placed AS (
     SELECT *, COALESCE(
         (SELECT max(v.step) FROM versions v WHERE v.p_partkey = l_partkey AND v.step <= l_linenumber),
         (SELECT min(v.step) FROM versions v WHERE v.p_partkey = l_partkey AND v.step > l_linenumber)) AS taken
-    FROM {_SALES})
-SELECT {_select(s.REVIEW_COLUMNS)}, p_type AS category, v.title AS product_title,
-    CAST(p_retailprice AS FLOAT) AS price, CASE WHEN p_size % 10 <> 0 THEN p_brand END AS store,
+    FROM {_SALES}),
+pairs AS (
+    SELECT *, CASE WHEN l_linenumber = 7 THEN 'bad_type:rating' WHEN l_tax = 0 THEN 'missing_required:review_title'
+        WHEN l_discount = 0.09 THEN 'bad_type:timestamp' WHEN p_size IN (7, 8) THEN 'bad_type:price' END AS fault
+    FROM placed JOIN versions v ON v.p_partkey = l_partkey AND v.step = taken
+    JOIN part p ON p.p_partkey = l_partkey)"""
+_STREAM_MERGE = f"""
+WITH {_PAIRS}
+SELECT {_select(s.REVIEW_COLUMNS)}, p_type AS category, item_title AS product_title,
+    {s.ITEM_COLUMNS['price']} AS price, CASE WHEN p_size % 10 <> 0 THEN p_brand END AS store,
     p_brand AS brand, CAST(NULL AS VARCHAR) AS material, CAST(NULL AS VARCHAR) AS style,
     split_part(p_name, ' ', 1) AS color
-FROM paired JOIN versions v ON v.p_partkey = l_partkey AND v.step = taken JOIN part p ON p.p_partkey = l_partkey"""
+FROM pairs WHERE fault IS NULL"""
+_MERGE_REJECTS = f"""
+WITH {_PAIRS}
+SELECT {s.REVIEW_COLUMNS['review_text']} AS review_text, item_title AS product_title, fault AS reason
+FROM pairs WHERE fault IS NOT NULL"""
+
+_LANDED = f"""
+SELECT CASE WHEN l_discount <> 0 AND l_linenumber <> 7 THEN 'valid' ELSE 'rejected' END AS status,
+    'raw_reviews' AS table_name, COUNT(*) AS n_rows,
+    COUNT(*) FILTER (l_discount <> 0 AND l_linenumber <> 7) AS n_numbers,
+    CAST(SUM(CASE WHEN l_discount <> 0 AND l_linenumber <> 1 THEN 2 ELSE 0 END) AS BIGINT) AS n_images
+FROM {_SALES} GROUP BY 1
+UNION ALL SELECT CASE WHEN p_size IN (3, 7) THEN 'rejected' ELSE 'valid' END, 'raw_item_metadata', COUNT(*),
+    COUNT(*) FILTER (p_size NOT IN (3, 5, 7)), CAST(2 * COUNT(*) AS BIGINT) FROM part GROUP BY 1"""
 
 _COUNTS = f"""
 SELECT COALESCE({_LINE_REASON}, 'valid') AS outcome, 'reviews' AS entity, COUNT(*) AS n_lines
@@ -240,6 +260,7 @@ ORACLE: dict[str, str] = {
     "ingest_counts": _COUNTS,
     "raw_reviews_flatten": _RAW_REVIEWS,
     "raw_items_flatten": _RAW_ITEMS,
+    "raw_tables_landed": _LANDED,
     "path_routing": f"SELECT 'reviews' AS entity, COUNT(*) AS n_lines FROM {_SALES} "
                     "UNION ALL SELECT 'metadata', COUNT(*) FROM part",
     "merge_batch_inner": _with(_MERGE, "SELECT * FROM merged"),
@@ -256,6 +277,7 @@ ORACLE: dict[str, str] = {
        for name in ("dim_time", "dim_reviews", "dim_products", "fact_reviews")},
     "pk_violations": _key_report(),
     "fk_orphans": _foreign_report(),
+    "key_report_both_paths": _key_report(),
     "natural_key_duplicates": "SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem "
                               "GROUP BY 1, 2 HAVING COUNT(*) > 1",
     "orphan_products": f"SELECT CAST(l_partkey AS VARCHAR) AS parent_product_id, COUNT(*) AS n_rows FROM {_SALES} "
@@ -268,8 +290,8 @@ ORACLE: dict[str, str] = {
     "top_stores": _with(f"{_MERGE}, {_store_mart()}", "SELECT * FROM mart_store_performance "
                         "ORDER BY total_revenue DESC, store_name LIMIT 10"),
     "top_category_per_user": _with(f"{_MERGE}, {_MART_USERS}",
-                                   "SELECT user_id, category AS top_category, category_count FROM ranked WHERE rn = 1"),
-    "user_category_counts": _with(f"{_MERGE}, {_MART_USERS}", "SELECT * FROM counts"),
+                                   "SELECT * FROM favourites"),
+    "user_category_counts": _with(f"{_MERGE}, {_MART_USERS}", "SELECT * FROM user_categories"),
     "verified_counts": _with(_MERGE, " UNION ALL ".join(
         f"SELECT k.{key} AS \"key\", '{key}' AS key_kind, COALESCE(v.n, 0) AS verified "
         f"FROM (SELECT DISTINCT {key} FROM merged) k LEFT JOIN (SELECT {key}, COUNT(*) AS n FROM merged "
@@ -286,11 +308,14 @@ ORACLE: dict[str, str] = {
         CAST(year(ts) AS INTEGER) AS "year", CAST(month(ts) AS INTEGER) AS "month",
         CAST(day(ts) AS INTEGER) AS "day", CAST(quarter(ts) AS INTEGER) AS "quarter" FROM events""",
     "event_props": "SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
-    "wire_roundtrip": _with(_MERGE, "SELECT * FROM merged"),
+    "wire_roundtrip": _with(_MERGE, "SELECT *, CAST(NULL AS VARCHAR) AS reason FROM merged UNION ALL SELECT "
+                            + ", ".join("NULL" for _ in MERGE.fields) + ", 'unknown_schema' FROM merged "
+                            "WHERE helpful_vote = 7"),
     "cdc_envelope_parse": f"WITH c AS ({_CHANGES}) SELECT * EXCLUDE (\"value\") FROM c",
     "cdc_rejects": f"WITH c AS ({_CHANGES}) SELECT topic, \"partition\", \"offset\", \"value\", reason "
                    "FROM c WHERE reason IS NOT NULL",
     "stream_merge": _STREAM_MERGE,
+    "merge_rejects": _MERGE_REJECTS,
     "stream_to_lake": _with(_IDS, "SELECT *, 'stream' AS source FROM merge_data"),
     "cdc_archive": f"WITH c AS ({_CHANGES}) SELECT topic, \"partition\", \"value\" FROM c WHERE \"value\" IS NOT NULL",
 }

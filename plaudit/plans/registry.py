@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaudit.config import LakeConfig, StreamConfig
-from plaudit.contracts import MERGE, METADATA, RAW_ITEMS, RAW_REVIEWS, REVIEWS
-from plaudit.functions import times, wire
+from plaudit.contracts import GOLD, MERGE, METADATA, RAW_ITEMS, RAW_REVIEWS, REVIEWS, SILVER
+from plaudit.functions import times
 from plaudit.functions.identifiers import uuid7_random
 from plaudit.operators import checks, enrich, ingest
 from plaudit.operators.sinks import write_merge_data, write_table
 from plaudit.operators.validate import accepted, rejected
 from plaudit.plans import batch, gold, silver
-from plaudit.session import scratch_path, tune
+from plaudit.session import in_utc, scratch_path
 from plaudit.sources import lake, starschema
 from plaudit.sources.lines import is_item_file, read_lines
 from plaudit.streaming import changes, codec, jobs
@@ -77,6 +78,22 @@ def raw_reviews_flatten(spark, sf_dir):
     return _listed(accepted(ingest.flatten_reviews(lines, F.lit(LOADED_AT)), RAW_REVIEWS))
 
 
+def raw_tables_landed(spark, sf_dir):
+    """The flattened raw tables as a job lands them, read back: rows and what they hold, by outcome."""
+    config = LakeConfig(root=scratch_path(spark, "raw-tables"))
+    _write_raw(spark, sf_dir, config.root)
+    batch.land_raw(spark, config)
+
+    def counted(name, number, images):
+        rows = lake.read_table(spark, config.raw_table(name))
+        return rows.groupBy("status").agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+            F.count(number).alias("n_numbers"), F.sum(F.size(images)).alias("n_images"))
+
+    return counted("raw_reviews", "rating", "small_image_urls").unionByName(
+        counted("raw_item_metadata", "price", "large_images"))
+
+
 def raw_items_flatten(spark, sf_dir):
     lines = starschema.item_lines(spark, sf_dir)
     return _listed(accepted(ingest.flatten_items(lines, F.lit(LOADED_AT)), RAW_ITEMS))
@@ -163,13 +180,27 @@ def _stored(spark, sf_dir):
 
 def pk_violations(spark, sf_dir):
     rows = _stored(spark, sf_dir)
-    return checks.primary_key_report(silver.silver_tables(rows) | gold.gold_tables(rows))
+    grouped = {**gold.gold_tables(rows), "dim_products": silver.dim_products(rows)}
+    return checks.derived_key_report(rows, {n: t for n, t in grouped.items() if n != "mart_reviews"})
 
 
 def fk_orphans(spark, sf_dir):
     return checks.foreign_key_report(silver.silver_tables(_stored(spark, sf_dir)))
 
 
+def key_report_both_paths(spark, sf_dir):
+    """Keys of the published tables when the same reviews came by both paths."""
+    config = LakeConfig(root=scratch_path(spark, "both"))
+    rows = merge_data(spark, sf_dir)
+    write_merge_data(rows, config, "batch", 0)
+    write_merge_data(rows, config, "stream", 0)
+    batch.publish(spark, config)
+    batch.build_silver(spark, config)
+    batch.build_gold(spark, config)
+    paths = {**{n: config.silver(n) for n in SILVER}, **{n: config.gold(n) for n in GOLD}}
+    return checks.primary_key_report({n: lake.read_table(spark, path) for n, path in paths.items()})
+
+
 def natural_key_duplicates(spark, sf_dir):
     return checks.pk_violations(starschema.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -207,13 +238,16 @@ def top_stores(spark, sf_dir):
 def catalog_sql(spark, sf_dir):
     """Free SQL over the canonical table through the catalog."""
     path = scratch_path(spark, "catalog")
-    write_table(merge_data(spark, sf_dir), path, LakeConfig(root=path))
+    columns = ["category", "timestamp", "user_id", "helpful_vote", "verified_purchase"]
+    write_table(merge(spark, sf_dir).select(*columns), path, LakeConfig(root=path))
     name = "merge_data_" + path[-32:]
     lake.register_table(spark, name, path)
-    return spark.sql(f"""
+    rows = spark.sql(f"""
         SELECT category, year(timestamp) AS review_year, count(*) AS total_reviews,
                count(DISTINCT user_id) AS total_users, max(helpful_vote) AS most_votes
         FROM {name} WHERE verified_purchase GROUP BY category, year(timestamp)""")
+    spark.sql(f"DROP TABLE {name}")  # the entry, not the files, which the result goes on reading
+    return rows
 
 
 # --- scalar functions ----------------------------------------------------------------------------
@@ -236,19 +270,19 @@ def event_props(spark, sf_dir):
 
 
 def wire_roundtrip(spark, sf_dir):
-    """Merged rows framed, carried as text, unframed and parsed; with the schema id that was read."""
-    messages = codec.encode(merge(spark, sf_dir), STREAMS)
-    framed = wire.from_carrier(F.col("value"))
-    ids = messages.withColumn("schema_id", wire.schema_id(framed)).where(
-        F.col("schema_id") == STREAMS.schema_id)
-    return accepted(codec.decode(ids, STREAMS), MERGE)
+    """Merged rows framed, carried as text, unframed and parsed; frames of another schema come back with a reason."""
+    rows = merge(spark, sf_dir)
+    messages = codec.encode(rows, STREAMS).unionByName(
+        codec.encode(rows.where("helpful_vote = 7"), replace(STREAMS, schema_id=99)))
+    return codec.decode(messages, STREAMS).select(*MERGE.fieldNames(), "reason")
 
 
 # --- change streams --------------------------------------------------------------------------------
 
 def cdc_envelope_parse(spark, sf_dir):
     rows = changes.parse_changes(starschema.change_messages(spark, sf_dir, STREAMS), STREAMS)
-    return rows.select("topic", "op", "parent_asin", "ts_ms", "partition", "offset", "reason")
+    return rows.select("topic", "op", "source_table", "has_before", "parent_asin", "ts_ms", "partition", "offset",
+                       "reason")
 
 
 def cdc_rejects(spark, sf_dir):
@@ -260,15 +294,29 @@ def cdc_rejects(spark, sf_dir):
     return spark.read.parquet(config.path("quarantine", "changes"))
 
 
-def stream_merge(spark, sf_dir):
-    """The keyed enrichment over two deliveries, resumed from its checkpoint for the second."""
+def _merged_messages(spark, sf_dir):
+    """What the keyed enrichment sends for two deliveries, resumed from its checkpoint for the second."""
     config = LakeConfig(root=scratch_path(spark, "merge"))
     feed, out = f"{config.root}/feed", f"{config.root}/merged"
     messages = starschema.change_messages(spark, sf_dir, STREAMS)
     for delivery, steps in {"early": "step <= 2", "late": "step > 2"}.items():
         starschema.deliver(messages.where(steps), feed, delivery)
         jobs.start_merge(spark, config, STREAMS, feed, out).awaitTermination()
-    return accepted(codec.decode(spark.read.parquet(out), STREAMS), MERGE)
+    return spark.read.parquet(out)
+
+
+def stream_merge(spark, sf_dir):
+    """The enriched reviews."""
+    messages = _merged_messages(spark, sf_dir).where(F.col("topic") == STREAMS.merged_topic)
+    return accepted(codec.decode(messages, STREAMS), MERGE)
+
+
+def merge_rejects(spark, sf_dir):
+    """Pairs that break the merged contract, with the reason."""
+    rows = codec.rejected_pairs(_merged_messages(spark, sf_dir), STREAMS)
+    sides = F.from_json("value", "review STRING, item STRING")
+    return rows.select(F.get_json_object(sides["review"], "$.text").alias("review_text"),
+                       F.get_json_object(sides["item"], "$.title").alias("product_title"), "reason")
 
 
 def stream_to_lake(spark, sf_dir):
@@ -297,7 +345,7 @@ def cdc_archive(spark, sf_dir):
 
 
 def _tuned(query: Query) -> Query:
-    return lambda spark, sf_dir: query(tune(spark), sf_dir)
+    return lambda spark, sf_dir: query(in_utc(spark), sf_dir)
 
 
 _QUERIES: dict[str, Query] = {
@@ -308,6 +356,7 @@ _QUERIES: dict[str, Query] = {
     "ingest_counts": ingest_counts,
     "raw_reviews_flatten": raw_reviews_flatten,
     "raw_items_flatten": raw_items_flatten,
+    "raw_tables_landed": raw_tables_landed,
     "path_routing": path_routing,
     "merge_batch_inner": merge,
     "merge_from_lines": merge_from_lines,
@@ -324,6 +373,7 @@ _QUERIES: dict[str, Query] = {
     "fact_reviews": _on_merge_data(silver.fact_reviews),
     "pk_violations": pk_violations,
     "fk_orphans": fk_orphans,
+    "key_report_both_paths": key_report_both_paths,
     "natural_key_duplicates": natural_key_duplicates,
     "orphan_products": orphan_products,
     "mart_users": _on_merge_data(gold.mart_users),
@@ -344,6 +394,7 @@ _QUERIES: dict[str, Query] = {
     "cdc_envelope_parse": cdc_envelope_parse,
     "cdc_rejects": cdc_rejects,
     "stream_merge": stream_merge,
+    "merge_rejects": merge_rejects,
     "stream_to_lake": stream_to_lake,
     "cdc_archive": cdc_archive,
 }

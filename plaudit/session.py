@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -47,6 +48,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def in_utc(spark: SparkSession) -> SparkSession:
+    """The one setting that results depend on."""
+    spark.conf.set("spark.sql.session.timeZone", RUNTIME["spark.sql.session.timeZone"])
+    return spark
+
+
+def tuned_session(spark: SparkSession) -> SparkSession:
+    """A sibling session with all settings, so the caller's session stays untouched."""
+    return tune(spark.newSession())
+
+
 def stateful_session(spark: SparkSession, state_partitions: int) -> SparkSession:
     """A sibling session with the state-store settings, so the caller's session stays untouched."""
     child = tune(spark.newSession())
@@ -69,7 +81,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         root = _local_scratch()
     return f"{root.rstrip('/')}/plaudit/{label}-{uuid.uuid4().hex}"

@@ -13,18 +13,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def spread_scan(rows: DataFrame, *columns: str) -> DataFrame:
-    """Shuffle a scan that has fewer splits than the cluster has cores; leave any other as it is.
-
-    A file of one row group is read by one task, which then also does all work up to the next
-    shuffle. ``columns`` should tell rows apart, so that no key gathers.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
-        return rows.repartition(cores, *columns)
-    return rows
-
-
 def read_parsed(spark: SparkSession, path: str, contract: StructType, fmt: str = "parquet") -> DataFrame:
     """The accepted rows; the partition filter keeps rejected files from being opened."""
     return read_table(spark, path, fmt).where("status = 'valid'").select(*contract.fieldNames())
@@ -42,6 +30,11 @@ def read_items(spark: SparkSession, config: LakeConfig) -> DataFrame:
     return read_parsed(spark, config.parsed_items, METADATA, config.table_format)
 
 
+def read_published(spark: SparkSession, config: LakeConfig) -> DataFrame:
+    """Each review of the canonical table once."""
+    return read_table(spark, config.published, config.table_format)
+
+
 def read_merge_data(spark: SparkSession, config: LakeConfig) -> DataFrame:
     """Historical and streamed rows of the canonical table, told apart by ``source``."""
     table = read_table(spark, config.merge_data, config.table_format)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from plaudit.config import StreamConfig
 from plaudit.contracts import METADATA, REVIEWS
-from plaudit.sources.lake import spread_scan
 from plaudit.streaming.messages import MESSAGE
 
 _STARS = "(1 + CAST(l_quantity AS INT) % 5)"
@@ -24,6 +23,9 @@ _SHIPPED = "CAST(l_shipdate AS TIMESTAMP)"
 _COLOR = "split_part(p_name, ' ', 1)"
 _MATERIAL = "split_part(p_name, ' ', 2)"
 
+# Some prices have three decimals.
+_PRICE = "CAST(CASE WHEN p_size = 6 THEN FLOOR(p_retailprice) + 0.125 ELSE p_retailprice END AS FLOAT)"
+
 REVIEW_COLUMNS = {
     "rating": f"CAST({_STARS} AS FLOAT)",
     "review_title": "o_orderpriority",
@@ -39,7 +41,7 @@ ITEM_COLUMNS = {
     "category": "p_type",
     "parent_product_id": "CAST(p_partkey AS STRING)",
     "product_title": "p_name",
-    "price": "CAST(p_retailprice AS FLOAT)",
+    "price": _PRICE,
     "store": "CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_brand END",
     "brand": "p_brand",
     "material": f"CASE WHEN p_size % 3 = 0 THEN {_MATERIAL} END",
@@ -48,7 +50,8 @@ ITEM_COLUMNS = {
 }
 
 # Raw review line. Faults: no closing brace where the discount is 0, a null title where the tax is
-# 0, a vote beyond 32 bits where it is 0.08, a quoted rating on line 7. A null time is no fault.
+# 0, a vote beyond 32 bits where it is 0.08, a quoted rating on line 7, a time beyond the calendar
+# where the discount is 0.09, and beyond the text form's years where it is 0.08. A null time is no fault.
 REVIEW_LINE = f"""concat(
     '{{"rating":', CASE WHEN l_linenumber = 7 THEN concat('"', CAST({_STARS} AS STRING), '"')
                         WHEN l_linenumber = 6 THEN concat(CAST({_STARS} AS STRING), '.0')
@@ -61,18 +64,20 @@ REVIEW_LINE = f"""concat(
     ',"asin":"', {_PRODUCT}, '","parent_asin":"', CAST(l_partkey AS STRING),
     '","user_id":"', CAST(o_custkey AS STRING),
     '","timestamp":', CASE WHEN l_discount = 0.1 THEN 'null'
+        WHEN l_discount = 0.09 THEN '9223372036854775807' WHEN l_discount = 0.08 THEN '1000000000000000'
         WHEN l_discount = 0.05 THEN concat('"', CAST(epoch_ms({_SHIPPED}) AS STRING), '"')
         ELSE CAST(epoch_ms({_SHIPPED}) + 789 AS STRING) END,
     ',"helpful_vote":', CASE WHEN l_tax = 0.08 THEN '3000000000' ELSE CAST(l_linenumber AS STRING) END,
     ',"verified_purchase":', CASE WHEN l_returnflag <> 'R' THEN 'true' ELSE 'false' END,
     CASE WHEN l_discount = 0 THEN '' ELSE '}}' END)"""
 
-# Raw item line. Faults: a text price where the size is 3, a null category where it is 4.
+# Raw item line. Faults: a text price where the size is 3, one out of range where it is 7, a null category
+# where it is 4.
 ITEM_LINE = f"""concat(
     '{{"main_category":', CASE WHEN p_size = 4 THEN 'null' ELSE concat('"', p_type, '"') END,
     ',"title":"', p_name, '","average_rating":4.1,"rating_number":12,"features":["a","b"],"price":',
-    CASE WHEN p_size = 3 THEN '"from 14.99"' WHEN p_size = 5 THEN 'null'
-         ELSE CAST(p_retailprice AS STRING) END,
+    CASE WHEN p_size = 3 THEN '"from 14.99"' WHEN p_size = 5 THEN 'null' WHEN p_size = 7 THEN '1e30'
+         ELSE CAST({_PRICE} AS STRING) END,
     ',"images":[{{"thumb":"t/', CAST(p_partkey AS STRING), '","large":"l/', CAST(p_partkey AS STRING),
     '","hi_res":', CASE WHEN p_size % 5 = 0 THEN 'null' ELSE concat('"h/', CAST(p_partkey AS STRING), '"') END,
     '}},{{"thumb":["x"],"large":"l2/', CAST(p_partkey AS STRING), '"}}]',
@@ -84,13 +89,19 @@ ITEM_LINE = f"""concat(
 
 # Change envelopes. A review arrives at the step of its line number. An item arrives at an early
 # step and, renamed, at a late one; the items of size 50 never arrive, those of size 49 are deleted
-# at the end (a delete event, then a message without a value).
+# at the end (a delete event, then a message without a value). An update tells the item before it.
+# Faults of the after-images: a quoted rating on line 7, a null title where the tax is 0, a time beyond
+# the calendar where the discount is 0.09; a price that is no number where the size is 8, and one out of range
+# where it is 7.
 REVIEW_STEP = "l_linenumber"
 REVIEW_CHANGE = f"""concat(
-    '{{"before":null,"after":{{"created":"2024-01-01 00:00:00","rating":', CAST({_STARS} AS STRING),
-    ',"title":"', o_orderpriority, '","text":"', {_TEXT}, '","small_image_urls":[],"asin":"', {_PRODUCT},
+    '{{"before":null,"after":{{"created":"2024-01-01 00:00:00","rating":',
+    CASE WHEN l_linenumber = 7 THEN concat('"', CAST({_STARS} AS STRING), '"') ELSE CAST({_STARS} AS STRING) END,
+    ',"title":', CASE WHEN l_tax = 0 THEN 'null' ELSE concat('"', o_orderpriority, '"') END,
+    ',"text":"', {_TEXT}, '","small_image_urls":[],"asin":"', {_PRODUCT},
     '","parent_asin":"', CAST(l_partkey AS STRING), '","user_id":"', CAST(o_custkey AS STRING),
-    '","timestamp":"', CAST(epoch_ms({_SHIPPED}) AS STRING), '","helpful_vote":', CAST(l_linenumber AS STRING),
+    '","timestamp":"', CASE WHEN l_discount = 0.09 THEN '9223372036854775807'
+        ELSE CAST(epoch_ms({_SHIPPED}) AS STRING) END, '","helpful_vote":', CAST(l_linenumber AS STRING),
     ',"verified_purchase":', CASE WHEN l_returnflag <> 'R' THEN 'true' ELSE 'false' END,
     '}},"source":{{"schema":"public","table":"raw_reviews"}},"op":"c","ts_ms":', CAST(l_linenumber AS STRING), '}}')"""
 ITEM_STEPS = {"v1": "p_size % 3 + 1", "v2": "p_size % 3 + 5", "gone": "9", "tombstone": "10"}
@@ -100,16 +111,18 @@ def item_change(version: str) -> str:
     step = ITEM_STEPS[version]
     if version == "tombstone":
         return "CAST(NULL AS STRING)"
-    after, op = "null", "d"
+    after, before, op = "null", "null", "d"
     if version != "gone":
         op = "c" if version == "v1" else "u"
         title = "p_name" if version == "v1" else "concat(p_name, ' v2')"
+        before = "null" if version == "v1" else """{"title":"', p_name, '"}"""
         after = f"""{{"created":"2024-01-01 00:00:00","main_category":"', p_type, '","title":"', {title},
-            '","price":', CAST(p_retailprice AS STRING), ',"store":', CASE WHEN p_size % 10 = 0 THEN 'null'
+            '","price":', CASE WHEN p_size = 8 THEN '"NaN"' WHEN p_size = 7 THEN '1e30' ELSE CAST({_PRICE} AS STRING) END,
+            ',"store":', CASE WHEN p_size % 10 = 0 THEN 'null'
             ELSE concat('"', p_brand, '"') END, ',"brand":"', p_brand,
             '","material":null,"style":null,"color":"', {_COLOR}, '","parent_asin":"',
             CAST(p_partkey AS STRING), '"}}"""
-    return f"""concat('{{"before":null,"after":{after},"source":{{"schema":"public","table":"raw_item_metadata"}}',
+    return f"""concat('{{"before":{before},"after":{after},"source":{{"schema":"public","table":"raw_item_metadata"}}',
         ',"op":"{op}","ts_ms":', CAST({step} AS STRING), '}}')"""
 
 
@@ -132,7 +145,6 @@ def _columns(expressions: dict[str, str]) -> list:
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    lines = spread_scan(lines, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 

@@ -55,12 +55,20 @@ def test_dedup_ranks_before_the_shuffle(stored):
 @pytest.mark.parametrize("name", registry.QUERIES)
 def test_no_python_workers_in_results(spark, sf_dir, name):
     if name in ("stream_merge", "stream_to_lake", "historical_store_mart", "cdc_archive", "cdc_rejects",
-                "path_routing", "catalog_sql"):
+                "path_routing", "catalog_sql", "merge_rejects", "raw_tables_landed", "key_report_both_paths"):
         pytest.skip("writes first; what it returns is a file scan")
     text = plan(registry.QUERIES[name](spark, sf_dir))
     assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+@pytest.mark.parametrize(("name", "scans", "shuffles"), [("pk_violations", 6, 10), ("fk_orphans", 4, 2)])
+def test_key_reports_read_and_shuffle_little(spark, sf_dir, name, scans, shuffles):
+    text = plan(registry.QUERIES[name](spark, sf_dir))
+    assert text.count("FileScan") <= scans
+    assert text.count("Exchange hashpartitioning") <= shuffles
+    assert "Join" not in text
+
+
 def test_json_is_parsed_once(spark, sf_dir):
     for name in ("silver_reviews", "silver_metadata", "raw_reviews_flatten", "raw_items_flatten", "wire_roundtrip"):
         assert plan(registry.QUERIES[name](spark, sf_dir)).count("from_json") == 1, name

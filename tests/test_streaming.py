@@ -1,9 +1,11 @@
 """Change streams against a plain sequential model, restarts, and landing."""
 
 import json
+import os
 import random
 import subprocess
 import sys
+from dataclasses import replace
 from itertools import count
 
 import pytest
@@ -16,11 +18,11 @@ from plaudit.operators.validate import accepted
 from plaudit.session import scratch_path
 from plaudit.sources import lake
 from plaudit.streaming import codec, jobs, processor
-from plaudit.streaming.merge import hot_products, merged_rows, spread
+from plaudit.streaming.merge import merged_rows, spread
 from plaudit.streaming.changes import events, parse_changes
 from plaudit.streaming.messages import MESSAGE, kafka_sink_options, kafka_source_options
 
-CONFIG = StreamConfig(trigger=None, state_buckets=7, lanes=3, state_partitions=4, hot_share=None)
+CONFIG = StreamConfig(trigger=None, state_buckets=7, lanes=3, state_partitions=4)
 
 
 def review(key, name, ts, **changes):
@@ -54,7 +56,8 @@ def run_merge(spark, deliveries, config=CONFIG):
     for number, messages in enumerate(deliveries):
         write(spark, messages, f"{feed}/{number}")
         jobs.start_merge(spark, lake_config, config, feed, out).awaitTermination()
-    rows = accepted(codec.decode(spark.read.parquet(out), config), MERGE)
+    messages = spark.read.parquet(out).where(F.col("topic") == config.merged_topic)
+    rows = accepted(codec.decode(messages, config), MERGE)
     return sorted((r.review_title, r.product_title) for r in rows.collect())
 
 
@@ -104,44 +107,82 @@ def test_random_interleavings(spark):
 
 def test_reviews_beyond_a_chunk_are_parked(spark):
     """More reviews of a group in one batch than are held in memory, with and without an item."""
-    config = StreamConfig(trigger=None, lanes=2, state_partitions=2, held_reviews=4, hot_share=None)
+    config = StreamConfig(trigger=None, lanes=2, state_partitions=2, held_rows=4)
     first = [review("P", f"r{i:03}", i) for i in range(30)]
-    second = [review("P", f"r{i:03}", i) for i in range(30, 60)] + [item("P", "m1", 45), item("P", "m2", 50)]
+    second = [review("P", f"r{i:03}", i) for i in range(30, 60)] + [
+        item("P", f"m{i}", i) for i in range(35, 55, 2)] + [item(f"Q{i}", "m", 1) for i in range(20)]
     assert run_merge(spark, [first, second], config) == sequential([first, second])
 
 
-def _hot_feed():
-    return ([item("hot", "m", 1), item("cold", "m", 1)] + [review("hot", f"r{i}", 2) for i in range(200)]
-            + [review(f"P{i}", f"q{i}", 2) for i in range(300)])
-
-
-def test_only_hot_products_fan_out(spark):
-    changes = events(parse_changes(spark.createDataFrame(_hot_feed(), MESSAGE), CONFIG))
-    assert hot_products(changes, 0.3) == ["hot"]
-    assert hot_products(changes, 0.5) == []
-    rows = spread(changes, StreamConfig(lanes=5), ["hot"])
-    copies = {(r.parent_asin, r.is_review): r.n for r in rows.groupBy("parent_asin", (F.col("rank") < 0).alias("is_review")).agg(
-        F.count("bucket").alias("n")).collect()}
-    assert copies["hot", False] == 5 and copies["cold", False] == 1
-    assert copies["hot", True] == 200 and copies["P7", True] == 1
-    used = rows.where("rank < 0").groupBy("parent_asin").agg(F.countDistinct("bucket").alias("n"))
-    assert {r.n for r in used.where("parent_asin = 'hot'").collect()} == {5}
-    assert {r.n for r in used.where("parent_asin <> 'hot'").collect()} == {1}
-
-
-def test_hot_products_are_kept_with_the_checkpoint(spark):
-    """Measured at the first start; a later delivery that is hot itself does not change the layout."""
-    config = StreamConfig(trigger=None, lanes=3, state_partitions=2, hot_share=0.3)
-    lake_config = LakeConfig(root=scratch_path(spark, "hot-test"))
-    feed = f"{lake_config.root}/feed"
-    write(spark, _hot_feed(), f"{feed}/0")
-    assert jobs.layout_products(spark, lake_config, config, feed) == ["hot"]
-    write(spark, [review("other", f"r{i}", 3) for i in range(900)], f"{feed}/1")
-    assert jobs.layout_products(spark, lake_config, config, feed) == ["hot"]
-    deliveries = [_hot_feed(), [review("hot", "late", 5), item("P1", "m", 4), item("hot", "m2", 6)]]
+def test_every_product_is_spread_by_one_rule(spark):
+    """Also a product that becomes hot after a restart: reviews go to one lane each, items to all."""
+    config = StreamConfig(trigger=None, lanes=5, state_partitions=2)
+    first = [item("late", "m", 1)] + [review(f"P{i}", f"q{i}", 2) for i in range(50)]
+    second = [review("late", f"r{i}", 3) for i in range(300)] + [item("P1", "m", 4)]
+    changes = events(parse_changes(spark.createDataFrame(first + second, MESSAGE), config))
+    rows = spread(changes, config)
+    copies = {(r.parent_asin, r.is_review): (r.n, r.used) for r in rows.groupBy(
+        "parent_asin", (F.col("rank") < 0).alias("is_review")).agg(
+            F.count("bucket").alias("n"), F.countDistinct("bucket").alias("used")).collect()}
+    assert copies["late", False] == (5, 5) and copies["P1", False] == (5, 5)
+    assert copies["late", True] == (300, 5) and copies["P7", True] == (1, 1)
+    deliveries = [first, second, [item("late", "m2", 6), review("late", "last", 7)]]
     assert run_merge(spark, deliveries, config) == sequential(deliveries)
 
 
+def test_nothing_is_lost(spark):
+    """Merged, waiting and rejected reviews are all reviews."""
+    lake_config = LakeConfig(root=scratch_path(spark, "rejects-test"))
+    feed, out = f"{lake_config.root}/feed", f"{lake_config.root}/out"
+    write(spark, [item("P", "m", 1), review("P", "fine", 2), review("P", None, 2), review("P", "quoted", 2, rating="4"),
+                  review("P", "late", 2, timestamp="9223372036854775807"), review("W", "waits", 2),
+                  item("N", "m", 1, price="NaN"), item("H", "m", 1, price=1e30), review("N", "n", 2),
+                  review("H", "h", 2), review("P", 5, 2)], f"{feed}/0")
+    jobs.start_merge(spark, lake_config, CONFIG, feed, out).awaitTermination()
+    messages = spark.read.parquet(out)
+    merged = accepted(codec.decode(messages.where(F.col("topic") == CONFIG.merged_topic), CONFIG), MERGE)
+    assert [r.review_title for r in merged.collect()] == ["fine"]
+    rejected = codec.rejected_pairs(messages, CONFIG).collect()
+    assert sorted(r.reason for r in rejected) == [
+        "bad_type:price", "bad_type:price", "bad_type:rating", "bad_type:review_title", "bad_type:timestamp",
+        "missing_required:review_title"]
+    assert all(set(json.loads(r.value)) == {"review", "item"} for r in rejected)
+
+
+class _MapState(dict):
+    """A stand-in for the state of one group."""
+
+    def getValue(self, key):
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def removeKey(self, key):
+        self.pop(key, None)
+
+
+def test_an_expired_chunk_is_skipped():
+    logic = processor.MergeProcessor(1, 2)
+    logic._heads, logic._waiting, logic._items = _MapState({("P",): (None, 2)}), _MapState({("P", 1): (["r2"],)}), _MapState()
+    texts = processor._Texts(logic._items, 2)
+    texts.add(("P", 1, 0), "m")
+    assert list(logic._pairs({"P": [(1, 0)]}, texts, [], False)) == [("r2", "m")]
+    assert logic._heads["P",] == ("m", 0) and not logic._waiting
+
+
+def test_item_texts_beyond_a_chunk_are_in_state():
+    state = _MapState()
+    texts = processor._Texts(state, 2)
+    for k in range(5):
+        texts.add(("P", k, 0), f"m{k}")
+    texts.add(("P", 4, 0), "m0")
+    assert len(texts) == 2 and len(state) == 3
+    assert [texts["P", k, 0] for k in range(5)] == ["m0", "m1", "m2", "m3", "m4"]
+    texts.clear()
+    assert not state
+
+
 def test_rejected_changes(spark):
     reviews = CONFIG.reviews_topic
     messages = [
@@ -164,6 +205,9 @@ def test_rejected_changes(spark):
     ({"rating": "5"}, "bad_type:rating"),
     ({"helpful_vote": 3000000000}, "bad_type:helpful_vote"),
     ({"timestamp": "None"}, "bad_type:timestamp"),
+    ({"timestamp": "9223372036854775807"}, "bad_type:timestamp"),
+    ({"timestamp": 10**15}, "bad_type:timestamp"),
+    ({"title": 5}, "bad_type:review_title"),
 ])
 def test_merged_contract(spark, changes, reason):
     after = json.loads(review("P", "r", 1, **changes)[3])["after"]
@@ -191,6 +235,20 @@ def test_wire_round_trip_and_bad_values(spark):
     assert bad == ["bad_frame"] * 4 + ["corrupt_json"]
 
 
+def test_frames_of_another_schema_come_back(spark):
+    rows = _merged(spark, 2)
+    foreign = codec.encode(rows, replace(CONFIG, schema_id=99))
+    decoded = codec.decode(foreign, CONFIG).collect()
+    assert [r.reason for r in decoded] == ["unknown_schema"] * 2 and all(r.review_title is None for r in decoded)
+
+
+def test_landing_rejects_what_would_not_fit(spark):
+    values = ['{"rating": 1, "price": 1e30}', '{"rating": 1e39}']
+    framed = [b"\x00\x00\x00\x00\x01" + v.encode() for v in values]
+    rows = codec.decode(spark.createDataFrame([(f,) for f in framed], "value BINARY"), CONFIG).collect()
+    assert all(r.reason is not None for r in rows)
+
+
 def test_landing_is_idempotent(spark):
     """The same batch written again replaces itself; a restart goes on after the last batch."""
     config = LakeConfig(root=scratch_path(spark, "landing-test"))
@@ -217,7 +275,8 @@ def test_kafka_options():
     options = kafka_source_options(config, [config.reviews_topic, config.items_topic])
     assert options["subscribe"] == "test.public.raw_reviews,test.public.raw_item_metadata"
     assert options["startingOffsets"] == "earliest"
-    assert kafka_sink_options(config, config.merged_topic)["topic"] == "merge_metadata_reviews"
+    assert "topic" not in kafka_sink_options(config)  # each message names its own
+    assert config.rejected_topic == "merge_metadata_reviews.rejected"
 
 
 def test_state_logic_travels_without_the_package(tmp_path):
@@ -228,5 +287,6 @@ def test_state_logic_travels_without_the_package(tmp_path):
             "p = cloudpickle.loads(open(sys.argv[1], 'rb').read())\n"
             "assert importlib.util.find_spec('plaudit') is None\n"
             "print(list(p._framed(iter([('r', 'i')])))[0].columns.tolist())")
-    done = subprocess.run([sys.executable, "-c", code, str(state)], cwd=tmp_path, capture_output=True, text=True)
+    clean = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code, str(state)], cwd=tmp_path, capture_output=True, text=True, env=clean)
     assert "['review', 'item']" in done.stdout, done.stderr

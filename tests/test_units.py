@@ -70,6 +70,10 @@ def test_digest_keeps_fields_apart(spark):
               c=content_digest(F.lit("x"), F.lit("")), d=content_digest(F.lit("xy"), F.lit("z")),
               e=content_digest(F.lit("x"), F.lit("yz")))
     assert len(set(row)) == 5
+    tricky = one(spark, a=content_digest(F.lit("a\u001fb"), F.lit("c")), b=content_digest(F.lit("a"), F.lit("b\u001fc")),
+                 c=content_digest(F.lit("-"), none), d=content_digest(none, F.lit("-")), e=content_digest(F.lit("1:a"), none),
+                 f=content_digest(F.lit("\u0001"), none), g=content_digest(none, none))
+    assert len(set(tricky)) == 7
 
 
 def test_times(spark):
@@ -79,6 +83,9 @@ def test_times(spark):
     assert row.at == datetime(2020, 5, 5, 14, 8, 48) == row.back
     assert row.text == "2020-05-05 14:08:48" and row.bad is None
     assert row.early == datetime(1969, 12, 31, 23, 59, 59)
+    beyond = one(spark, a=from_millis(F.lit(9223372036854775807)), b=from_millis(F.lit(10**15)),
+                 c=from_millis(F.lit(-10**15)), last=to_text(from_millis(F.lit(253_402_300_799_999))))
+    assert (beyond.a, beyond.b, beyond.c) == (None, None, None) and beyond.last == "9999-12-31 23:59:59"
 
 
 def test_every_byte_survives_the_carrier(spark):
@@ -110,11 +117,23 @@ def test_jdbc_options():
     assert jdbc_options(config, "t")["user"] == "u"
     options = jdbc_write_options(config, "gold.mart_reviews", contracts.GOLD["mart_reviews"])
     assert options["dbtable"] == "gold.mart_reviews"
-    assert options["createTableColumnTypes"].startswith("review_id VARCHAR, user_id VARCHAR")
+    assert options["createTableColumnTypes"] == "review_id VARCHAR(36)"
     with pytest.raises(ValueError):
         jdbc_options(LakeConfig(root="x"), "t")
 
 
+@pytest.mark.parametrize("name", [*contracts.SILVER, *contracts.GOLD])
+def test_jdbc_types_parse(spark, name):
+    """Spark reads the option with its own parser, and checks the names against the rows."""
+    target = (contracts.SILVER | contracts.GOLD)[name]
+    config = LakeConfig(root="x", jdbc_url="jdbc:postgresql://h/db")
+    types = jdbc_write_options(config, name, target).get("createTableColumnTypes")
+    if types:
+        parsed = T.StructType.fromDDL(types)
+        assert set(parsed.fieldNames()) <= set(target.fieldNames())
+        assert all(isinstance(f.dataType, (T.VarcharType, T.StringType)) for f in parsed)
+
+
 def test_ids_are_unique_and_stable(spark, sf_dir):
     rows = registry.merge_data(spark, sf_dir)
     assert rows.select("review_id").distinct().count() == rows.count()
@@ -150,6 +169,7 @@ def test_historical_job_twice(spark, sf_dir):
     n = lake.read_merge_data(spark, config).count()
     users = lake.read_table(spark, config.gold("mart_users"))
     first = sorted(users.collect(), key=str)
+    distinct = lake.read_merge_data(spark, config).select("review_id").distinct().count()
     assert batch.run_historical(spark, config) == counts
     assert lake.read_merge_data(spark, config).count() == n
     assert sorted(lake.read_table(spark, config.gold("mart_users")).collect(), key=str) == first
@@ -162,6 +182,32 @@ def test_historical_job_twice(spark, sf_dir):
     batch.build_merge_data(spark, config)
     assert lake.read_merge_data(spark, config).count() == 2 * n
     assert lake.read_merge(spark, config).count() == n
+    # Both paths hold the same reviews: what is published does not count them twice.
+    batch.run_historical(spark, config)
+    assert lake.read_published(spark, config).count() == distinct
+    assert sorted(lake.read_table(spark, config.gold("mart_users")).collect(), key=str) == first
+
+
+def test_broken_keys_stop_the_job(spark, sf_dir):
+    config = LakeConfig(root=scratch_path(spark, "keys-test"))
+    rows = registry.merge_data(spark, sf_dir)
+    write_merge_data(rows, config, "batch", 0)
+    batch.publish(spark, config)
+    batch.build_silver(spark, config)
+    batch.build_gold(spark, config)
+    batch.check_keys(spark, config)
+    twice = lake.read_table(spark, config.silver("dim_time")).limit(1)
+    twice.write.mode("append").parquet(config.silver("dim_time"))
+    with pytest.raises(ValueError, match="dim_time"):
+        batch.check_keys(spark, config)
+
+
+def test_queries_leave_the_session_alone(spark, sf_dir):
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    registry.QUERIES["mart_users"](session, sf_dir)
+    assert session.conf.get("spark.sql.adaptive.enabled") == "false"
+    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
 def test_catalog_table_over_partitions(spark, sf_dir):
