@@ -252,9 +252,11 @@ def _searched(length: int, most: int, first: bool):
 
 
 def _several(slices: DataFrame, own) -> DataFrame:
-    """Slices of the classes in which something may repeat besides whole slices."""
+    """Slices of the classes in which something may repeat besides whole slices. The classes are stored first, so that
+    a large one can be split in the join."""
     kinds = slices.groupBy("class").agg(F.count("*").alias("kinds"), F.max(own).alias("own"))
-    return slices.join(kinds.filter("kinds > 1 or own"), "class", "left_semi")
+    chosen = checkpointed(kinds.filter("kinds > 1 or own").select("class"))
+    return slices.join(chosen, "class", "left_semi")
 
 
 def _whole(members: DataFrame, copied: DataFrame, first: bool) -> DataFrame:
@@ -287,8 +289,8 @@ def repeated_spans(rows: DataFrame, length: int, first: bool, most: int, max_bit
     place = ["class", "h1", "h2", "k1", "k2", "start", "stop"]
     members = checkpointed(_dealt(rows, length, sketch).groupBy(*place).agg(
         F.count("*").alias("n"), F.min("id").alias("id"), F.first("own").alias("own")))
-    found = members.groupBy("class", "h1", "h2").agg(F.sum("n").alias("copies"), F.min_by(
-        F.struct("k1", "k2", "id", "start", "stop", "own"), F.struct(F.col("id").isNull(), "id", "start")).alias("r"))
+    found = checkpointed(members.groupBy("class", "h1", "h2").agg(F.sum("n").alias("copies"), F.min_by(
+        F.struct("k1", "k2", "id", "start", "stop", "own"), F.struct(F.col("id").isNull(), "id", "start")).alias("r")))
     needed = (_several(found, F.col("r.own"))
               .groupBy(F.col("r.k1").alias("s1"), F.col("r.k2").alias("s2"))
               .agg(F.collect_list(F.struct("class", "h1", "h2", "r.id", "r.start", "r.stop", "copies",
@@ -326,9 +328,10 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", len
     if keep not in ("none", "first"):
         raise ValueError("keep is 'none' or 'first'")
     first = keep == "first"
-    whole = F.coalesce(F.col(text), F.lit(""))
-    hashed = docs.select("*", F.xxhash64(whole).alias("_k1"), F.xxhash64(F.lit(1), whole).alias("_k2"))
-    rows = hashed.select(F.struct(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col(id).cast("long").alias("id"),
+    whole = F.coalesce(F.col("doc").getField(text), F.lit(""))
+    hashed = packed(docs, [id, text, *(carry or [])]).select(
+        "doc", F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit(1), whole).alias("k2"))
+    rows = hashed.select(F.struct("k1", "k2", F.col("doc").getField(id).cast("long").alias("id"),
                                   whole.alias("text")).alias("doc"))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     found = repeated_spans(rows, length, first, most, max_bits, size)
@@ -338,11 +341,7 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", len
         found = found.join(least, ["k1", "k2"], "full")
     else:
         found = found.select("*", F.lit(None).cast("long").alias("least"), F.lit(None).cast("long").alias("texts"))
-    found = found.withColumnsRenamed({"k1": "_s1", "k2": "_s2"})
-    kept = list(dict.fromkeys([id, text, *(carry or [])]))
-    joined = packed(hashed, [*kept, "_k1", "_k2"]).join(
-        found, (F.col("doc._k1") == F.col("_s1")) & (F.col("doc._k2") == F.col("_s2")), "left").select(
-        F.struct(*[F.col("doc").getField(c).alias(c) for c in kept]).alias("doc"), "spans", "least", "texts")
+    joined = hashed.join(found, ["k1", "k2"], "left").select("doc", "spans", "least", "texts")
 
     def work(batch: pa.RecordBatch, texts: pa.Array) -> dict[str, pa.Array]:
         data, offsets = bytes_of(texts)
