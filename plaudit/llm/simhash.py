@@ -165,7 +165,10 @@ def links(prints: DataFrame, distance: int = 3, group: int = 512) -> DataFrame:
     """(u, v) links that connect distinct fingerprints as all pairs at `distance` (3 at most) or less would."""
     if not 0 <= distance <= 3:
         raise ValueError("two halves find distances up to 3")
-    rows = prints.select("print", F.lit(0).cast("long").alias("path"), F.lit(0).cast("byte").alias("part"))
+    # A row becomes 66; a number of partitions that is given is not merged for the small size of the rows before.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = prints.repartition(parts, "print").select(
+        "print", F.lit(0).cast("long").alias("path"), F.lit(0).cast("byte").alias("part"))
     found = None
     for level in range(len(WIDTHS)):
         keyed = rows.mapInArrow(_keyed(level), "key long, print long, bit byte, part byte")
