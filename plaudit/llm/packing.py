@@ -14,6 +14,7 @@ tokens but the closing one is a piece of one token.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -32,6 +33,16 @@ CLOSING = 1  # the id after each document
 KNOWN = 300_000  # words whose ids a worker remembers
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte: itself if it prints, else the next from 256 on."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+BYTES = _byte_letters()
+
+
 class WordIds:
     """Ids of whole texts. Words are looked up one by one where that is the same as asking the library for the text:
     in Latin script, where its normalisation and its word pattern are plain, and without its special strings."""
@@ -46,23 +57,24 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _word(self, word: str) -> bytes:
+        """Ids of one word, which is what is left to do once the text has been normalised and split."""
+        found = self.model.tokenize(word.encode().decode("latin-1").translate(BYTES))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
     def __call__(self, text: str) -> bytes:
         if self.FOREIGN.search(text):
-            return self._ids([text])[0]
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = self.PATTERN.findall(text.lower())
         if len(self.known) > KNOWN:
             self.known.clear()
         known = self.known
-        fresh = [w for w in set(words) if w not in known]
-        for at in range(0, len(fresh), 1000):
-            part = fresh[at:at + 1000]
-            known.update(zip(part, self._ids(part), strict=True))
+        for word in set(words):
+            if word not in known:
+                known[word] = self._word(word)
         return b"".join([known[w] for w in words])
 
 
