@@ -4,9 +4,10 @@ Pass 1 counts, for every document, the anchors of its word windows in a count-mi
 the smallest hash among its inner word groups: equal windows have equal anchors, neighbours mostly share one, and so
 the sketch holds a quarter of the keys and its estimate for a window is still never too low.
 
-Pass 2 groups exactly, by 96 bits of hash, those windows whose estimate is two documents or more. Windows
-estimated in fewer than `hot` documents go through one window function: the estimate bounds its groups. The others are
-reduced to their smallest document before the shuffle and joined, and the join can be split by key.
+Pass 2 groups exactly, by 96 bits of hash, those windows whose estimate is two documents or more, and finds the smallest
+id of each group. A window estimated in fewer than `hot` documents is one group, which the estimate bounds. The
+smallest id of the others is found first, reduced in the tasks before the shuffle; each such window is then dealt over `salts`
+groups, and the smallest id is put into those of them that have rows.
 
 The sketch has a fixed largest size (`max_bits`). Beyond the input it suits, more windows pass the prefilter and
 reach the exact pass, which then shuffles more; the result stays the same.
@@ -80,8 +81,8 @@ def _candidates(id: str, text: str, window: int, sketch):
     return run
 
 
-def removed_windows(docs: DataFrame, id: str, text: str, window: int = 13, hot: int = 1000,
-                    max_bits: int = 27) -> DataFrame:
+def removed_windows(docs: DataFrame, id: str, text: str, window: int = 13, hot: int = 10_000,
+                    max_bits: int = 27, salts: int = 64) -> DataFrame:
     """For each id the keys of its windows that also start in a document with a smaller id."""
     spark = docs.sparkSession
     rows = packed(docs.filter(F.col(id).isNotNull()), [id, text])
@@ -89,16 +90,18 @@ def removed_windows(docs: DataFrame, id: str, text: str, window: int = 13, hot:
     # An anchor comes with about 26 bytes of text.
     sketch = spark.sparkContext.broadcast(sketched(rows, text, _anchors(text, window), size / 26, max_bits, hot))
     found = rows.mapInArrow(_candidates(id, text, window, sketch), "key long, more int, id long, often boolean")
-    rare = (found.filter(~F.col("often"))
-            .withColumn("least", F.min("id").over(Window.partitionBy("key", "more"))))
-    many = found.filter("often")
-    many = many.join(many.groupBy("key", "more").agg(F.min("id").alias("least")), ["key", "more"])
-    later = rare.select("id", "key", "least").union(many.select("id", "key", "least")).filter("id > least")
+    salted = found.withColumn("salt", F.when(F.col("often"), F.pmod(F.xxhash64("id"), F.lit(salts))).otherwise(0))
+    least = (salted.filter("often").groupBy("key", "more")
+             .agg(F.min("id").alias("id"), F.collect_set("salt").alias("salts"), F.count("*").alias("n"))
+             .filter("n > 1").select("key", "more", "id", F.explode("salts").alias("salt")))
+    group = Window.partitionBy("key", "more", "salt")
+    later = (salted.select("key", "more", "id", "salt").union(least)
+             .withColumn("least", F.min("id").over(group)).filter("id > least"))
     return later.groupBy("id").agg(F.collect_list("key").alias("keys"))
 
 
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 13,
-                    carry: list[str] | None = None, hot: int = 1000, max_bits: int = 27) -> DataFrame:
+                    carry: list[str] | None = None, hot: int = 10_000, max_bits: int = 27) -> DataFrame:
     """Every row of `docs` as `doc` with its number of words, how many were removed, and the kept words.
 
     A word goes if a window of `window` words that covers it also starts in a document with a smaller id.

@@ -20,7 +20,7 @@ def substring_rows(frame):
     return rows_of(frame.select(DOC_ID, "n_words", "n_removed", F.sha2("kept_text", 256)))
 
 
-@pytest.mark.parametrize("hot", [1000, 2])
+@pytest.mark.parametrize("hot", [10_000, 2])
 @pytest.mark.parametrize("window", [13, 3])
 def test_substring(docs, corpus, hot, window):
     got = substring_rows(substring.without_repeats(docs, window=window, hot=hot, max_bits=18))
