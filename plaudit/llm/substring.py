@@ -116,7 +116,9 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", win
         n_words = np.diff(words.first)
         n_removed = np.zeros(len(texts), np.int64)
         kept = []
-        hashes = window_hashes(word_hashes(words, 0), window, 0).view(np.int64)
+        hashes = None
+        if keys.null_count < len(keys):
+            hashes = window_hashes(word_hashes(words, 0), window, 0).view(np.int64)
         for i, whole in enumerate(texts):
             parts = (whole.as_py() or "").encode().split()
             if keys[i].is_valid and n_words[i] >= window:

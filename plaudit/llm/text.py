@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute
 
 # Text that is worked on at once; a longer document is a slice of its own, whole.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 U64 = np.uint64
 
@@ -94,15 +94,17 @@ def _lane(lane: int) -> tuple[np.ndarray, int, int]:
     return table, factor, pow(factor, -1, 1 << 64)
 
 
-@lru_cache(12)
-def _powers(base: int, size: int) -> np.ndarray:
-    out = np.full(size, base, U64)
-    out[0] = 1
-    return np.cumprod(out, dtype=U64)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, size: int) -> np.ndarray:
-    return _powers(base, 1 << max(16, int(size).bit_length()))[:size]
+    """base ** 0, 1, ... modulo 2 ** 64; one array is kept for each base, as long as the longest text has asked for."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < size:
+        known = np.full(max(size, SLICE_BYTES + 1), base, U64)
+        known[0] = 1
+        known = _POWERS[base] = np.cumprod(known, dtype=U64)
+    return known[:size]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
