@@ -77,10 +77,19 @@ def fold(id: str, parts: int) -> Column:
 
 
 def sampled(rows: DataFrame, by: str, id: str, most: int) -> DataFrame:
-    """(id, by) of at most `most` rows of each value of `by`, those with the smallest hash of the id."""
+    """(id, by) of at most `most` rows of each value of `by`, those with the smallest hash of the id.
+
+    Rows are counted first, and only hashes below about twice the share that is wanted are ranked: what comes together
+    for a value is bounded by `most`, however many rows and tasks there are.
+    """
+    rows = rows.select(id, by).dropna()
+    counts = checkpointed(rows.groupBy(F.col(by).alias("_of")).agg(F.count("*").alias("_n")))
+    if counts.count() <= 10_000:  # a row for each value
+        counts = F.broadcast(counts)
+    place = F.xxhash64(id).cast("double") / 2.0**64 + 0.5
+    near = rows.join(counts, F.col(by) == F.col("_of")).filter(place * F.col("_n") <= 2.0 * most + 100)
     order = Window.partitionBy(by).orderBy(F.xxhash64(id), id)
-    return (rows.select(id, by).dropna().withColumn("_rank", F.row_number().over(order))
-            .filter(F.col("_rank") <= most).drop("_rank"))
+    return near.select(id, by, F.row_number().over(order).alias("_rank")).filter(F.col("_rank") <= most).select(id, by)
 
 
 def of_sample(docs: DataFrame, sample: DataFrame, id: str, most: int = 1_000_000) -> DataFrame:

@@ -139,3 +139,5 @@ def test_samples_are_bounded(spark):
     rows = spark.range(1000).select("id", F.when(F.col("id") < 900, 0).when(F.col("id") < 950, 1).alias("y"))
     counts = {r.y: r["count"] for r in sampled(rows, "y", "id", 60).groupBy("y").count().collect()}
     assert counts == {0: 60, 1: 50}
+    smallest = rows.filter("y = 0").orderBy(F.xxhash64("id")).limit(60).select("id")
+    assert sampled(rows.filter("y = 0"), "y", "id", 60).select("id").exceptAll(smallest).isEmpty()
