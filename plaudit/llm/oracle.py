@@ -4,7 +4,7 @@ Not expressible: learned models (op1, op6, op7), public tokenizers (op3, op8), t
 strings of bytes at any place (op5); tests hold these against brute force.
 """
 
-from plaudit.llm.rules import COMMON, N_CLASSES
+from plaudit.llm.rules import COMMON, N_CLASSES, forms
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -58,9 +58,11 @@ def _count(letters: str) -> str:
 
 
 def _listed(words: list[str]) -> str:
-    names = ", ".join(f"'{w}'" for w in words)
-    each = ", ".join(f"len(list_filter(ws, lambda w: lower(w) = '{w}'))" for w in words)
-    return f"[{each}, len(list_filter(ws, lambda w: lower(w) NOT IN ({names})))]"
+    def quoted(listed: list[str]) -> str:
+        return ", ".join(f"'{w}'" for w in forms(listed))
+
+    each = ", ".join(f"len(list_filter(ws, lambda w: w IN ({quoted([w])})))" for w in words)
+    return f"[{each}, len(list_filter(ws, lambda w: w NOT IN ({quoted(words)})))]"
 
 
 def _distance(p: str, q: str, size: int) -> str:

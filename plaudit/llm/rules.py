@@ -6,8 +6,7 @@ documents of the language that pass the minimum lengths. A document is judged by
 characters on, and by words from `least_words` words on and only in a language with a word list; a shorter one, or
 one whose language has no reference, is not judged by that measure. Language null is a language of its own.
 
-Null texts have no words. Repeated rows get the same answer each. All features of a row are made in one generator, so that
-they are made once.
+Null texts have no words. Repeated rows get the same answer each.
 """
 
 from __future__ import annotations
@@ -17,11 +16,10 @@ from pyspark.sql import functions as F
 
 from plaudit.llm.rows import checkpointed
 
-SPACE = " \t\n\x0b\x0c\r"
-#: Symbols, other punctuation, and the commonest words by language.
-SYMBOLS = "#*$%&|<>"
-PUNCTUATION = ".,;:!?'\"()-"
-DIGITS = "0123456789"
+#: Fixed values, as patterns: characters by class, and the commonest words by language.
+SPACE = r"[\x20\x09-\x0D]"
+LOWER_OR_SPACE = r"[a-z\x20\x09-\x0D\p{Ll}]"
+OTHERS = {"upper": r"\p{Lu}", "digits": "[0-9]", "symbols": "[#*$%&|<>]", "punctuation": r"[.,;:!?'\"()\-]"}
 COMMON = {
     "en": "the of and to in is that it was for on with".split(),
     "de": "der die und in den von zu das mit des ein nicht".split(),
@@ -31,16 +29,27 @@ COMMON = {
 N_CLASSES = 7
 
 
-def _without(text: Column, letters: str) -> Column:
-    return F.char_length(F.translate(text, letters, ""))
+def forms(listed: list[str]) -> list[str]:
+    """A word as it is, with a capital, and in capitals."""
+    return [form for word in listed for form in (word, word.capitalize(), word.upper())]
 
 
-def _repeated_words(words: Column) -> Column:
-    """Words that lie in a 3-word window whose words come again. Windows are sorted by 96 bits of hash; neighbours
-    are compared, and the places of the equal ones are put in order again."""
-    windows = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.struct(
-        F.xxhash64(words[i], words[i + 1], words[i + 2]).alias("a"),
-        F.hash(words[i], words[i + 1], words[i + 2]).alias("b"), i.alias("i")))
+def _less(text: Column, pattern: str) -> Column:
+    return F.regexp_replace(text, f"{pattern}+", "")
+
+
+def _hashes(words: Column) -> Column:
+    """A hash of each 3-word window."""
+    places = F.sequence(F.lit(0), F.size(words) - 3)
+    return F.when(F.size(words) < 3, F.array().cast("array<long>")).otherwise(
+        F.transform(places, lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2])))
+
+
+def _repeated_words(words: Column, hashes: Column) -> Column:
+    """Words that lie in a 3-word window whose words come again. If the windows' hashes are not all different, windows are
+    sorted by 96 bits of hash; neighbours are compared, and the places of the equal ones are put in order again."""
+    windows = F.transform(hashes, lambda h, i: F.struct(
+        h.alias("a"), F.hash(words[i], words[i + 1], words[i + 2]).alias("b"), i.alias("i")))
 
     def same(x: Column, y: Column) -> Column:
         return (x["a"] == y["a"]) & (x["b"] == y["b"])
@@ -55,28 +64,30 @@ def _repeated_words(words: Column) -> Column:
         return F.aggregate(at, F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")), lambda s, i: F.struct(
             i.alias("last"), (s["n"] + F.least(F.lit(3), i - s["last"])).alias("n")), lambda s: s["n"])
 
-    # One-element arrays bind what the inner functions look into, so that it is made once for each row.
-    found = F.transform(F.array(F.array_sort(windows)), places)
-    counted = F.transform(found, lambda at: covered(F.array_sort(at)))
-    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(counted[0])
+    # The one-element array binds what the inner functions look into, so that it is made once for each row.
+    found = covered(F.sort_array(F.transform(F.array(F.sort_array(windows)), places)[0]))
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(found)
 
 
-def _classes(text: Column) -> Column:
-    """Characters by class: lower case, upper case, digits, space, symbols, punctuation, others."""
-    size = F.char_length(text)
-    known = [size - F.char_length(F.regexp_replace(text, "\\p{Ll}+", "")),
-             size - F.char_length(F.regexp_replace(text, "\\p{Lu}+", "")),
-             *[size - _without(text, letters) for letters in (DIGITS, SPACE, SYMBOLS, PUNCTUATION)]]
-    return F.array(*[k.cast("long") for k in known], (size - sum(known[1:], known[0])).cast("long"))
+def _classes(text: Column, rest: Column, word_chars: Column) -> Column:
+    """Characters by class; `rest` is what neither lower case nor space is."""
+    left = F.char_length(rest)
+    known = [left - F.char_length(_less(rest, pattern)) for pattern in OTHERS.values()]
+    space = F.char_length(text) - word_chars
+    return F.array(*[c.cast("long") for c in (
+        *known, left - sum(known[1:], known[0]), space, word_chars - left)])
 
 
 def _listed(words: Column, listed: list[str]) -> Column:
-    def times(chosen: Column, word: str) -> Column:
-        return F.size(F.filter(chosen, lambda w: w == word)).cast("long")
-
-    chosen = F.filter(F.transform(words, F.lower), lambda w: w.isin(listed))
-    return F.transform(F.array(chosen), lambda c: F.array(
-        *[times(c, word) for word in listed], (F.size(words) - F.size(c)).cast("long")))[0]
+    """Each listed word gets a letter; the text of all letters is as much shorter without one as the word is frequent."""
+    letters = "abcdefghijklmnopqrstuvwxyz"[:len(listed)]
+    names = F.array(*[F.lit(word) for word in listed])
+    chosen = F.filter(words, lambda w: w.isin(forms(listed)))
+    line = F.array_join(F.transform(chosen, lambda w: F.substring(
+        F.lit(letters), F.array_position(names, F.lower(w)).cast("int"), F.lit(1))), "")
+    return F.transform(F.array(line), lambda x: F.array(
+        *[(F.length(x) - F.length(F.replace(x, F.lit(letter), F.lit("")))).cast("long") for letter in letters],
+        (F.size(words) - F.length(x)).cast("long")))[0]
 
 
 def _common(words: Column, lang: Column) -> Column:
@@ -88,22 +99,22 @@ def _common(words: Column, lang: Column) -> Column:
 
 
 def measured(docs: DataFrame, id: str, text: str, lang: str) -> DataFrame:
-    """Base counts and the two histograms of every row."""
-    docs = docs.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
-    words = F.array_remove(F.split("text", f"[{SPACE}]+"), "")
-
-    def features(t: Column, ws: Column) -> Column:
-        return F.struct(
-            F.size(ws).cast("long").alias("n_words"),
-            _without(t, SPACE).cast("long").alias("word_chars"),
-            (F.char_length(t) - _without(t, SYMBOLS)).cast("long").alias("n_symbols"),
-            F.transform(F.array(F.filter(F.split(t, "\n"), lambda x: F.translate(x, SPACE, "") != "")),
-                        lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))[0].alias("n_dup_lines"),
-            _repeated_words(ws).alias("n_repeat_words"),
-            _classes(t).alias("classes"), _common(ws, F.col("lang")).alias("common"))
-
-    return docs.select("id", "lang", F.inline(F.transform(
-        F.array(F.struct(F.col("text").alias("t"), words.alias("ws"))), lambda r: features(r["t"], r["ws"]))))
+    """Base counts and the two histograms of every row. What several of them need is made in generators, whose output is
+    made once; the words first, then the hashes and what remains of the text."""
+    rows = docs.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = rows.select("*", F.explode(F.array(F.array_remove(F.split("text", f"{SPACE}+"), ""))).alias("words"))
+    rows = rows.select("*", F.inline(F.array(F.struct(
+        _hashes(F.col("words")).alias("hashes"), _less(F.col("text"), LOWER_OR_SPACE).alias("rest"),
+        F.char_length(F.array_join("words", "")).cast("long").alias("word_chars")))))
+    text, words, rest, word_chars = (F.col(c) for c in ("text", "words", "rest", "word_chars"))
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return rows.select(
+        "id", "lang", F.size(words).cast("long").alias("n_words"), word_chars,
+        (F.char_length(rest) - F.char_length(_less(rest, OTHERS["symbols"]))).cast("long").alias("n_symbols"),
+        F.transform(F.array(lines), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))[0]
+        .alias("n_dup_lines"),
+        _repeated_words(words, F.col("hashes")).alias("n_repeat_words"),
+        _classes(text, rest, word_chars).alias("classes"), _common(words, F.col("lang")).alias("common"))
 
 
 def _shares(counts: Column) -> Column:
