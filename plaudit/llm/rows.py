@@ -47,6 +47,8 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Rec
     for batch in batches:
         for at, to in slices(text_of(batch, text)):
             yield batch.slice(at, to - at)
+        del batch
+        pa.default_memory_pool().release_unused()  # a worker lives on, and its task's JVM needs the room
 
 
 def durable(spark: SparkSession) -> SparkSession:

@@ -18,8 +18,10 @@ from plaudit.llm.rows import text_slices
 from plaudit.llm.text import U64, mix
 
 DEPTH = 2  # rows of the sketch
-BLOCK_BITS = 22
-SEND = 6_000_000  # cells that a task holds before it sends them
+BLOCK_BITS = 20
+MERGERS = 64  # tasks that sum blocks; each holds a few of them, of four bytes a cell
+MOST = (1 << 32) - 1
+SEND = 3_000_000  # cells that a task holds before it sends them
 
 
 def _cells(keys: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -69,9 +71,10 @@ def _merged(bits: int, often: int):
         unpack, sums = zstandard.ZstdDecompressor(), {}
         for batch in batches:
             for part in batch.to_pylist():
-                total = sums.setdefault(part["block"], np.zeros(1 << _block_bits(bits), np.int64))
+                total = sums.setdefault(part["block"], np.zeros(1 << _block_bits(bits), np.uint32))
                 at = np.cumsum(np.frombuffer(unpack.decompress(part["steps"]), np.uint32))
-                total[at] += np.frombuffer(unpack.decompress(part["counts"]), np.uint32)
+                counts = np.frombuffer(unpack.decompress(part["counts"]), np.uint32)
+                total[at] = np.minimum(total[at].astype(np.int64) + counts, MOST)
         pack = zstandard.ZstdCompressor(level=1)
         for block, total in sums.items():
             yield pa.RecordBatch.from_pylist([{"block": block, **{
@@ -115,6 +118,6 @@ def sketched(rows: DataFrame, text: str, keys: Callable[[pa.RecordBatch], np.nda
     """The sketch of all keys of the rows, with four cells in each of its rows for each key expected."""
     bits = min(max_bits, max(16, int(4 * expected).bit_length()))
     parts = rows.mapInArrow(_parts(text, keys, bits), "block int, steps binary, counts binary")
-    blocks = parts.repartition(max(1, DEPTH << bits >> _block_bits(bits)), "block").mapInArrow(
+    blocks = parts.repartition(min(MERGERS, DEPTH << bits >> _block_bits(bits)), "block").mapInArrow(
         _merged(bits, often), "block int, twice binary, often binary").collect()  # two bits a cell at most
     return Sketch(bits, blocks)
