@@ -2,7 +2,9 @@
 
 The lexicon holds words and stems (beginnings of words) that labelled toxic documents use and clean ones do not. It is
 learned from at most `per_label` labelled documents of each label: a term must stand out by a G-test, and in
-several different neighbourhoods, so that the words of one much copied document do not pass for toxic ones.
+several different neighbourhoods, so that the words of one much copied document do not pass for toxic ones. Every term of
+these documents is tested, in Spark; what passes both tests comes to the driver, where the `most_terms` most telling ones
+without overlap are taken.
 
 Matching walks the trie of the lexicon and the Levenshtein automaton of all its terms together, as one automaton
 whose states are built when first met: most words leave it after a few letters. A term of five letters or more may be
@@ -26,11 +28,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plaudit.llm.logistic import Logistic
-from plaudit.llm.rows import of_sample, packed, sampled, text_of, text_slices, with_columns
+from plaudit.llm.rows import checkpointed, of_sample, packed, sampled, text_of, text_slices, with_columns
 
 EDGES = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum()) + "“”„«»‘’‚‹›¡¿…–—"
 OPENING, CLOSING = "\"'“„«‘‚‹”", "\"'”“»’‘›"
@@ -226,7 +228,6 @@ class Toxicity:
 
 TRUST = 0.6  # of a misspelling of which nothing is known
 LEAST_PLACES = 3
-MOST_CANDIDATES = 20_000
 
 
 def _terms_of(word: str) -> list[str]:
@@ -252,35 +253,43 @@ def _counted(text: str, label: str):
     return run
 
 
-def _placed(text: str, chosen):
-    """Where candidate terms stand: the word with its neighbours."""
+def _placed(text: str):
+    """Where words stand: each with its neighbours."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, text):
             found = set()
             for t in text_of(batch, text).to_pylist():
                 words = [bare(w) for w in _WORD.findall((t or "").lower())]
-                for k, word in enumerate(words):
-                    for term in _terms_of(word) if word else ():
-                        if term in chosen.value:
-                            found.add((term, word, " ".join(words[max(0, k - 1):k] + words[k + 1:k + 2])))
-            yield pa.RecordBatch.from_pylist([dict(zip(("term", "word", "place"), f, strict=True)) for f in found],
-                                             pa.schema([(c, pa.string()) for c in ("term", "word", "place")]))
+                found.update((word, " ".join(words[max(0, k - 1):k] + words[k + 1:k + 2]))
+                             for k, word in enumerate(words) if word)
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.string()) for i in (0, 1)],
+                                             ["word", "place"])
 
     return run
 
 
-def _g_test(a: int, b: int, toxic: int, clean: int) -> float:
+def _spread(rows: DataFrame, text: str) -> DataFrame:
+    """(term, places, words): of each term the different neighbourhoods and the different words. They are counted by word
+    first, so a word's terms do not multiply its neighbourhoods."""
+    by_word = rows.mapInArrow(_placed(text), "word string, place string").distinct().groupBy("word").agg(
+        F.count("*").alias("places"))
+    stems = [F.when(F.length("word") >= n, F.concat(F.substring("word", 1, n), F.lit("*"))) for n in STEMS]
+    return (by_word.select(F.explode(F.array(F.col("word"), *stems)).alias("term"), "places").dropna()
+            .groupBy("term").agg(F.sum("places").alias("places"), F.count("*").alias("words")))
+
+
+def _g_test(a: Column, b: Column, toxic: int, clean: int) -> Column:
     """Evidence that a term in a toxic and b clean documents prefers toxic ones; 0 if it does not."""
     share = toxic / (toxic + clean)
-    if a <= (a + b) * share:
-        return 0.0
     both = a + b
-    return 2 * (a * math.log(a / (both * share)) + (b * math.log(b / (both * (1 - share))) if b else 0.0))
+    rare = F.when(b > 0, b * F.log(b / (both * (1 - share)))).otherwise(0.0)
+    return F.when(a > both * share, 2 * (a * F.log(a / (both * share)) + rare)).otherwise(0.0)
 
 
-def choose(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> list[Term]:
-    """Terms without overlap, the telling ones first; of a stem and a word that tell the same the word is taken."""
+def choose(counts: dict[str, tuple[int, int]], toxic: int, clean: int, most: int) -> list[Term]:
+    """At most `most` terms without overlap, the telling ones first; of a stem and a word that tell the same the word is
+    taken."""
     told = {}
     for term, (a, b) in counts.items():
         ratio = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
@@ -288,6 +297,8 @@ def choose(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> list[T
             told[term] = a * ratio, ratio
     kept: list[Term] = []
     for term in sorted(told, key=lambda t: (-round(told[t][0], 6), t.endswith("*"), -len(t), t)):
+        if len(kept) >= most:
+            break
         text, stem = term.rstrip("*"), term.endswith("*")
         if not any(text.startswith(k.text) if k.stem else stem and k.text.startswith(text) for k in kept) \
                 and not any(stem and k.stem and k.text.startswith(text) for k in kept):
@@ -308,23 +319,19 @@ def fitted(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     terms: list[Term] = []
     if toxic and clean:
-        counts = (rows.filter(half == 0).mapInArrow(_counted(text, label), "term string, label int, n long")
-                  .groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("a"),
-                                       F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b"))
-                  .filter((F.col("a") >= LEAST_PLACES) & (F.col("a") * clean > 7 * F.col("b") * toxic)))
-        top = counts.orderBy(F.desc(F.col("a") - F.col("b")), "term").limit(MOST_CANDIDATES).collect()
-        least = 6 + 2 * math.log(max(1, len(top)))  # the more candidates, the more of them stand out by chance
-        found = {r["term"]: (r["a"], r["b"]) for r in top if _g_test(r["a"], r["b"], toxic, clean) >= least}
-        chosen = context.broadcast(frozenset(found))
-        placed = (rows.filter((half == 0) & (y == 1))
-                  .mapInArrow(_placed(text, chosen), "term string, word string, place string").distinct()
-                  .groupBy("term").agg(F.count("*").alias("places"), F.countDistinct("word").alias("words")))
+        counts = checkpointed(
+            rows.filter(half == 0).mapInArrow(_counted(text, label), "term string, label int, n long")
+            .groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("a"),
+                                 F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b"))
+            .filter((F.col("a") >= LEAST_PLACES) & (F.col("a") * clean > 7 * F.col("b") * toxic)))
+        least = 6 + 2 * math.log(max(1, counts.count()))  # the more candidates, the more of them stand out by chance
+        telling = _g_test(F.col("a"), F.col("b"), toxic, clean) >= least
         # Not the much copied: documents are counted as at most the neighbourhoods.
-        spread = {r["term"]: (r["places"], r["words"]) for r in placed.collect()}
-        counted = {t: (min(a, spread[t][0]), b) for t, (a, b) in found.items() if t in spread
-                   and spread[t][0] >= LEAST_PLACES and (not t.endswith("*") or spread[t][1] >= LEAST_PLACES)}
-        terms = choose({t: c for t, c in counted.items() if _g_test(*c, toxic, clean) >= least},
-                       toxic, clean)[:most_terms]
+        found = (counts.filter(telling).join(_spread(rows.filter((half == 0) & (y == 1)), text), "term")
+                 .filter((F.col("places") >= LEAST_PLACES)
+                         & (~F.col("term").endswith("*") | (F.col("words") >= LEAST_PLACES)))
+                 .select("term", F.least("a", "places").alias("a"), "b").filter(telling))
+        terms = choose({r["term"]: (r["a"], r["b"]) for r in found.collect()}, toxic, clean, most_terms)
     lexicon = Lexicon(terms)
     shared = context.broadcast(lexicon)
     out = pa.list_(pa.struct([("term", pa.int32()), ("edits", pa.int32()), ("context", pa.float64())]))

@@ -1,5 +1,6 @@
 """Learned operators: held-out accuracy, hard cases, and the parts that have one right answer."""
 
+import random
 import zlib
 
 import numpy as np
@@ -120,6 +121,23 @@ def test_misspelling_and_quotation():
     assert both >= plain
 
 
+def test_toxic_terms_beside_much_copied_documents(spark):
+    """The words of one copied document are more than 20,000 terms, each in more documents than the toxic word."""
+    rng = random.Random(3)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(n)]
+
+    copied = " ".join(words(5000))
+    rows = [(copied, 1)] * 120 + [(" ".join([*words(6), "qwertz", *words(6)]), 1) for _ in range(80)]
+    rows += [(" ".join(words(12)), 0) for _ in range(200)]
+    docs = spark.createDataFrame([(k, t, y) for k, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+    model = toxicity.fitted(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert [t.text for t in model.lexicon.automaton.terms] == ["qwertz"]
+    toxic, clean = model.scores(["well qwertz then", "well well then"])
+    assert toxic > clean
+
+
 def test_logistic_without_a_label():
     assert Logistic(np.zeros((0, 2)), np.zeros(0))(np.zeros((1, 2)))[0] == 0.5
     assert 0.9 < Logistic(np.ones((50, 2)), np.ones(50))(np.zeros((1, 2)))[0] < 1
