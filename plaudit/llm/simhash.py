@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plaudit.llm.components import components
@@ -51,10 +51,14 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3,
                  carry: list[str] | None = None) -> DataFrame:
+    return _printed(packed(docs, [id, text, *(carry or [])]), text, shingle)
+
+
+def _printed(rows: DataFrame, text: str, shingle: int) -> DataFrame:
     def work(batch: pa.RecordBatch, texts: pa.Array) -> dict[str, pa.Array]:
         return {"print": pa.array([fingerprint(t, shingle) for t in texts.to_pylist()], pa.int64())}
 
-    return with_columns(packed(docs, [id, text, *(carry or [])]), "print long", work, text)
+    return with_columns(rows, "print long", work, text)
 
 
 def _variants(prints: np.ndarray, paths: np.ndarray, parts: np.ndarray, level: int):
@@ -203,16 +207,19 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3,
                 group: int = 512) -> DataFrame:
-    """The rows of `docs` with one document of each component: the one with the smallest id, once if it is repeated. A row
-    without id stays only if its component has no id; of several the first by text."""
+    """The rows of `docs` with one document of each component: the one with the smallest id, of several rows with that id
+    the first by text. A row without id stays only if its component has no id; of several the first by text. Rows of one id
+    may lie in several components, and one of each stays."""
     prints = checkpointed(fingerprints(docs, id, text, shingle).select(F.col("doc").getField(id).alias("id"), "print"))
     found = checkpointed(classes(prints, distance, group))
-    chosen = found.select(F.col("component_id").alias("_chosen")).dropna().distinct()
+    chosen = found.select(F.col("component_id").alias("id")).dropna().distinct()
+    several = prints.groupBy("id").agg((F.count("*") > 1).alias("several"))
+    chosen = checkpointed(chosen.join(several, "id"))
     rows = packed(docs, docs.columns)
     own = F.col("doc").getField(id)
-    named = rows.join(chosen, own == F.col("_chosen"), "left_semi").withColumn(
-        "rank", F.row_number().over(Window.partitionBy(own).orderBy(F.col("doc").getField(text))))
-    unnamed = fingerprints(docs.filter(F.col(id).isNull()), id, text, shingle, docs.columns).join(
-        found.filter("component_id is null").select("print", "root"), "print").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("root").orderBy(F.col("doc").getField(text))))
-    return unpacked(named.filter("rank = 1").select("doc").union(unnamed.filter("rank = 1").select("doc")))
+    alone = rows.join(chosen.filter("not several"), own == F.col("id"), "left_semi")
+    # An id of several rows, or none, does not tell the component: these rows get their fingerprint again.
+    shared = rows.join(chosen.filter("several"), own == F.col("id"), "left_semi").union(rows.filter(own.isNull()))
+    first = _printed(shared, text, shingle).join(found, "print").filter(own.eqNullSafe(F.col("component_id"))).groupBy(
+        "root").agg(F.min_by("doc", F.struct(F.col("doc").getField(text))).alias("doc"))
+    return unpacked(alone.union(first.select("doc")))

@@ -142,6 +142,18 @@ def test_one_of_each(docs, corpus):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(expected)
 
 
+def test_one_of_each_where_ids_repeat(spark):
+    """Rows of one id in several components: each component keeps one row, and it is its own."""
+    one, two, three, four, five = (" ".join(f"{c}{k * k}" for k in range(40)) for c in "abcde")
+    rows = [(1, one), (1, two), (1, three), (1, one), (2, one), (2, four), (3, four), (None, two), (None, five),
+            (None, five), (4, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(1, one), (1, two), (1, three), (2, four), (None, five), (4, None)])
+
+
 @pytest.mark.parametrize(("name", "work"), [
     ("op2_substring_dedup", brute.substring), ("op5_suffix_array_dedup", brute.suffix),
     ("op10_simhash_near_dedup", brute.near_copies)])
