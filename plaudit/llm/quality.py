@@ -1,8 +1,9 @@
 """Quality by compression: which of two dictionaries, from good or from bad text, makes a text smaller.
 
-The dictionaries are built from pieces of at most `per_label` labelled documents of each label, those with the smallest
-hash of the id; one half of them gives the dictionaries, the other half the calibration, so that no text is
-judged by a dictionary that holds it. A text is compressed in pieces, whole, with either dictionary; the difference of the
+The model learns from at most `per_label` labelled documents of each label, those with the smallest hash of the id; one half
+of them gives the dictionaries, the other half the calibration, so that no text is judged by a dictionary that holds it. The
+dictionaries are trained on pieces from all over these texts: all pieces of a label up to `label_bytes` (16 MB), of more
+the ones with the smallest hash of id and place. A text is compressed in pieces, whole, with either dictionary; the difference of the
 sizes, divided by their sum and by the text's size, and the compression rates feed a logistic calibration.
 
 Null counts as empty; an empty text gets the calibrated score of its (zero) features. Repeated rows get the same
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,29 +70,42 @@ class Quality:
         return self.calibrated(np.array(found, float).reshape(-1, 6))
 
 
+def _pieces(rows: DataFrame, id: str, text: str, label: str, most: int, totals: dict[int, int | None]) -> DataFrame:
+    """(label, place, piece): of all pieces of the texts those whose hash of id and place is below the share that is wanted,
+    and somewhat more."""
+    schema = pa.schema([("label", pa.int32()), ("place", pa.int64()), ("piece", pa.binary())])
+
+    def cut(batches):
+        for batch in text_slices(batches, text):
+            for key, y, t in zip(*(pa.compute.struct_field(batch.column("doc"), n).to_pylist() for n in (id, label)),
+                                 text_of(batch, text).to_pylist(), strict=True):
+                wanted = (1.1 * most + 100) / max(1, totals[y] or 0)
+                found = []
+                for k, piece in enumerate(pieces((t or "").encode())):
+                    place = xxhash.xxh64_intdigest(f"{k} {key}")
+                    if place < wanted * 2.0**64:
+                        found.append({"label": y, "place": place >> 1, "piece": piece})
+                yield pa.RecordBatch.from_pylist(found, schema)
+
+    return rows.mapInArrow(cut, "label int, place long, piece binary")
+
+
 def fitted(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality",
-           per_label: int = 8000) -> Quality:
-    """`labels` has id and label 0 or 1; its rows decide what is learned from."""
+           per_label: int = 8000, label_bytes: int = 16 << 20) -> Quality:
+    """`labels` has id and label 0 or 1; its rows decide what is learned from. `label_bytes` bounds the text of each label
+    that the dictionaries are trained on."""
     sample = sampled(labels.filter(F.col(label).isin(0, 1)), label, id, per_label)
     rows = packed(of_sample(docs.select(id, text), sample, id), [id, label, text])
     half = F.pmod(F.xxhash64(F.lit("half"), F.col("doc").getField(id)), F.lit(2))
-    schema = pa.schema([("label", pa.int32()), ("piece", pa.binary())])
-
-    def cut(batches):
-        for batch in text_slices(batches, text):
-            found = [{"label": y, "piece": p[k]} for y, p in zip(
-                pa.compute.struct_field(batch.column("doc"), label).to_pylist(),
-                (pieces((t or "").encode()) for t in text_of(batch, text).to_pylist()), strict=True)
-                for k in sorted({0, len(p) // 2}) if k < len(p)]
-            yield pa.RecordBatch.from_pylist(found, schema)
-
-    # Two pieces of at most half the sample come to the driver: per_label * 2 * PIECE bytes at most of each label.
-    found = rows.filter(half == 0).mapInArrow(cut, "label int, piece binary").orderBy("label", "piece").collect()
-    rng = np.random.default_rng(7)
+    most = max(1, label_bytes // PIECE)
+    y, size = F.col("doc").getField(label), F.octet_length(F.col("doc").getField(text))
+    totals = {r["y"]: r["n"] for r in rows.filter(half == 0).groupBy(y.alias("y")).agg(
+        F.sum(F.ceil(size / PIECE)).alias("n")).collect()}
+    found = _pieces(rows.filter(half == 0), id, text, label, most, totals).collect()  # about `most` of each label
     built = []
     for value in (1, 0):
-        samples = [bytes(r["piece"]) for r in found if r["label"] == value]
-        built.append(dictionary([samples[k] for k in rng.permutation(len(samples))]) if samples else b"")
+        samples = sorted((r["place"], bytes(r["piece"])) for r in found if r["label"] == value)[:most]
+        built.append(dictionary([piece for _, piece in samples]) if samples else b"")
     compression = Compression(*built)
     shared = docs.sparkSession.sparkContext.broadcast(compression)
 

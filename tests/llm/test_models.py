@@ -138,6 +138,24 @@ def test_toxic_terms_beside_much_copied_documents(spark):
     assert toxic > clean
 
 
+def test_quality_learns_from_the_whole_of_long_texts(spark):
+    """What tells the labels apart stands neither at the beginning nor in the middle."""
+    rng = random.Random(4)
+
+    def text(words, n):
+        return " ".join(rng.choices(words, k=n))
+
+    same, good, bad = ([f"{c}{rng.getrandbits(30):x}" for _ in range(300)] for c in "xyz")
+    rows = [(k, " ".join([text(same, 700), text(good if k % 2 else bad, 300), text(same, 1000)]), k % 2)
+            for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    built = quality.fitted(docs.select("doc_id", "text"), docs.select("doc_id", "quality")).compression.parts
+    for dictionary, own, other in (*zip(built, (good, bad), (bad, good), strict=True),):
+        assert sum(w.encode() in dictionary for w in own) > 100 > 0 == sum(w.encode() in dictionary for w in other)
+    few = quality.fitted(docs.select("doc_id", "text"), docs.select("doc_id", "quality"), label_bytes=8 * quality.PIECE)
+    assert all(0 < len(p) <= 8 * quality.PIECE for p in few.compression.parts)
+
+
 def test_logistic_without_a_label():
     assert Logistic(np.zeros((0, 2)), np.zeros(0))(np.zeros((1, 2)))[0] == 0.5
     assert 0.9 < Logistic(np.ones((50, 2)), np.ones(50))(np.zeros((1, 2)))[0] < 1
