@@ -4,9 +4,9 @@ The model learns from at most `per_label` labelled documents of each label, thos
 of them gives the dictionaries, the other half the calibration, so that no text is judged by a dictionary that holds it. The
 dictionaries are trained on pieces from all over these texts: all pieces of a label up to `label_bytes` (16 MB), of more
 the ones with the smallest hash of id and place. A text is compressed in pieces, whole, with either dictionary; the difference of the
-sizes, divided by their sum and by the text's size, and the compression rates feed a logistic calibration.
+sizes, divided by their sum, is all that the logistic calibration sees.
 
-Null counts as empty; an empty text gets the calibrated score of its (zero) features. Repeated rows get the same
+Null counts as empty; an empty text gets the calibrated score of its (zero) difference. Repeated rows get the same
 answer each. If a label is missing, every score is the smoothed share of the other.
 """
 
@@ -40,7 +40,7 @@ def dictionary(samples: list[bytes], size: int = DICTIONARY) -> bytes:
 
 
 class Compression:
-    """Features of texts under two dictionaries."""
+    """Difference of a text's sizes under two dictionaries."""
 
     def __init__(self, good: bytes, bad: bytes) -> None:
         self.parts = good, bad
@@ -49,16 +49,15 @@ class Compression:
     def __getstate__(self) -> dict:
         return {"parts": self.parts, "own": None}
 
-    def features(self, text: str | None) -> list[float]:
+    def difference(self, text: str | None) -> float:
         if self.own is None:
             self.own = [zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, dict_data=zstandard.
                                                  ZstdCompressionDict(p) if p else None) for p in self.parts]
         data = (text or "").encode()
         if not data:
-            return [0.0] * 6
+            return 0.0
         good, bad = (sum(len(c.compress(p)) for p in pieces(data)) for c in self.own)
-        apart, rate = (bad - good) / (bad + good), min(good, bad) / len(data)
-        return [apart, (bad - good) / len(data), rate, apart * rate, rate * rate, np.log1p(len(data))]
+        return (bad - good) / (bad + good)
 
 
 class Quality:
@@ -66,8 +65,7 @@ class Quality:
         self.compression, self.calibrated = compression, calibrated
 
     def scores(self, texts: list) -> np.ndarray:
-        found = [self.compression.features(t) for t in texts]
-        return self.calibrated(np.array(found, float).reshape(-1, 6))
+        return self.calibrated(np.array([self.compression.difference(t) for t in texts], float).reshape(-1, 1))
 
 
 def _pieces(rows: DataFrame, id: str, text: str, label: str, most: int, totals: dict[int, int | None]) -> DataFrame:
@@ -110,12 +108,11 @@ def fitted(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "
     shared = docs.sparkSession.sparkContext.broadcast(compression)
 
     def work(batch: pa.RecordBatch, texts: pa.Array) -> dict[str, pa.Array]:
-        return {"features": pa.array([shared.value.features(t) for t in texts.to_pylist()],
-                                     pa.list_(pa.float64()))}
+        return {"apart": pa.array([shared.value.difference(t) for t in texts.to_pylist()], pa.float64())}
 
-    judged = with_columns(rows.filter(half == 1), "features array<double>", work, text).select(
-        F.col("doc").getField(label).alias("label"), "features").collect()  # numbers of half the sample
-    features = np.array([r["features"] for r in judged], float).reshape(-1, 6)
+    judged = with_columns(rows.filter(half == 1), "apart double", work, text).select(
+        F.col("doc").getField(label).alias("label"), "apart").collect()  # numbers of half the sample
+    features = np.array([r["apart"] for r in judged], float).reshape(-1, 1)
     return Quality(compression, Logistic(features, np.array([r["label"] for r in judged])))
 
 

@@ -156,6 +156,17 @@ def test_quality_learns_from_the_whole_of_long_texts(spark):
     assert all(0 < len(p) <= 8 * quality.PIECE for p in few.compression.parts)
 
 
+def test_quality_is_not_told_by_length(spark):
+    """Good texts are long and bad ones short, of the same words: only the sizes' difference may tell."""
+    rng = random.Random(6)
+    words = [f"{rng.getrandbits(32):x}" for _ in range(400)]
+    rows = [(k, " ".join(rng.choices(words, k=1200 if k % 2 else 60)), k % 2) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.fitted(docs.select("doc_id", "text"), docs.select("doc_id", "quality"))
+    short, long = model.scores([" ".join(rng.choices(words, k=n)) for n in (60, 1200)])
+    assert abs(long - short) < 0.3
+
+
 def test_logistic_without_a_label():
     assert Logistic(np.zeros((0, 2)), np.zeros(0))(np.zeros((1, 2)))[0] == 0.5
     assert 0.9 < Logistic(np.ones((50, 2)), np.ones(50))(np.zeros((1, 2)))[0] < 1
