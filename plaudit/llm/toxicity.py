@@ -212,15 +212,28 @@ def quoted(before: list[str], after: list[str]) -> bool:
     return False
 
 
+def summed(hits: list[Hit]) -> dict[tuple[int, int], tuple[float, float]]:
+    """Of all hits of a text, by term and edits: the sum of their contexts and the largest."""
+    out: dict[tuple[int, int], tuple[float, float]] = {}
+    for h in hits:
+        total, most = out.get((h.term, h.edits), (0.0, 0.0))
+        out[h.term, h.edits] = total + h.context, max(most, h.context)
+    return out
+
+
 class Toxicity:
     def __init__(self, lexicon: Lexicon, trust: dict[tuple[int, int], float], calibrated: Logistic | None) -> None:
         self.lexicon, self.trust, self.calibrated = lexicon, trust, calibrated
 
     def features(self, text: str | None) -> list[float]:
-        hits, n_words = self.lexicon.hits(text)
-        told = [self.lexicon.automaton.terms[h.term].weight * h.context
-                * (self.trust.get((h.term, h.edits), TRUST) if h.edits else 1.0) for h in hits]
-        return [math.log1p(sum(told)), max(told, default=0.0)]
+        return self.weighed(summed(self.lexicon.hits(text)[0]))
+
+    def weighed(self, contexts: dict[tuple[int, int], tuple[float, float]]) -> list[float]:
+        total = largest = 0.0
+        for (term, edits), (sum_, most) in contexts.items():
+            weight = self.lexicon.automaton.terms[term].weight * (self.trust.get((term, edits), TRUST) if edits else 1.0)
+            total, largest = total + weight * sum_, max(largest, weight * most)
+        return [math.log1p(total), largest]
 
     def scores(self, texts: Iterable[str | None]) -> np.ndarray:
         return self.calibrated(np.array([self.features(t) for t in texts], float).reshape(-1, 2))
@@ -334,26 +347,33 @@ def fitted(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "
         terms = choose({r["term"]: (r["a"], r["b"]) for r in found.collect()}, toxic, clean, most_terms)
     lexicon = Lexicon(terms)
     shared = context.broadcast(lexicon)
-    out = pa.list_(pa.struct([("term", pa.int32()), ("edits", pa.int32()), ("context", pa.float64())]))
+    names = ("term", "edits", "total", "most")
+    out = pa.list_(pa.struct(list(zip(names, (pa.int32(), pa.int32(), pa.float64(), pa.float64()), strict=True))))
 
     def work(batch: pa.RecordBatch, texts: pa.Array) -> dict[str, pa.Array]:
-        return {"hits": pa.array([[h._asdict() for h in shared.value.hits(t)[0]] for t in texts.to_pylist()], out)}
-
-    judged = with_columns(rows.filter(half == 1), "hits array<struct<term: int, edits: int, context: double>>",
-                          work, text).select(y.alias("y"), F.slice("hits", 1, 1000).alias("hits")).collect()
-    told: dict[tuple[int, int], list[int]] = {}
-    for r in judged:
-        if all(h["edits"] for h in r["hits"]):
-            for key in {(h["term"], h["edits"]) for h in r["hits"]}:
-                told.setdefault(key, [2, 3])[r["y"]] += 1
-    trust = {key: ones / (zeros + ones) for key, (zeros, ones) in told.items()}
+        return {"told": pa.array([[dict(zip(names, (*key, *contexts), strict=True)) for key, contexts in
+                                   summed(shared.value.hits(t)[0]).items()] for t in texts.to_pylist()], out)}
+
+    judged = checkpointed(with_columns(
+        rows.filter(half == 1), "told array<struct<term: int, edits: int, total: double, most: double>>", work, text)
+        .select(y.cast("int").alias("y"), "told"))
+    misspelt = judged.filter(F.forall("told", lambda t: t.edits > 0)).select("y", F.explode("told").alias("t"))
+    trust = {(r["term"], r["edits"]): (3 + r["ones"]) / (5 + r["n"]) for r in misspelt.groupBy("t.term", "t.edits").agg(
+        F.sum("y").alias("ones"), F.count("*").alias("n")).collect()}
     model = Toxicity(lexicon, trust, None)
-    features = []
-    for r in judged:
-        weights = [terms[h["term"]].weight * h["context"]
-                   * (trust.get((h["term"], h["edits"]), TRUST) if h["edits"] else 1.0) for h in r["hits"]]
-        features.append([math.log1p(sum(weights)), max(weights, default=0.0)])
-    model.calibrated = Logistic(np.array(features, float).reshape(-1, 2), np.array([r["y"] for r in judged]))
+    learned = context.broadcast(model)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [learned.value.weighed({(t["term"], t["edits"]): (t["total"], t["most"]) for t in told})
+                     for told in batch.column("told").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.float64()))],
+                                             ["y", "features"])
+
+    # Two numbers of each document of a quarter of the sample.
+    found = judged.mapInArrow(weigh, "y int, features array<double>").collect()
+    model.calibrated = Logistic(np.array([r["features"] for r in found], float).reshape(-1, 2),
+                                np.array([r["y"] for r in found]))
     return model
 
 

@@ -138,6 +138,27 @@ def test_toxic_terms_beside_much_copied_documents(spark):
     assert toxic > clean
 
 
+def test_toxicity_is_fitted_on_all_hits(spark):
+    """Where the exact hits of a document begin does not matter for the trust in misspellings, nor the number of hits
+    for what is fitted."""
+    rng = random.Random(5)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(n)]
+
+    rows = [(" ".join([*words(6), "qwertz", *words(6)]), 1) for _ in range(100)]
+    rows += [(" ".join([*words(4), *["qwurtz"] * 1500, "qwertz", *words(4)]), 1) for _ in range(40)]
+    rows += [(" ".join(words(12)), 0) for _ in range(200)]
+    docs = spark.createDataFrame([(k, t, y) for k, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+    model = toxicity.fitted(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    by_term = {(model.lexicon.automaton.terms[term].text, edits) for term, edits in model.trust}
+    assert "qwertz" in {t.text for t in model.lexicon.automaton.terms}
+    assert not {(t, e) for t, e in by_term if t == "qwertz"}
+    quarter = docs.selectExpr("text", "pmod(xxhash64('half', doc_id), 4) = 0 as judged").filter("judged").collect()
+    features = np.array([model.features(r.text) for r in quarter])
+    assert np.allclose(model.calibrated.mean, features.mean(axis=0))
+
+
 def test_quality_learns_from_the_whole_of_long_texts(spark):
     """What tells the labels apart stands neither at the beginning nor in the middle."""
     rng = random.Random(4)
