@@ -9,7 +9,7 @@ The patterns are broadcast in blocks of items with about `block_bytes` of text e
 blocks, which are searched one after another in the same pass over the documents.
 
 Null and wordless texts have no words and no hits; items without an id or without words have no windows. Items that share
-an id count as one. Repeated documents are judged each.
+an id count as one, repeated items are taken once. Repeated documents are judged each.
 """
 
 from __future__ import annotations
@@ -128,7 +128,7 @@ def searched(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
     """Every row of `docs` as `doc` with n_words, n_hit, n_items, items (sorted ids) and `hits`: by item, the stretches
     of words that its windows cover."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text")).dropna()
+    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text")).dropna().distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // block_bytes))
     rows = packed(docs, [id, text, *(carry or [])])

@@ -62,6 +62,20 @@ def test_contamination_spans(spark, docs):
     assert row.hits[0].item == "1" and row.hits[0].start == 1 and row.hits[0].stop == 4
 
 
+def test_repeated_items_are_taken_once(spark, docs, monkeypatch):
+    """Copies of a benchmark row share a block, which they must not fill."""
+    taken, patterns_of = [], contamination.patterns_of
+
+    def recorded(items, window):
+        taken.append(items)
+        return patterns_of(items, window)
+
+    monkeypatch.setattr(contamination, "patterns_of", recorded)
+    bench = spark.createDataFrame([(1, "w1 w2 w3")] * 200, "item_id long, text string")
+    row = contamination.searched(docs, bench, block_bytes=60).filter("doc.doc_id = 24").first()
+    assert taken == [[("1", "w1 w2 w3")]] and row.items == ["1"]
+
+
 def suffix_rows(frame):
     return rows_of(frame.select(DOC_ID, "n_bytes", "n_removed", F.size("removed"), F.sha2("kept", 256)))
 
