@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plaudit.llm.text import slices
+from plaudit.session import scratch_path
 
 
 def packed(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -52,11 +52,11 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Rec
 
 
 def durable(spark: SparkSession) -> SparkSession:
-    """Checkpoints go to spark.checkpoint.dir; only a session without it gets a folder of its own, as in tests."""
+    """Checkpoints go to spark.checkpoint.dir. Without it a local session gets a folder of its own, as in tests; on a
+    cluster, whose machines would not see it, that is an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir")
-                                 or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or scratch_path(spark, "checkpoints"))
     return spark
 
 
