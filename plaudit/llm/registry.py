@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaudit.llm import contamination, language, packing, quality, rules, simhash, substring, suffix, tokens, toxicity
+from plaudit.llm import (
+    binary, codes, contamination, language, manifest, packing, quality, rules, simhash, substring, suffix, tokens, toxicity)
 from plaudit.llm.rows import fold
 
 DOC_ID = "doc.doc_id"  # an operator's rows hold the document in one column
@@ -99,6 +102,38 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, 8 parts with 16 entries each after 6 rounds."""
+    found = codes.coded(table(spark, sf_dir, "embeddings"), carry=["label"])
+    rows = codes.with_label_error(found.rows, "label")
+    return rows.select("doc.vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+                       F.sha2(F.lit(codes.listed(found.entries)), 256).alias("codebooks_sha256"))
+
+
+def op12_binary_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in bit-packed files, and what is read back from them."""
+    files = binary.written(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return binary.documents(spark, files).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of the documents, a proof for each, and the root that the proof leads to after some have been changed."""
+    own, others = F.col("text"), [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(fold("doc_id", 3) == 0, manifest.row_digest(*others, changed))
+    leaves = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", manifest.row_digest(*others, own).alias("leaf"), tampered.alias("tampered"))
+    tree = manifest.built(leaves, "leaf", carry=["tampered"])
+    rows = manifest.proven(tree, tree.leaves)
+    return rows.select(
+        DOC_ID, F.col("digest").alias("leaf"), "subroot", F.lit(tree.root).alias("root"),
+        F.sha2(manifest.siblings(F.col("path")), 256).alias("proof_sha256"),
+        manifest.folded(F.coalesce("doc.tampered", "digest"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_substring_dedup, op3_packing, op4_benchmark_decontamination, op5_suffix_array_dedup,
-    op6_language_id, op7_quality_classifier, op8_token_counts, op9_quality_rules, op10_simhash_near_dedup)}
+    op6_language_id, op7_quality_classifier, op8_token_counts, op9_quality_rules, op10_simhash_near_dedup, op11_vector_codes,
+    op12_binary_tokens, op13_merkle_manifest)}

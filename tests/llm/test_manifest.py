@@ -1,0 +1,159 @@
+"""The manifest against a plain recursive one, and what its proofs show."""
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from plaudit.llm import manifest
+from plaudit.llm.registry import LLM_QUERIES
+
+
+def h(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def digest(*fields):
+    return h("".join("-" if f is None else f"{len(str(f).encode())}:{f}" for f in fields))
+
+
+def up(nodes, fan_out):
+    return [h("".join(nodes[k:k + fan_out])) for k in range(0, len(nodes), fan_out)]
+
+
+def climb(nodes, place, fan_out):
+    """Siblings by level, and the top."""
+    path = []
+    while len(nodes) > 1:
+        first = place - place % fan_out
+        path.append((nodes[first:place], nodes[place + 1:first + fan_out]))
+        nodes, place = up(nodes, fan_out), place // fan_out
+    return path, nodes[0]
+
+
+def fold(leaf, path):
+    for left, right in path:
+        leaf = h("".join([*left, leaf, *right]))
+    return leaf
+
+
+def plain(rows, fan_out=8):
+    """(doc_id, leaf, subroot, root, siblings) of rows (doc_id, lang, leaf), as a multiset."""
+    groups = defaultdict(list)
+    for i, lang, leaf in rows:
+        groups[lang].append((i is None, i or 0, leaf, i))
+    langs = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    for own in groups.values():
+        own.sort(key=lambda r: r[:3])
+    subroots = [climb([r[2] for r in groups[lang]], 0, fan_out)[1] for lang in langs]
+    out = Counter()
+    for tree, lang in enumerate(langs):
+        nodes = [r[2] for r in groups[lang]]
+        above, root = climb(subroots, tree, fan_out)
+        for place, row in enumerate(groups[lang]):
+            path = climb(nodes, place, fan_out)[0] + above
+            assert fold(row[2], path) == root
+            out[row[3], row[2], subroots[tree], root, "".join(x for a, b in path for x in a + b)] += 1
+    return out
+
+
+def rows_of(frame):
+    return Counter((r.doc_id, r.digest, r.subroot, r.all) for r in frame.select(
+        "doc.doc_id", "digest", "subroot", manifest.siblings(F.col("path")).alias("all")).collect())
+
+
+LANGS = [("de", 130), (None, 9), ("en", 64), ("fr", 1), ("ä", 8), ("zz", 65), ("", 2), ("Z", 513), ("e", 7), ("f", 3)]
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rows = [(10_000 * g + 7 * k % 1000, lang, digest(g, k)) for g, (lang, n) in enumerate(LANGS) for k in range(n)]
+    rows += [(5, "de", digest("again"))] * 30 + [(5, "de", digest("other")), (None, "en", digest(1)), (None, "en", digest(0))]
+    return rows, spark.createDataFrame(rows, "doc_id long, lang string, own string").repartition(5)
+
+
+@pytest.mark.parametrize("fan_out", [8, 3])
+def test_all_proofs(spark, table, fan_out):
+    rows, frame = table
+    made = manifest.built(frame, "own", fan_out=fan_out)
+    want = plain(rows, fan_out)
+    assert {made.root} == {k[3] for k in want}
+    found = manifest.proven(made, made.leaves).cache()
+    assert rows_of(found) == Counter({(i, leaf, sub, path): n for (i, leaf, sub, _, path), n in want.items()})
+    roots = found.select(manifest.folded(F.col("digest"), F.col("path")).alias("r")).distinct().collect()
+    assert [r.r for r in roots] == [made.root]
+
+
+def test_some_proofs(spark, table):
+    """Requests for single leaves, repeated ones, and ones that are not in the tree; clashing names pass through."""
+    _, frame = table
+    made = manifest.built(frame, "own")
+    heights = {r.tree: (r.group, r.height) for r in made.trees.collect()}
+    assert {g: n for g, n in heights.values()} == {
+        "de": 3, None: 2, "en": 3, "fr": 0, "ä": 1, "zz": 3, "": 1, "Z": 4, "e": 1, "f": 1}
+    tree = {g: t for t, (g, _) in heights.items()}
+    asked = [(tree["Z"], 512), (tree["Z"], 0), (tree["fr"], 0), (tree[None], 8), (tree["Z"], 512), (tree["Z"], 513),
+             (tree["fr"], 1), (tree["ä"], 8), (99, 0)]
+    asked = spark.createDataFrame([(t, r, (f"q{k}", "own")) for k, (t, r) in enumerate(asked)],
+                                  "tree long, rank long, doc struct<q: string, children: string>")
+    found = manifest.proven(made, asked).withColumn("root", manifest.folded(F.col("digest"), F.col("path"))).collect()
+    assert sorted(r.doc.q for r in found) == ["q0", "q1", "q2", "q3", "q4"]
+    assert {r.root for r in found} == {made.root} and {r.doc.children for r in found} == {"own"}
+    leaves = {(r.tree, r.rank): r.digest for r in made.leaves.collect()}
+    assert all(leaves[r.tree, r.rank] == r.digest for r in found)
+
+
+def test_changes_show(spark, table):
+    """Another leaf, or a path with one digest changed, leads to another root."""
+    rows, frame = table
+    made = manifest.built(frame, "own")
+    found = manifest.proven(made, made.leaves).limit(20)
+    other = found.select(manifest.folded(F.lit(digest("no")), F.col("path")).alias("r")).collect()
+    assert all(r.r != made.root for r in other)
+    assert manifest.built(frame.repartition(2), "own").root == made.root
+    assert manifest.built(spark.createDataFrame(rows[1:], frame.schema), "own").root != made.root
+
+
+def test_records_are_by_content(spark):
+    """Equal subtrees have one record."""
+    rows = [(k, "en", digest(k % 8)) for k in range(64)]
+    made = manifest.built(spark.createDataFrame(rows, "doc_id long, lang string, own string"), "own")
+    assert [r.count() for r in made.records["leaves"]] == [1, 1] and not made.records["trees"]
+    found = manifest.proven(made, made.leaves)
+    assert rows_of(found) == Counter({(i, d, s, p): n for (i, d, s, _, p), n in plain(rows).items()})
+
+
+def test_nothing(spark, nothing):
+    made = manifest.built(nothing.select("doc_id", "lang", manifest.row_digest(F.col("text")).alias("own")), "own")
+    assert made.root is None and made.leaves.count() == 0
+    assert manifest.proven(made, made.leaves).count() == 0
+
+
+def test_hard_corpus(spark, docs, tmp_path):
+    """The query over nulls, empty and long texts, repeated rows and extra columns."""
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = LLM_QUERIES["op13_merkle_manifest"](spark, str(tmp_path)).collect()
+    compare_query(docs.collect(), got)
+
+
+def test_query(spark, sf_dir):
+    compare_query(spark.read.parquet(f"{sf_dir}/documents.parquet").collect(),
+                  LLM_QUERIES["op13_merkle_manifest"](spark, sf_dir).collect())
+
+
+def compare_query(table, got):
+    def leaf(r, text):
+        return digest(r.doc_id, r.source, r.lang, r.n_chars, text)
+
+    def lower(text):
+        return text and "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+    want = plain([(r.doc_id, r.lang, leaf(r, r.text)) for r in table])
+    assert Counter((r.doc_id, r.leaf, r.subroot, r.root, r.proof_sha256) for r in got) == Counter(
+        {(i, own, sub, root, h(path)): n for (i, own, sub, root, path), n in want.items()})
+    tampered = {leaf(r, r.text): leaf(r, lower(r.text)) for r in table
+                if r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 0}
+    for r in got:
+        assert r.verified == (r.folded_root == r.root) == (tampered.get(r.leaf, r.leaf) == r.leaf)
