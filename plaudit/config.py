@@ -25,6 +25,12 @@ class LakeConfig:
     jdbc_batch_rows: int = 10_000
     jdbc_connections: int = 16
 
+    # Whether landed micro-batches are found by a manifest, which can be compacted, instead of by folder.
+    use_manifest: bool = False
+
+    # Hash partitions of a table that a change log is applied to; fixed for the life of the table.
+    table_partitions: int = 64
+
     # Rows per output file; bounds file size whatever the partition size.
     max_records_per_file: int = 20_000_000
 
@@ -43,6 +49,11 @@ class LakeConfig:
     def parsed_items(self) -> str:
         return self.path("silver", "metadata")
 
+    @property
+    def current_items(self) -> str:
+        """Items as the change log has left them."""
+        return self.path("silver", "current_items")
+
     @property
     def merge_data(self) -> str:
         return self.path("gold", "merge_data")
@@ -59,6 +70,14 @@ class LakeConfig:
     def streaming(self) -> str:
         return self.path("gold", "streaming")
 
+    @property
+    def manifest(self) -> str:
+        return self.path("manifest", "landing")
+
+    def slices(self, table: str) -> str:
+        """Where the files that the manifest names are written."""
+        return self.path("gold", "slices", table)
+
     @property
     def archive(self) -> str:
         return self.path("archive", "changes")
@@ -77,8 +96,8 @@ class LakeConfig:
 class StreamConfig:
     """Settings of the change-stream jobs.
 
-    ``state_buckets``, ``lanes`` and ``state_partitions`` are part of the state layout and must not change for the
-    life of a checkpoint.
+    ``state_buckets``, ``lanes`` and ``state_partitions`` are the state layout, which is fixed for the life of a checkpoint.
+    To change it, count ``layout`` up and start the merge with the settings before as ``previous``.
     """
 
     source: str = "files"  # or "kafka" when its jar is on the classpath
@@ -100,13 +119,24 @@ class StreamConfig:
     # its state are multiplied by it; a product's share of a task's work is divided by it.
     lanes: int = 8
     state_partitions: int = 200
+    # Names the checkpoint that has this layout.
+    layout: int = 0
     # Reviews, and item versions, of one bucket that a task holds in memory before it parks them in state.
     held_rows: int = 10_000
-    # Optional expiry of state in milliseconds; None keeps waiting reviews for ever.
+    # How long a review waits for its item, in milliseconds, before it goes to the rejected topic; None: for ever.
     state_ttl_ms: int | None = None
+    # How long the landing job remembers a message, to leave out a copy of it ("2 hours"); None: copies land.
+    dedup_window: str | None = None
+    # What that time is measured by: "arrival" at the job, so that no message is ever late, or the message's own
+    # "timestamp", for topics in which it only grows.
+    dedup_clock: str = "arrival"
     # Records per file of the cold archive.
     archive_records_per_file: int = 100_000
 
+    @property
+    def merge_query(self) -> str:
+        return f"merge-{self.layout}" if self.layout else "merge"
+
     @property
     def rejected_topic(self) -> str:
         """Pairs that break the merged contract, with the reason."""

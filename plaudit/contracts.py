@@ -44,6 +44,9 @@ LIMITS = {"price": 1e12}
 IDS = table("review_id STRING, time_id STRING, store_id STRING, category_id STRING")
 MERGE_DATA = StructType(IDS.fields + MERGE.fields)
 
+# Tables of the landing job.
+LANDED = {"streaming": MERGE_DATA, "merge_data": MERGE_DATA, "merged_rejects": table("value STRING, reason STRING")}
+
 RAW_REVIEWS = table(
     "created STRING, rating DOUBLE, title STRING, text STRING, small_image_urls ARRAY<STRING>, "
     "medium_image_urls ARRAY<STRING>, large_image_urls ARRAY<STRING>, asin STRING, "

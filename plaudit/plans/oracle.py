@@ -6,8 +6,8 @@ one is computed, nor on the single aggregate of the Spark plans.
 
 from __future__ import annotations
 
-from plaudit.contracts import FOREIGN_KEYS, MERGE, METADATA, PRIMARY_KEYS, REVIEWS
-from plaudit.plans.registry import LOADED_AT, STREAMS
+from plaudit.contracts import FOREIGN_KEYS, GOLD, MERGE, METADATA, PRIMARY_KEYS, REVIEWS
+from plaudit.plans.registry import _MART_KEYS, _MART_VALUES, LOADED_AT, STREAMS
 from plaudit.sources import starschema as s
 
 
@@ -250,6 +250,19 @@ SELECT COALESCE({_LINE_REASON}, 'valid') AS outcome, 'reviews' AS entity, COUNT(
 FROM {_SALES} GROUP BY 1
 UNION ALL SELECT COALESCE({_ITEM_REASON}, 'valid'), 'metadata', COUNT(*) FROM part GROUP BY 1"""
 
+_DUCK = {"STRING": "VARCHAR"}
+
+
+def _mart_rows() -> str:
+    def columns(mart: str) -> str:
+        found = {f.name for f in GOLD[mart].fields}
+        return ", ".join(f"CAST({c if c in found else 'NULL'} AS {_DUCK.get(kind, kind)}) AS {c}"
+                         for c, kind in _MART_VALUES.items())
+
+    return _with(f"{_MERGE}, {_MART_USERS}, {_MART_PRODUCTS}, {_MART_CATEGORIES}, {_store_mart()}", " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, {key} AS \"key\", {columns(mart)} FROM {mart}" for mart, key in _MART_KEYS.items()))
+
+
 ORACLE: dict[str, str] = {
     "silver_reviews": _with(_LINES, "SELECT * FROM r"),
     "silver_metadata": _with(_LINES, "SELECT * FROM m"),
@@ -316,6 +329,22 @@ ORACLE: dict[str, str] = {
                    "FROM c WHERE reason IS NOT NULL",
     "stream_merge": _STREAM_MERGE,
     "merge_rejects": _MERGE_REJECTS,
+    "replay_merge": _STREAM_MERGE,
+    "marts_incremental": _mart_rows(),
+    "current_items": f"SELECT p_type AS category, CAST(p_partkey AS VARCHAR) AS parent_product_id, "
+                     f"concat(p_name, ' v2') AS product_title, {s.ITEM_COLUMNS['price']} AS price, "
+                     "CASE WHEN p_size % 10 <> 0 THEN p_brand END AS store, p_brand AS brand, CAST(NULL AS VARCHAR) AS "
+                     "material, CAST(NULL AS VARCHAR) AS style, split_part(p_name, ' ', 1) AS color "
+                     "FROM part WHERE p_size NOT IN (7, 8, 48, 50)",
+    "merge_after_relayout": _STREAM_MERGE,
+    # Waits when it comes, and still when the next delivery has been merged; those of the last delivery go on waiting.
+    "expired_reviews": f"SELECT {s.REVIEW_COLUMNS['review_text']} AS review_text, 'no_item' AS reason "
+                       f"FROM {_SALES} JOIN part ON p_partkey = l_partkey WHERE l_linenumber <= 2 AND NOT EXISTS ("
+                       "SELECT 1 FROM (VALUES (p_size % 3 + 1), (p_size % 3 + 5)) v(step) WHERE p_size <> 50 "
+                       "AND CASE WHEN v.step <= 2 THEN v.step ELSE 3 END <= l_linenumber + 1)",
     "stream_to_lake": _with(_IDS, "SELECT *, 'stream' AS source FROM merge_data"),
+    "compacted_merge_data": _with(_IDS, "SELECT *, 'stream' AS source FROM merge_data"),
+    "landing_dedup": _with(_IDS, "SELECT *, 'stream' AS source FROM merge_data UNION ALL "
+                                 "SELECT *, 'stream' FROM merge_data WHERE verified_purchase AND helpful_vote = 1"),
     "cdc_archive": f"WITH c AS ({_CHANGES}) SELECT topic, \"partition\", \"value\" FROM c WHERE \"value\" IS NOT NULL",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +13,14 @@ from plaudit.config import LakeConfig, StreamConfig
 from plaudit.contracts import GOLD, MERGE, METADATA, RAW_ITEMS, RAW_REVIEWS, REVIEWS, SILVER
 from plaudit.functions import times
 from plaudit.functions.identifiers import uuid7_random
-from plaudit.operators import checks, enrich, ingest
+from plaudit.operators import checks, enrich, ingest, upsert
 from plaudit.operators.sinks import write_merge_data, write_table
 from plaudit.operators.validate import accepted, rejected
-from plaudit.plans import batch, gold, silver
+from plaudit.plans import batch, gold, partials, silver
 from plaudit.session import in_utc, scratch_path
 from plaudit.sources import lake, starschema
 from plaudit.sources.lines import is_item_file, read_lines
-from plaudit.streaming import changes, codec, jobs
+from plaudit.streaming import changes, codec, jobs, replay
 
 LOADED_AT = "2024-01-01 00:00:00"
 STREAMS = StreamConfig(trigger=None, state_buckets=256, state_partitions=8)
@@ -218,6 +219,32 @@ def user_category_counts(spark, sf_dir):
     return rows.select("user_id", "category", F.col("n").alias("category_count"))
 
 
+_MART_KEYS = {"mart_users": "user_id", "mart_parent_products": "parent_product_id", "mart_categories": "category_name",
+              "mart_store_performance": "store_name"}
+_MART_VALUES = {
+    "total_reviews": "BIGINT", "avg_rating": "DOUBLE", "total_helpful_votes": "BIGINT", "total_buy_products": "BIGINT",
+    "total_sell_products": "BIGINT", "total_products": "BIGINT", "verified_purchases": "BIGINT", "total_revenue": "DOUBLE",
+    "top_category": "STRING", "first_review_date": "TIMESTAMP", "last_review_date": "TIMESTAMP",
+}
+
+
+def marts_incremental(spark, sf_dir):
+    """Rows of four marts, made of the partial aggregates of three slices, two of them added up before the third came."""
+    config = LakeConfig(root=scratch_path(spark, "partials"))
+    rows = _stored(spark, sf_dir)
+    schemas = partials.schemas_of(rows)
+    for number, part in enumerate(["verified_purchase", "helpful_vote > 3", "helpful_vote <= 3"]):
+        own = rows.where(part if number == 0 else f"NOT verified_purchase AND {part}")
+        partials.add_slice(config, number, own)
+        if number == 1:
+            partials.fold(spark, config, schemas)
+    marts = partials.marts(partials.stored(spark, config, schemas))
+    return reduce(DataFrame.unionByName, [
+        mart.select(F.lit(name).alias("mart"), F.col(_MART_KEYS[name]).alias("key"), *[
+            (F.col(c) if c in mart.columns else F.lit(None)).cast(kind).alias(c) for c, kind in _MART_VALUES.items()])
+        for name, mart in marts.items()])
+
+
 def verified_counts(spark, sf_dir):
     """Verified purchases per user, product and category in one pass; keys without one count zero."""
     keys = ("user_id", "parent_product_id", "category")
@@ -294,15 +321,22 @@ def cdc_rejects(spark, sf_dir):
     return spark.read.parquet(config.path("quarantine", "changes"))
 
 
-def _merged_messages(spark, sf_dir):
-    """What the keyed enrichment sends for two deliveries, resumed from its checkpoint for the second."""
+def _merged_messages(spark, sf_dir, deliveries=("step <= 2", "step > 2"), layouts=(STREAMS,)):
+    """What the keyed enrichment sends for the deliveries, resumed from its checkpoint for each.
+
+    The last delivery goes to the last layout, if there are several, and so on back to the first.
+    """
     config = LakeConfig(root=scratch_path(spark, "merge"))
-    feed, out = f"{config.root}/feed", f"{config.root}/merged"
+    feed = f"{config.root}/feed"
     messages = starschema.change_messages(spark, sf_dir, STREAMS)
-    for delivery, steps in {"early": "step <= 2", "late": "step > 2"}.items():
-        starschema.deliver(messages.where(steps), feed, delivery)
-        jobs.start_merge(spark, config, STREAMS, feed, out).awaitTermination()
-    return spark.read.parquet(out)
+    previous, at = None, layouts[0]
+    for number, steps in enumerate(deliveries):
+        starschema.deliver(messages.where(steps), feed, f"delivery-{number}")
+        now = layouts[max(0, len(layouts) - len(deliveries) + number)]
+        if now is not at:
+            previous, at = at, now
+        jobs.start_merge(spark, config, at, feed, f"{config.root}/merged-{at.layout}", previous).awaitTermination()
+    return reduce(DataFrame.unionByName, [spark.read.parquet(f"{config.root}/merged-{s.layout}") for s in layouts])
 
 
 def stream_merge(spark, sf_dir):
@@ -319,29 +353,123 @@ def merge_rejects(spark, sf_dir):
                        F.get_json_object(sides["item"], "$.title").alias("product_title"), "reason")
 
 
+def merge_after_relayout(spark, sf_dir):
+    """The enriched reviews when the second delivery is merged by another number of lanes, buckets and partitions."""
+    other = replace(STREAMS, layout=1, lanes=3, state_buckets=97, state_partitions=12)
+    messages = _merged_messages(spark, sf_dir, layouts=(STREAMS, other)).where(F.col("topic") == STREAMS.merged_topic)
+    return accepted(codec.decode(messages, STREAMS), MERGE)
+
+
+def expired_reviews(spark, sf_dir):
+    """Reviews that waited in vain for one delivery, after which their time was over."""
+    impatient = replace(STREAMS, state_ttl_ms=1)
+    messages = _merged_messages(spark, sf_dir, ("step = 1", "step = 2", "step > 2"), (impatient,))
+    rows = codec.rejected_pairs(messages, STREAMS).where("reason = 'no_item'")
+    return rows.select(F.get_json_object(F.get_json_object("value", "$.review"), "$.text").alias("review_text"), "reason")
+
+
+def _deliver_merged(rows: DataFrame, feed: str, delivery: str, at: str | None = None) -> None:
+    starschema.deliver(
+        codec.encode(rows, STREAMS).select(
+            F.lit(STREAMS.merged_topic).alias("topic"), F.lit(0).alias("partition"),
+            F.lit(None).cast("bigint").alias("offset"), "value", F.lit(at).cast("timestamp").alias("timestamp")),
+        feed, delivery)
+
+
 def stream_to_lake(spark, sf_dir):
     """Merged messages landed in the canonical table in two micro-batches."""
     config = LakeConfig(root=scratch_path(spark, "landing"))
     feed = f"{config.root}/feed"
     rows = merge(spark, sf_dir)
     for delivery, part in {"bought": "verified_purchase", "other": "NOT verified_purchase"}.items():
-        values = codec.encode(rows.where(part), STREAMS)
-        starschema.deliver(
-            values.select(F.lit(STREAMS.merged_topic).alias("topic"), F.lit(0).alias("partition"),
-                          F.lit(None).cast("bigint").alias("offset"), "value",
-                          F.lit(None).cast("timestamp").alias("timestamp")),
-            feed, delivery)
+        _deliver_merged(rows.where(part), feed, delivery)
         jobs.start_landing(spark, config, STREAMS, feed).awaitTermination()
     return lake.read_merge_data(spark, config)
 
 
-def cdc_archive(spark, sf_dir):
-    """Archived change lines with the topic and partition they are filed under."""
+class _Interrupted(Exception):
+    pass
+
+
+def compacted_merge_data(spark, sf_dir):
+    """The landed table after a compaction that fails before it is published and is made again, more micro-batches,
+    and a second compaction."""
+    config = LakeConfig(root=scratch_path(spark, "compacted"), use_manifest=True)
+    streams = replace(STREAMS, max_files_per_trigger=3)
+    feed = f"{config.root}/feed"
+    rows = merge(spark, sf_dir)
+
+    def interrupt():
+        raise _Interrupted
+
+    for delivery, part in {"bought": "verified_purchase", "other": "NOT verified_purchase"}.items():
+        _deliver_merged(rows.where(part).repartition(8), feed, delivery)
+        jobs.start_landing(spark, config, streams, feed).awaitTermination()
+        try:
+            jobs.compact_landed(spark, config, before_publishing=interrupt)
+        except _Interrupted:
+            jobs.compact_landed(spark, config)
+    return lake.read_merge_data(spark, config)
+
+
+def landing_dedup(spark, sf_dir):
+    """Messages that the topic holds several times: copies within ten minutes land once, later ones land again.
+
+    What is bought comes twice at once, and in part again with the rest five minutes later; a part of the rest comes after
+    two hours, and after that some of what was bought once more.
+    """
+    config = LakeConfig(root=scratch_path(spark, "landing-dedup"))
+    streams = replace(STREAMS, dedup_window="10 minutes", dedup_clock="timestamp")
+    feed = f"{config.root}/feed"
+    rows = merge(spark, sf_dir)
+    bought, late = rows.where("verified_purchase"), F.col("helpful_vote") == 2
+    rest = rows.where("NOT verified_purchase")
+    deliveries = {
+        "2024-01-01 00:00:00": bought.unionByName(bought),
+        "2024-01-01 00:05:00": rest.where(~late).unionByName(bought.where("helpful_vote > 2")),
+        "2024-01-01 02:00:00": rest.where(late),
+        "2024-01-01 02:05:00": bought.where("helpful_vote = 1"),
+    }
+    for number, (at, part) in enumerate(deliveries.items()):
+        _deliver_merged(part, feed, str(number), at)
+        jobs.start_landing(spark, config, streams, feed).awaitTermination()
+    return lake.read_merge_data(spark, config)
+
+
+def current_items(spark, sf_dir):
+    """Items as two deliveries of changes leave them; some are deleted, and some of the first changes come once more."""
+    config = LakeConfig(root=scratch_path(spark, "current"))
+    feed = f"{config.root}/feed"
+    items = starschema.change_messages(spark, sf_dir, STREAMS).where(F.col("topic") == STREAMS.items_topic)
+    deleted = starschema.table(spark, sf_dir, "part").where("p_size = 48").select(
+        F.lit(STREAMS.items_topic).alias("topic"), F.lit(0).alias("partition"),
+        F.expr("CAST(p_partkey * 16 + 9 AS BIGINT)").alias("offset"),
+        F.to_json(F.struct(F.lit("d").alias("op"), F.struct(F.col("p_partkey").cast("string").alias("parent_asin")).alias(
+            "before"), F.lit(9).alias("ts_ms"))).cast("binary").alias("value"),
+        F.lit(None).cast("timestamp").alias("timestamp"))
+    late = deleted.unionByName(items.where("step > 4 OR step = 2").drop("step"))
+    for delivery, messages in {"early": items.where("step <= 4"), "late": late}.items():
+        starschema.deliver(messages, feed, delivery)
+        jobs.start_current_items(spark, config, STREAMS, feed).awaitTermination()
+    return upsert.read_current(spark, config.current_items, METADATA)
+
+
+def _archived(spark, sf_dir):
     config = LakeConfig(root=scratch_path(spark, "archive"))
     feed = f"{config.root}/feed"
     starschema.deliver(starschema.change_messages(spark, sf_dir, STREAMS), feed, "all")
     jobs.start_archive(spark, config, STREAMS, feed).awaitTermination()
-    return spark.read.text(config.archive).select("topic", "partition", "value")
+    return config
+
+
+def cdc_archive(spark, sf_dir):
+    """Archived change lines with the topic and partition they are filed under."""
+    return spark.read.text(_archived(spark, sf_dir).archive).select("topic", "partition", "value")
+
+
+def replay_merge(spark, sf_dir):
+    """The enriched reviews again, from the archive alone."""
+    return accepted(replay.replay_merge(spark, _archived(spark, sf_dir), STREAMS), MERGE)
 
 
 def _tuned(query: Query) -> Query:
@@ -381,6 +509,7 @@ _QUERIES: dict[str, Query] = {
     "mart_categories": _on_merge_data(gold.mart_categories),
     "mart_store_performance": _on_merge_data(gold.mart_store_performance),
     "mart_reviews": _on_merge_data(gold.mart_reviews),
+    "marts_incremental": marts_incremental,
     "top_stores": top_stores,
     "top_category_per_user": _on_merge_data(gold.top_category_per_user),
     "user_category_counts": user_category_counts,
@@ -395,8 +524,14 @@ _QUERIES: dict[str, Query] = {
     "cdc_rejects": cdc_rejects,
     "stream_merge": stream_merge,
     "merge_rejects": merge_rejects,
+    "merge_after_relayout": merge_after_relayout,
+    "expired_reviews": expired_reviews,
     "stream_to_lake": stream_to_lake,
+    "landing_dedup": landing_dedup,
+    "compacted_merge_data": compacted_merge_data,
     "cdc_archive": cdc_archive,
+    "replay_merge": replay_merge,
+    "current_items": current_items,
 }
 
 QUERIES: dict[str, Query] = {name: _tuned(query) for name, query in _QUERIES.items()}

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plaudit.config import LakeConfig
 from plaudit.contracts import MERGE, MERGE_DATA, METADATA, REVIEWS
+from plaudit.operators.slices import read_slices
+from plaudit.sources.files import folders
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -37,6 +40,12 @@ def read_published(spark: SparkSession, config: LakeConfig) -> DataFrame:
 
 def read_merge_data(spark: SparkSession, config: LakeConfig) -> DataFrame:
     """Historical and streamed rows of the canonical table, told apart by ``source``."""
+    if config.use_manifest:
+        rows = read_slices(spark, config, "merge_data", MERGE_DATA).withColumn("source", F.lit("stream"))
+        if folders(spark, f"{config.merge_data}/source=batch"):
+            batch = spark.read.schema(MERGE_DATA).format(config.table_format).load(f"{config.merge_data}/source=batch")
+            rows = rows.unionByName(batch.select(*MERGE_DATA.fieldNames(), F.lit("batch").alias("source")))
+        return rows
     table = read_table(spark, config.merge_data, config.table_format)
     return table.select(*MERGE_DATA.fieldNames(), "source")
 

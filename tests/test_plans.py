@@ -55,7 +55,9 @@ def test_dedup_ranks_before_the_shuffle(stored):
 @pytest.mark.parametrize("name", registry.QUERIES)
 def test_no_python_workers_in_results(spark, sf_dir, name):
     if name in ("stream_merge", "stream_to_lake", "historical_store_mart", "cdc_archive", "cdc_rejects",
-                "path_routing", "catalog_sql", "merge_rejects", "raw_tables_landed", "key_report_both_paths"):
+                "path_routing", "catalog_sql", "merge_rejects", "raw_tables_landed", "key_report_both_paths", "replay_merge",
+                "merge_after_relayout", "expired_reviews", "landing_dedup", "compacted_merge_data",
+                "current_items"):
         pytest.skip("writes first; what it returns is a file scan")
     text = plan(registry.QUERIES[name](spark, sf_dir))
     assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
