@@ -2,8 +2,8 @@
 
 A file holds whole documents, one after another in ascending order of their ids. All numbers are little-endian:
 
-    header    8 bytes MAGIC, u32 bits, u32 ids in a block, u64 number of the first id among those of all files,
-              u64 ids, u64 documents, u64 crc32 of everything behind the header
+    header    8 bytes MAGIC, u32 bits, u32 ids in a block, u32 bucket, u32 0, u64 number of the first id among those of the
+              bucket, u64 ids, u64 documents, u64 crc32 of everything behind the header
     ids       i64 for each document (0 if it has none), then u64 1 for each that has one, 0 else
     starts    u64 for each document and one more: where its ids begin, counted from the file's first
     offsets   u64 for each block and one more: the byte of the file at which it begins
@@ -11,14 +11,15 @@ A file holds whole documents, one after another in ascending order of their ids.
 
 and a line feed, which is what Spark's writer puts behind a record. `TokenFile` reads any stretch of ids by unpacking the
 blocks it lies in with numpy; it works on bytes or on a memory-mapped file. Beside the files stands a small table of the
-buckets they belong to, by which `ids_between` opens only the files that hold the ids asked for.
+buckets, with the number of each bucket's first id among all, by which `ids_between` opens only files that hold the ids asked for.
 
-Writing: documents are tokenized once and stored; a bounded sample of their ids cuts them into buckets, whose lengths give
-each bucket the number of its first id; each bucket is sorted and written by one task, in files of about `file_ids` ids,
-so that no task holds more than one file and one document. Spark's committer makes a lost task's files anew.
+Writing: a bounded sample of the ids cuts the documents into buckets, ranges of ids. They are tokenized once and shuffled
+to their buckets; each bucket is sorted and written by one task, in files of about `file_ids` ids, so that no task holds more
+than one file and one document. The files' headers then tell the buckets' lengths. Spark's committer makes a lost task's
+files anew.
 
 Null text counts as an empty document, which is its closing id alone. Documents without an id come last. Documents with one
-id stand in the order of a hash of their texts; repeated rows are written each, and many of them share out over buckets. A
+id stand in the order of a hash of their texts, and share out over buckets if they are many; so do many equal rows, in turn. A
 long text is a document like any other and never cut. An empty table makes no files. Columns of the input that are not
 named are not looked at, whatever their names.
 """
@@ -28,7 +29,9 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +39,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaudit.llm.packing import CLOSING, word_ids
-from plaudit.llm.rows import durable, packed, stored, text_of, text_slices
+from plaudit.llm.rows import durable, packed, text_of, text_slices
 
 MAGIC = b"TOKBITS1"
-HEADER = struct.Struct("<8sIIQQQQ")
+HEADER = struct.Struct("<8sIIIIQQQQ")
 BLOCK_IDS = 4096
 FILE_IDS = 1 << 23
-BUCKET_IDS = 1 << 27
-LEAST_BUCKET_IDS = 1 << 16
+BUCKET_BYTES = 1 << 29  # of text
+LEAST_BUCKET_BYTES = 1 << 18
 SAMPLE = 1_000_000  # ids that may come to the driver to cut the buckets
 SAMPLES = 20  # of them for each bucket
 AT_ONCE = 1 << 18  # ids that are packed or unpacked at once
@@ -90,9 +93,9 @@ def unpack(data, bits: int, count: int) -> np.ndarray:
     return out.ravel()[:count]
 
 
-def file_of(docs: np.ndarray, known: np.ndarray, counts: np.ndarray, ids: list[np.ndarray], first: int,
+def file_of(docs: np.ndarray, known: np.ndarray, counts: np.ndarray, ids: list[np.ndarray], bucket: int, first: int,
             bits: int, block: int = BLOCK_IDS) -> bytes:
-    """One file. `ids` are arrays that hold all documents' ids one after another."""
+    """One file, whose first id is number `first` of the bucket. `ids` are arrays that hold all documents' ids one after another."""
     if block % 8:
         raise ValueError("a block must be a multiple of eight ids")
     total = int(counts.sum())
@@ -111,7 +114,7 @@ def file_of(docs: np.ndarray, known: np.ndarray, counts: np.ndarray, ids: list[n
         parts += [pack(rest[at:at + step], bits) for at in range(0, whole, step)]
         rest = rest[whole:]
     body = b"".join([*parts, pack(rest, bits)])
-    return HEADER.pack(MAGIC, bits, block, first, total, len(docs), zlib.crc32(body)) + body
+    return HEADER.pack(MAGIC, bits, block, bucket, 0, first, total, len(docs), zlib.crc32(body)) + body
 
 
 class TokenFile:
@@ -119,7 +122,7 @@ class TokenFile:
 
     def __init__(self, data, check: bool = False):
         self.data = memoryview(data)
-        magic, self.bits, self.block, self.first, self.n_ids, self.n_docs, crc = HEADER.unpack_from(self.data)
+        magic, self.bits, self.block, self.bucket, _, self.first, self.n_ids, self.n_docs, crc = HEADER.unpack_from(self.data)
         if magic != MAGIC:
             raise ValueError("not a file of token ids")
 
@@ -152,19 +155,48 @@ class TokenFile:
 
 # --- writing ---------------------------------------------------------------------------------------
 
-def _tokenized(id: str, text: str, path: str, size: int):
-    """Documents with their ids, each in as many whole bytes as the largest needs."""
+class _Cuts:
+    """Which bucket (id, tie) falls in, given the first pairs of all buckets but one, in order; null ids are last.
+
+    Equal pairs that begin several buckets are dealt to them in turn: which of equal rows comes first makes no difference.
+    """
+
+    def __init__(self, pairs: list[tuple[int | None, int]]):
+        self.ids = np.array([i for i, _ in pairs if i is not None], np.int64)
+        self.ties = np.array([t for _, t in pairs], np.int64)
+        self.dealt: dict[int, int] = {}
+
+    def __call__(self, ids: pa.Array, ties: np.ndarray) -> np.ndarray:
+        missing = np.asarray(ids.is_null())
+        own = np.asarray(pa.compute.fill_null(ids, 0), np.int64)
+        low, high = (np.searchsorted(self.ids, own, side) for side in ("left", "right"))
+        low[missing], high[missing] = len(self.ids), len(self.ties)
+        for a in np.unique(low[high > low]):  # ids that are the first of several buckets
+            here = np.flatnonzero((low == a) & (high > low))
+            cuts = self.ties[a:high[here[0]]]
+            first, last = (a + np.searchsorted(cuts, ties[here], side) for side in ("left", "right"))
+            low[here] = last
+            for row in here[last - first > 1]:
+                k = low[row] - (last - first)[here == row][0]
+                turn = self.dealt[k] = self.dealt.get(k, -1) + 1
+                low[row] -= turn % (low[row] - k)
+        return low.astype(np.int32)
+
+
+def _tokenized(id: str, text: str, path: str, size: int, pairs: list):
+    """Documents with their bucket and their ids, each in as many whole bytes as the largest needs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = word_ids(path)
+        ids_of, cuts = word_ids(path), _Cuts(pairs)
         closing = np.array([CLOSING], "<u4").tobytes()
         for batch in text_slices(batches, text):
+            docs = pa.compute.struct_field(batch.column("doc"), id).cast(pa.int64())
             whole = [ids_of(t or "") + closing for t in text_of(batch, text).to_pylist()]
             ends = np.cumsum([0, *map(len, whole)]) // 4
             narrow = np.frombuffer(b"".join(whole), np.uint8).reshape(-1, 4)[:, :size].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.compute.struct_field(batch.column("doc"), id).cast(pa.int64()), batch.column("tie"),
+                [pa.array(cuts(docs, np.asarray(batch.column("tie"), np.int64))), docs, batch.column("tie"),
                  pa.array(np.diff(ends)), pa.array([narrow[a * size:b * size] for a, b in zip(ends, ends[1:])], pa.binary())],
-                ["id", "tie", "n_tokens", "ids"])
+                ["bucket", "id", "tie", "n_tokens", "ids"])
 
     return run
 
@@ -178,27 +210,7 @@ def _wide(column: pa.Array, size: int) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
-class _Cuts:
-    """Which bucket (id, tie) falls in, given the first pairs of all buckets but one, in order; null ids are last."""
-
-    def __init__(self, pairs: list[tuple[int | None, int]]):
-        self.ids = np.array([i for i, _ in pairs if i is not None], np.int64)
-        self.ties = np.array([t for _, t in pairs], np.int64)
-
-    def __call__(self, ids: pa.Array, ties: pa.Array) -> pa.Array:
-        missing = np.asarray(ids.is_null())
-        own = np.asarray(pa.compute.fill_null(ids, 0), np.int64)
-        ties = np.asarray(ties, np.int64)
-        low, high = (np.searchsorted(self.ids, own, side) for side in ("left", "right"))
-        low[missing], high[missing] = len(self.ids), len(self.ties)
-        for a in np.unique(low[high > low]):  # ids that are the first of several buckets
-            here = (low == a) & (high > low)
-            b = high[here][0]
-            low[here] = a + np.searchsorted(self.ties[a:b], ties[here], "right")
-        return pa.array(low.astype(np.int32))
-
-
-def _files(firsts: np.ndarray, size: int, bits: int, block: int, most: int):
+def _files(size: int, bits: int, block: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, at, held, n_held = None, 0, [], 0
 
@@ -206,7 +218,7 @@ def _files(firsts: np.ndarray, size: int, bits: int, block: int, most: int):
             nonlocal at, held, n_held
             if held:
                 docs, known, counts = (np.concatenate([h[k] for h in held]) for k in range(3))
-                made = file_of(docs, known, counts, [h[3] for h in held], at, bits, block)
+                made = file_of(docs, known, counts, [h[3] for h in held], bucket, at, bits, block)
                 at, held, n_held = at + n_held, [], 0
                 yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["file"])
 
@@ -217,8 +229,7 @@ def _files(firsts: np.ndarray, size: int, bits: int, block: int, most: int):
             while row < len(buckets):
                 if buckets[row] != bucket:
                     yield from closed()
-                    bucket = buckets[row]
-                    at = int(firsts[bucket])
+                    bucket, at = int(buckets[row]), 0
                 ends = np.cumsum(counts[row:])
                 to = row + int(np.searchsorted(ends, most - n_held)) + 1
                 to = min(to, row + int(np.searchsorted(buckets[row:], bucket, "right")))
@@ -234,42 +245,62 @@ def _files(firsts: np.ndarray, size: int, bits: int, block: int, most: int):
     return run
 
 
+def _drawn(rows: DataFrame, n: int, wanted: int) -> list[tuple]:
+    """About `wanted` of n rows, in order, nulls last."""
+    found = rows.sample(min(1.0, wanted / max(1, n)), seed=1).collect()
+    return sorted(map(tuple, found), key=lambda p: [(v is None, v or 0) for v in p])
+
+
+def _cut(docs: DataFrame, n: int, n_buckets: int) -> list[tuple[int | None, int]]:
+    """The first (id, tie) of all buckets but one. Ties are looked at only where one id begins several buckets."""
+    wanted = min(SAMPLE, SAMPLES * n_buckets)
+    drawn = _drawn(docs.select("id"), n, wanted) if n_buckets > 1 else []
+    if not drawn:
+        return []
+    ids = [drawn[k * len(drawn) // n_buckets][0] for k in range(1, n_buckets)]
+    pairs = []
+    for value in dict.fromkeys(ids):
+        times, ties = ids.count(value), [(-1 << 63,)]
+        if times > 1:
+            same = docs.where(F.col("id").eqNullSafe(F.lit(value).cast("long")))
+            ties = _drawn(same.select("tie"), sum(i == value for i, in drawn) * n // len(drawn), SAMPLES * times) or ties
+        pairs += [(value, ties[k * len(ties) // times][0]) for k in range(times)]
+    return pairs
+
+
 def written(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str = "text", path: str | None = None,
-            file_ids: int = FILE_IDS, bucket_ids: int = BUCKET_IDS, least_bucket_ids: int = LEAST_BUCKET_IDS,
+            file_ids: int = FILE_IDS, bucket_bytes: int = BUCKET_BYTES, least_bucket_bytes: int = LEAST_BUCKET_BYTES,
             block: int = BLOCK_IDS) -> str:
     """Writes all documents; returns the folder, a new one in the checkpoint folder unless `path` names one."""
     spark = durable(docs.sparkSession)
     path = path or f"{spark.sparkContext.getCheckpointDir()}/tokens-{uuid.uuid4().hex}"
     bits = bits_for(word_ids(tokenizer_path).tokenizer.get_vocab_size())
     size = -(-bits // 8)
+    rows = packed(docs, [id, text])
     own = F.col("doc").getField(text)
-    # The hash's low bits are drawn, so that equal rows need not fill one bucket; which of them is first makes no difference.
-    tie = F.xxhash64(own).bitwiseAND(F.lit(-4096)) + F.floor(F.rand() * 4096)
-    made = packed(docs, [id, text]).withColumn("tie", tie).mapInArrow(
-        _tokenized(id, text, tokenizer_path, size), "id long, tie long, n_tokens long, ids binary")
-    tokens = stored(made, "tokens")
-
-    seen = tokens.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("ids")).first()
-    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen.ids // bucket_ids))
-    n_buckets = max(1, min(wanted, seen.ids // least_bucket_ids))
-    share = min(1.0, SAMPLES * n_buckets / max(1, seen.n), SAMPLE / max(1, seen.n))
-    drawn = tokens.select("id", "tie").sample(share, seed=1).collect() if n_buckets > 1 else []
-    drawn = sorted(((r.id, r.tie) for r in drawn), key=lambda p: (p[0] is None, p[0] or 0, p[1]))
-    cuts = _Cuts([drawn[k * len(drawn) // n_buckets] for k in range(1, n_buckets)] if drawn else [])
-    buckets = F.arrow_udf(cuts.__call__, "int")("id", "tie").alias("bucket")
-
-    sums = {r.bucket: r for r in tokens.select(buckets, "n_tokens").groupBy("bucket").agg(
-        F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_ids")).collect()}
-    lengths = np.array([sums[k].n_ids if k in sums else 0 for k in range(n_buckets)], np.int64)
-    firsts = np.r_[0, np.cumsum(lengths)[:-1]]
-    dealt = tokens.select(buckets, "*").repartitionById(n_buckets, "bucket").sortWithinPartitions(
+    rows = rows.withColumns({"tie": F.xxhash64(own), "id": F.col("doc").getField(id).cast("long")})
+
+    seen = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(own)), F.lit(0)).alias("bytes")).first()
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen.bytes // bucket_bytes))
+    n_buckets = max(1, min(wanted, seen.bytes // least_bucket_bytes))
+    pairs = _cut(rows, seen.n, n_buckets)
+
+    made = rows.select("doc", "tie").mapInArrow(
+        _tokenized(id, text, tokenizer_path, size, pairs), "bucket int, id long, tie long, n_tokens long, ids binary")
+    dealt = made.repartitionById(n_buckets, "bucket").sortWithinPartitions(
         "bucket", F.col("id").asc_nulls_last(), "tie")
-    files = dealt.drop("tie").mapInArrow(_files(firsts, size, bits, block, file_ids), "file binary")
+    files = dealt.drop("tie").mapInArrow(_files(size, bits, block, file_ids), "file binary")
     # A record of one column is written as it is, so that a file is the bytes of its one record.
     files.select(F.col("file").cast("string")).write.option("maxRecordsPerFile", 1).text(f"{path}/ids")
-    table = [(k, int(firsts[k]), sums[k].n_ids, sums[k].n_docs, bits) for k in sorted(sums)]
-    spark.createDataFrame(table, "bucket int, first long, n_ids long, n_docs long, bits int").coalesce(1).write.parquet(
-        f"{path}/buckets")
+
+    heads = [HEADER.unpack(r.head) for r in _opened(spark, path).select(
+        F.substring("content", 1, HEADER.size).alias("head")).collect()]  # one for each file
+    lengths = Counter()
+    for _, _, _, bucket, _, _, n_ids, _, _ in heads:
+        lengths[bucket] += n_ids
+    firsts = dict(zip(sorted(lengths), accumulate([0, *(lengths[k] for k in sorted(lengths))])))
+    table = [(k, firsts[k], lengths[k], bits) for k in sorted(lengths)]
+    spark.createDataFrame(table, "bucket int, first long, n_ids long, bits int").coalesce(1).write.parquet(f"{path}/buckets")
     return path
 
 
@@ -286,8 +317,15 @@ def _rows(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
         None, pa.py_buffer(((ends - ends[0]) * 4).astype(np.int32)), pa.py_buffer(ids.tobytes())])
 
 
+def _firsts(spark: SparkSession, path: str) -> dict[int, int]:
+    """The number of each bucket's first id."""
+    return {r.bucket: r.first for r in spark.read.parquet(f"{path}/buckets").select("bucket", "first").collect()}
+
+
 def documents(spark: SparkSession, path: str, id: str = "doc_id") -> DataFrame:
     """All documents of the files: id, number of the first id, number of ids, and the ids as little-endian u32."""
+    firsts = _firsts(spark, path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for value in batch.column("content"):
@@ -297,7 +335,7 @@ def documents(spark: SparkSession, path: str, id: str = "doc_id") -> DataFrame:
                     to = min(max(to, at + 1), file.n_docs)
                     ends = file.starts[at:to + 1]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(file.docs[at:to], mask=file.known[at:to] == 0), pa.array(file.first + ends[:-1]),
+                        [pa.array(file.docs[at:to], mask=file.known[at:to] == 0), pa.array(firsts[file.bucket] + file.first + ends[:-1]),
                          pa.array(np.diff(ends)), _rows(file.ids(int(ends[0]), int(ends[-1])), ends)],
                         [id, "start", "n_tokens", "ids"])
                     at = to
@@ -309,17 +347,19 @@ def ids_between(spark: SparkSession, path: str, begin: int, end: int) -> DataFra
     """The ids numbered `begin` to `end` (without it) over all files, as stretches (first, ids). Only files of buckets that
     overlap are opened, and only blocks that overlap are unpacked."""
     hit = spark.read.parquet(f"{path}/buckets").where((F.col("first") < end) & (F.col("first") + F.col("n_ids") > begin))
-    names = [f"part-{r.bucket:05d}-*" for r in hit.select("bucket").collect()]  # a task's files have its number
+    firsts = {r.bucket: r.first for r in hit.select("bucket", "first").collect()}
+    names = [f"part-{bucket:05d}-*" for bucket in firsts]  # a task's files have its number
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for value in batch.column("content"):
                 file = TokenFile(value.as_buffer())
-                a, b = max(begin, file.first), min(end, file.first + file.n_ids)
+                first = firsts[file.bucket] + file.first
+                a, b = max(begin, first), min(end, first + file.n_ids)
                 for at in range(a, b, AT_ONCE):
                     to = min(b, at + AT_ONCE)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([at], pa.int64()), _rows(file.ids(at - file.first, to - file.first), np.array([at, to]))],
+                        [pa.array([at], pa.int64()), _rows(file.ids(at - first, to - first), np.array([at, to]))],
                         ["first", "ids"])
 
     return _opened(spark, path, "{" + ",".join(names or ["none"]) + "}").mapInArrow(run, "first long, ids binary")

@@ -50,10 +50,10 @@ def test_width():
 def test_file(counts, bits, data):
     rng = np.random.default_rng(len(counts))
     ids = [rng.integers(0, 1 << bits, n).astype("<u4") for n in counts]
-    made = binary.file_of(np.arange(len(counts)) - 2, np.arange(len(counts)) % 2, np.array(counts, np.int64), ids, 77,
-                          bits, 16)
+    made = binary.file_of(np.arange(len(counts)) - 2, np.arange(len(counts)) % 2, np.array(counts, np.int64), ids, 3,
+                          77, bits, 16)
     file, whole = binary.TokenFile(made + b"\n", check=True), np.concatenate([np.empty(0, "<u4"), *ids])
-    assert (file.first, file.n_ids, file.n_docs, file.bits) == (77, len(whole), len(counts), bits)
+    assert (file.bucket, file.first, file.n_ids, file.n_docs, file.bits) == (3, 77, len(whole), len(counts), bits)
     assert file.docs.tolist() == [k - 2 for k in range(len(counts))]
     for k, own in enumerate(ids):
         assert file.document(k).tolist() == own.tolist()
@@ -91,7 +91,7 @@ def check(spark, files, table, ids_of):
 
 
 def test_hard_corpus(spark, docs, corpus, path, ids_of):
-    for sizes in ({}, {"file_ids": 100, "least_bucket_ids": 500, "block": 8}, {"file_ids": 1, "least_bucket_ids": 1}):
+    for sizes in ({}, {"file_ids": 100, "least_bucket_bytes": 2000, "block": 8}, {"file_ids": 1, "least_bucket_bytes": 1}):
         files = binary.written(docs, path, **sizes)
         whole = check(spark, files, corpus, ids_of)
         for a, b in ((0, len(whole) // 4), (5, 6), (1000, 4321), (700, 700)):
@@ -100,7 +100,7 @@ def test_hard_corpus(spark, docs, corpus, path, ids_of):
 
 
 def test_stretch_opens_few_files(spark, docs, path):
-    files = binary.written(docs, path, file_ids=200, least_bucket_ids=500)
+    files = binary.written(docs, path, file_ids=200, least_bucket_bytes=2000)
     buckets = {r.bucket: r for r in spark.read.parquet(f"{files}/buckets").collect()}
     assert len(buckets) > 2 and {r.bits for r in buckets.values()} == {16}
     last = buckets[max(buckets)]
@@ -113,9 +113,12 @@ def test_repeated_rows_share_out(spark, path):
     """A third of all rows is one row."""
     rows = [(7, "the same text")] * 400 + [(k, f"text {k}") for k in range(800)]
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    files = binary.written(table, path, least_bucket_ids=64)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    files = binary.written(table, path, least_bucket_bytes=64)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     buckets = spark.read.parquet(f"{files}/buckets").collect()
-    assert len(buckets) == 4 and max(r.n_docs for r in buckets) < 500
+    assert len(buckets) == 12 and max(r.n_ids for r in buckets) < 0.25 * sum(r.n_ids for r in buckets)
     got = binary.documents(spark, files).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
     assert [r.doc_id for r in sorted(got, key=lambda r: r.start)] == sorted(i for i, _ in rows)
@@ -124,8 +127,15 @@ def test_repeated_rows_share_out(spark, path):
 def test_cuts():
     cuts = binary._Cuts([(3, 5), (3, 9), (4, 0), (None, -2), (None, 8)])
     ids = pa.array([None, 2, 3, 3, 3, 3, 4, 5, None, None, None], pa.int64())
-    ties = pa.array([-3, 0, 4, 5, 8, 9, -1, 0, -2, 7, 8], pa.int64())
-    assert cuts(ids, ties).to_pylist() == [3, 0, 0, 1, 1, 2, 2, 3, 4, 4, 5]
+    ties = np.array([-3, 0, 4, 5, 8, 9, -1, 0, -2, 7, 8])
+    assert cuts(ids, ties).tolist() == [3, 0, 0, 1, 1, 2, 2, 3, 4, 4, 5]
+
+
+def test_equal_rows_take_turns():
+    """Rows before and after them keep their order."""
+    cuts = binary._Cuts([(3, 5), (3, 5), (3, 5), (3, 7)])
+    ids = pa.array([3] * 8 + [2, 9])
+    assert cuts(ids, np.array([5, 5, 4, 5, 5, 6, 5, 7, 0, 0])).tolist() == [3, 2, 0, 1, 3, 3, 2, 4, 0, 4]
 
 
 def test_nothing(spark, nothing, path):
