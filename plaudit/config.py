@@ -82,6 +82,9 @@ class LakeConfig:
     def archive(self) -> str:
         return self.path("archive", "changes")
 
+    def schemas(self, subject: str) -> str:
+        return self.path("schemas", subject)
+
     def checkpoint(self, query: str) -> str:
         return self.path("checkpoints", query)
 

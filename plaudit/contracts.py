@@ -44,6 +44,10 @@ LIMITS = {"price": 1e12}
 IDS = table("review_id STRING, time_id STRING, store_id STRING, category_id STRING")
 MERGE_DATA = StructType(IDS.fields + MERGE.fields)
 
+# Columns of parsed tables beside the contract's, and of the canonical table beside its own; the last are folder names.
+PARSED = table("value STRING, reason STRING, status STRING")
+SLICE = table("source STRING")
+
 # Tables of the landing job.
 LANDED = {"streaming": MERGE_DATA, "merge_data": MERGE_DATA, "merged_rejects": table("value STRING, reason STRING")}
 

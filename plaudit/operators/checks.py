@@ -38,21 +38,21 @@ def primary_key_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def derived_key_report(per_review: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """The same before the tables are written: those of one row per review are taken from one pass over the reviews;
-    ``tables`` are the others."""
-    alike = [name for name in PRIMARY_KEYS if name not in tables]
-    pairs = F.create_map(*[c for name in alike for c in (F.lit(name), F.col(PRIMARY_KEYS[name]))])
+    ``tables`` are the others. Tables with the same rows and key are counted once and reported each."""
+    alike = {name: PRIMARY_KEYS[name] for name in PRIMARY_KEYS if name not in tables}
+    pairs = F.create_map(*[c for key in dict.fromkeys(alike.values()) for c in (F.lit(key), F.col(key))])
     keys = reduce(DataFrame.unionByName, [
         per_review.select(F.explode(pairs).alias("table_name", "key")),
         *[rows.select(F.lit(name).alias("table_name"), F.col(PRIMARY_KEYS[name]).alias("key"))
           for name, rows in tables.items()]])
-    return _keys_summed(keys, [*alike, *tables])
+    return _keys_summed(keys, [*alike, *tables], alike)
 
 
-def _keys_summed(keys: DataFrame, names: list[str]) -> DataFrame:
+def _keys_summed(keys: DataFrame, names: list[str], counted_as: Mapping[str, str] | None = None) -> DataFrame:
     per_key = keys.groupBy("table_name", "key").agg(F.count(F.lit(1)).alias("n"))
 
     def of(name: str) -> list[Column]:
-        here = F.col("table_name") == name
+        here = F.col("table_name") == (counted_as or {}).get(name, name)
         return [F.lit(name).alias("table_name"),
                 F.coalesce(F.sum(F.when(here, F.col("n"))), F.lit(0)).alias("n_rows"),
                 F.coalesce(F.sum(F.when(here & F.col("key").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),

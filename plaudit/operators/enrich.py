@@ -18,6 +18,14 @@ def merge_reviews(reviews: DataFrame, items: DataFrame) -> DataFrame:
     return reviews.join(items, "parent_product_id", "inner").select(*MERGE.fieldNames())
 
 
+def lanes_of(reviews: DataFrame, items: DataFrame, lanes: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``lane``: a review is in one, by a hash of what it says, an item in all. Joined by product and lane
+    they give the same rows, and a hot product is spread over all lanes, also where no shuffle could split it."""
+    lane = F.pmod(F.xxhash64("user_id", "product_id", "review_text"), F.lit(lanes)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))
+    return reviews.withColumn("lane", lane), items.withColumn("lane", every)
+
+
 def add_ids(merged: DataFrame) -> DataFrame:
     """Review and time ids from the row's content, store and category ids from their names."""
     content = [
@@ -59,6 +67,17 @@ def dedup_reviews(rows: DataFrame) -> DataFrame:
     return keep_first(rows, ["review_id"], [F.col("source")])
 
 
+def without_copies(rows: DataFrame) -> DataFrame:
+    """The same where few ids repeat: ids are counted by themselves, and only rows of repeated ones are ranked.
+
+    ``rows`` is read twice, so it should be a stored table; the columns of rows that have no copy are not shuffled unless
+    so many ids repeat that Spark will not broadcast them.
+    """
+    repeated = rows.groupBy("review_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("review_id")
+    return rows.join(repeated, "review_id", "left_anti").unionByName(
+        dedup_reviews(rows.join(repeated, "review_id", "left_semi")))
+
+
 def latest_items(items: DataFrame, version: Column) -> DataFrame:
     """The newest version of each item, for a join that must not fan out."""
     return keep_first(items, ["parent_product_id"], [version.desc()])

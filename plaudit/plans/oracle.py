@@ -277,6 +277,10 @@ ORACLE: dict[str, str] = {
     "path_routing": f"SELECT 'reviews' AS entity, COUNT(*) AS n_lines FROM {_SALES} "
                     "UNION ALL SELECT 'metadata', COUNT(*) FROM part",
     "merge_batch_inner": _with(_MERGE, "SELECT * FROM merged"),
+    "merge_bucketed": _with(_MERGE, "SELECT * FROM merged"),
+    "catalog_years": _with(_MERGE, "SELECT CAST(year(\"timestamp\") AS INTEGER) AS review_year, category, "
+                           "COUNT(*) AS total_reviews, COUNT(*) FILTER (verified_purchase) AS bought FROM merged "
+                           "WHERE year(\"timestamp\") BETWEEN 1995 AND 1996 GROUP BY 1, 2"),
     "merge_from_lines": _with(_LINES, "SELECT * FROM merged"),
     "merge_fans_out": _with(_MERGE, "SELECT * FROM merged UNION ALL SELECT * FROM merged"),
     "merge_data_ids": _with(_IDS, "SELECT * FROM merge_data"),
@@ -324,6 +328,11 @@ ORACLE: dict[str, str] = {
     "wire_roundtrip": _with(_MERGE, "SELECT *, CAST(NULL AS VARCHAR) AS reason FROM merged UNION ALL SELECT "
                             + ", ".join("NULL" for _ in MERGE.fields) + ", 'unknown_schema' FROM merged "
                             "WHERE helpful_vote = 7"),
+    "wire_versions": _with(_MERGE, f"""SELECT *, CAST(NULL AS VARCHAR) AS reason FROM merged WHERE helpful_vote <= 2
+        UNION ALL SELECT * REPLACE (NULL AS helpful_vote, NULL AS brand), NULL FROM merged WHERE helpful_vote IN (3, 4)
+        UNION ALL SELECT * REPLACE (NULL AS verified_purchase), NULL FROM merged WHERE helpful_vote = 5
+        UNION ALL SELECT {", ".join("NULL" for _ in MERGE.fields)}, CASE helpful_vote WHEN 6 THEN 'incompatible_schema'
+            ELSE 'unknown_schema' END FROM merged WHERE helpful_vote >= 6"""),
     "cdc_envelope_parse": f"WITH c AS ({_CHANGES}) SELECT * EXCLUDE (\"value\") FROM c",
     "cdc_rejects": f"WITH c AS ({_CHANGES}) SELECT topic, \"partition\", \"offset\", \"value\", reason "
                    "FROM c WHERE reason IS NOT NULL",

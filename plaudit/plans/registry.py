@@ -20,7 +20,7 @@ from plaudit.plans import batch, gold, partials, silver
 from plaudit.session import in_utc, scratch_path
 from plaudit.sources import lake, starschema
 from plaudit.sources.lines import is_item_file, read_lines
-from plaudit.streaming import changes, codec, jobs, replay
+from plaudit.streaming import changes, codec, jobs, replay, versions
 
 LOADED_AT = "2024-01-01 00:00:00"
 STREAMS = StreamConfig(trigger=None, state_buckets=256, state_partitions=8)
@@ -137,6 +137,23 @@ def dedup_reviews(spark, sf_dir):
     return enrich.dedup_reviews(union_batch_stream(spark, sf_dir))
 
 
+def merge_bucketed(spark, sf_dir):
+    """The join over tables stored in buckets of product and lane: no shuffle, and no bucket has all of a hot product."""
+    path, lanes = scratch_path(spark, "bucketed"), 4
+    sides = enrich.lanes_of(starschema.reviews(spark, sf_dir), starschema.items(spark, sf_dir), lanes)
+    tables = []
+    for kind, rows in zip(("reviews", "items"), sides):
+        name = f"{kind}_{path[-32:]}"
+        lake.write_bucketed(rows, name, f"{path}/{kind}", ["parent_product_id", "lane"], 16)
+        tables.append(spark.table(name))
+    reviews, items = tables
+    joined = reviews.join(items, ["parent_product_id", "lane"]).select(*MERGE.fieldNames())
+    joined.schema  # resolved with its buckets; the entries can go, the files stay
+    for kind in ("reviews", "items"):
+        spark.sql(f"DROP TABLE {kind}_{path[-32:]}")
+    return joined
+
+
 def latest_items(spark, sf_dir):
     """Two versions per item; the newer one wins."""
     items = starschema.items(spark, sf_dir)
@@ -262,19 +279,29 @@ def top_stores(spark, sf_dir):
     return gold.top_stores(gold.mart_store_performance(merge(spark, sf_dir)), 10)
 
 
-def catalog_sql(spark, sf_dir):
-    """Free SQL over the canonical table through the catalog."""
+def _by_catalog(spark, sf_dir, sql: str) -> DataFrame:
+    """SQL over the canonical table, laid out by year, through the catalog, which keeps the entry: it has the partitions."""
     path = scratch_path(spark, "catalog")
     columns = ["category", "timestamp", "user_id", "helpful_vote", "verified_purchase"]
-    write_table(merge(spark, sf_dir).select(*columns), path, LakeConfig(root=path))
+    lake.write_by_year(merge(spark, sf_dir).select(*columns), path, LakeConfig(root=path))
     name = "merge_data_" + path[-32:]
     lake.register_table(spark, name, path)
-    rows = spark.sql(f"""
-        SELECT category, year(timestamp) AS review_year, count(*) AS total_reviews,
+    return spark.sql(sql.format(table=name))
+
+
+def catalog_sql(spark, sf_dir):
+    """Free SQL over the canonical table through the catalog."""
+    return _by_catalog(spark, sf_dir, """
+        SELECT category, review_year, count(*) AS total_reviews,
                count(DISTINCT user_id) AS total_users, max(helpful_vote) AS most_votes
-        FROM {name} WHERE verified_purchase GROUP BY category, year(timestamp)""")
-    spark.sql(f"DROP TABLE {name}")  # the entry, not the files, which the result goes on reading
-    return rows
+        FROM {table} WHERE verified_purchase GROUP BY category, review_year""")
+
+
+def catalog_years(spark, sf_dir):
+    """SQL over some years of it, which opens the files of these years alone."""
+    return _by_catalog(spark, sf_dir, """
+        SELECT review_year, category, count(*) AS total_reviews, count_if(verified_purchase) AS bought
+        FROM {table} WHERE review_year BETWEEN 1995 AND 1996 GROUP BY review_year, category""")
 
 
 # --- scalar functions ----------------------------------------------------------------------------
@@ -304,6 +331,35 @@ def wire_roundtrip(spark, sf_dir):
     return codec.decode(messages, STREAMS).select(*MERGE.fieldNames(), "reason")
 
 
+def _other_versions() -> dict[int, dict]:
+    """Records as others write them: before some fields were there, with one field more, and one that cannot be read."""
+    current = codec.record_schema()
+    fields = {f["name"]: f for f in current["fields"]}
+    older = [fields[n] for n in fields if n not in ("rating", "helpful_vote", "brand")]
+    newer = [f for n, f in fields.items() if n != "verified_purchase"]
+    return {
+        1: current,
+        2: {**current, "fields": [{"name": "rating", "type": "int"}, *older]},
+        3: {**current, "fields": [*newer, {"name": "helpful_share", "type": "double"}]},
+        4: {**current, "fields": [f for n, f in fields.items() if n != "review_title"]},
+    }
+
+
+def wire_versions(spark, sf_dir):
+    """Frames of four schema versions, which a table of schemas tells, and of an unknown one, read by the current schema."""
+    config = LakeConfig(root=scratch_path(spark, "versions"))
+    for schema_id, schema in _other_versions().items():
+        versions.register_schema(spark, config, STREAMS.merged_topic, schema_id, schema)
+    known = versions.read_schemas(spark, config, STREAMS.merged_topic)
+    rows = merge(spark, sf_dir).withColumn("helpful_share", F.col("helpful_vote") / 7)
+    parts = {1: "helpful_vote <= 2", 2: "helpful_vote IN (3, 4)", 3: "helpful_vote = 5", 4: "helpful_vote = 6",
+             99: "helpful_vote = 7"}
+    messages = reduce(DataFrame.unionByName, [
+        codec.encode(rows.where(part), replace(STREAMS, schema_id=schema_id), known.get(schema_id))
+        for schema_id, part in parts.items()])
+    return codec.decode(messages, STREAMS, known).select(*MERGE.fieldNames(), "reason")
+
+
 # --- change streams --------------------------------------------------------------------------------
 
 def cdc_envelope_parse(spark, sf_dir):
@@ -489,6 +545,7 @@ _QUERIES: dict[str, Query] = {
     "merge_batch_inner": merge,
     "merge_from_lines": merge_from_lines,
     "merge_fans_out": merge_fans_out,
+    "merge_bucketed": merge_bucketed,
     "merge_data_ids": merge_data,
     "uuid7_ids": uuid7_ids,
     "review_preview": review_preview,
@@ -516,10 +573,12 @@ _QUERIES: dict[str, Query] = {
     "verified_counts": verified_counts,
     "distinct_products": distinct_products,
     "catalog_sql": catalog_sql,
+    "catalog_years": catalog_years,
     "historical_store_mart": historical_store_mart,
     "epoch_millis_ts": epoch_millis_ts,
     "event_props": event_props,
     "wire_roundtrip": wire_roundtrip,
+    "wire_versions": wire_versions,
     "cdc_envelope_parse": cdc_envelope_parse,
     "cdc_rejects": cdc_rejects,
     "stream_merge": stream_merge,

@@ -7,22 +7,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plaudit.config import LakeConfig
-from plaudit.contracts import MERGE, MERGE_DATA, METADATA, REVIEWS
+from plaudit.contracts import MERGE, MERGE_DATA, METADATA, PARSED, REVIEWS, SLICE
 from plaudit.operators.slices import read_slices
 from plaudit.sources.files import folders
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", contract: StructType | None = None) -> DataFrame:
+    """With its contract a table's files are not opened to learn their schema; Delta knows its own."""
+    reader = spark.read.format(fmt)
+    return (reader.schema(contract) if contract and fmt != "delta" else reader).load(path)
 
 
 def read_parsed(spark: SparkSession, path: str, contract: StructType, fmt: str = "parquet") -> DataFrame:
     """The accepted rows; the partition filter keeps rejected files from being opened."""
-    return read_table(spark, path, fmt).where("status = 'valid'").select(*contract.fieldNames())
+    return read_table(spark, path, fmt, _with_columns(contract, PARSED)).where("status = 'valid'").select(
+        *contract.fieldNames())
+
+
+def _with_columns(contract: StructType, more: StructType) -> StructType:
+    return StructType(contract.fields + more.fields)
 
 
 def read_rejected(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return read_table(spark, path, fmt).where("status = 'rejected'").select("value", "reason")
+    return read_table(spark, path, fmt, PARSED).where("status = 'rejected'").select("value", "reason")
 
 
 def read_reviews(spark: SparkSession, config: LakeConfig) -> DataFrame:
@@ -35,7 +42,7 @@ def read_items(spark: SparkSession, config: LakeConfig) -> DataFrame:
 
 def read_published(spark: SparkSession, config: LakeConfig) -> DataFrame:
     """Each review of the canonical table once."""
-    return read_table(spark, config.published, config.table_format)
+    return read_table(spark, config.published, config.table_format, _with_columns(MERGE_DATA, SLICE))
 
 
 def read_merge_data(spark: SparkSession, config: LakeConfig) -> DataFrame:
@@ -46,7 +53,7 @@ def read_merge_data(spark: SparkSession, config: LakeConfig) -> DataFrame:
             batch = spark.read.schema(MERGE_DATA).format(config.table_format).load(f"{config.merge_data}/source=batch")
             rows = rows.unionByName(batch.select(*MERGE_DATA.fieldNames(), F.lit("batch").alias("source")))
         return rows
-    table = read_table(spark, config.merge_data, config.table_format)
+    table = read_table(spark, config.merge_data, config.table_format, _with_columns(MERGE_DATA, SLICE))
     return table.select(*MERGE_DATA.fieldNames(), "source")
 
 
@@ -60,6 +67,24 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def write_bucketed(rows: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> None:
+    """A catalog table in buckets of the keys, one sorted file for each: two tables with the same buckets are joined on the
+    keys without a shuffle."""
+    (
+        rows.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+        .option("path", path).mode("overwrite").saveAsTable(name)
+    )
+
+
+def write_by_year(rows: DataFrame, path: str, config: LakeConfig) -> None:
+    """In folders by year of the review, so that a query over some years opens no others. Each task holds one file a year
+    open, as ``spark.sql.maxConcurrentOutputFileWriters`` allows, or sorts its rows by it."""
+    (
+        rows.withColumn("review_year", F.year("timestamp")).write.format(config.table_format)
+        .option("maxRecordsPerFile", config.max_records_per_file).partitionBy("review_year").mode("overwrite").save(path)
+    )
+
+
 def read_merge(spark: SparkSession, config: LakeConfig) -> DataFrame:
     """Historical reviews joined with items, before ids; a view of the canonical table, not a copy."""
     rows = read_merge_data(spark, config).where("source = 'batch'")

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from plaudit.config import LakeConfig
-from plaudit.operators import enrich
+from plaudit.contracts import PRIMARY_KEYS
+from plaudit.operators import checks, enrich
 from plaudit.operators.sinks import write_merge_data
-from plaudit.plans import gold, registry, silver
+from plaudit.plans import gold, partials, registry, silver
 from plaudit.session import scratch_path, tune
 from plaudit.sources import lake
 
@@ -57,7 +58,7 @@ def test_no_python_workers_in_results(spark, sf_dir, name):
     if name in ("stream_merge", "stream_to_lake", "historical_store_mart", "cdc_archive", "cdc_rejects",
                 "path_routing", "catalog_sql", "merge_rejects", "raw_tables_landed", "key_report_both_paths", "replay_merge",
                 "merge_after_relayout", "expired_reviews", "landing_dedup", "compacted_merge_data",
-                "current_items"):
+                "current_items", "catalog_years"):
         pytest.skip("writes first; what it returns is a file scan")
     text = plan(registry.QUERIES[name](spark, sf_dir))
     assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
@@ -71,8 +72,63 @@ def test_key_reports_read_and_shuffle_little(spark, sf_dir, name, scans, shuffle
     assert "Join" not in text
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    yield spark
+    spark.conf.unset(key)
+
+
+def test_bucketed_join_has_no_shuffle(no_broadcast, sf_dir):
+    text = plan(registry.merge_bucketed(no_broadcast, sf_dir))
+    assert "SortMergeJoin [parent_product_id" in text and "Exchange" not in text and "SelectedBucketsCount: 16 out of 16" in text
+
+
+def test_years_are_partitions(spark, sf_dir):
+    text = plan(registry.catalog_years(spark, sf_dir))
+    filters = re.search(r"PartitionFilters: \[(.*?)\],", text).group(1)
+    assert "review_year" in filters and "1995" in filters and "1996" in filters
+
+
+def test_publish_shuffles_ids_and_copies_alone(spark, stored):
+    """No row that has no copy is sorted or moved: its side of the join is the scan itself."""
+    once = stored.where("source = 'batch'")
+    text = plan(enrich.without_copies(once))
+    assert text.count("LeftAnti") == 1 and "BroadcastHashJoin [review_id" in text
+    kept = enrich.without_copies(once.unionByName(once.where("helpful_vote = 1").withColumn("source", F.lit("stream"))))
+    assert kept.count() == once.count() and {r.source for r in kept.select("source").distinct().collect()} == {"batch"}
+    twice = once.unionByName(once)
+    assert enrich.without_copies(twice).count() == once.count()
+
+
+def test_a_key_of_several_tables_is_counted_once(stored):
+    """Three tables with the key review_id, and one with time_id: two rows a review."""
+    others = {n: stored for n, key in PRIMARY_KEYS.items() if key not in ("review_id", "time_id")}
+    report = checks.derived_key_report(stored, others)
+    generated = report._jdf.queryExecution().analyzed().toString()
+    (pairs,) = re.findall(r"explode\(map\((.*?)\)\)", generated)
+    assert re.sub(r"#\d+", "", pairs) == "time_id, time_id, review_id, review_id"
+    assert {r.table_name: r.repeated_keys for r in report.collect()}["mart_reviews"] == 0
+
+
+def test_marts_of_partials_do_not_read_reviews(spark, sf_dir, stored):
+    config = LakeConfig(root=scratch_path(spark, "partials-test"))
+    schemas = partials.schemas_of(stored)
+    for number, part in enumerate(["helpful_vote < 3", "helpful_vote >= 3"]):
+        assert partials.add_slice(config, number, stored.where(part))
+    assert not partials.add_slice(config, 1, stored)  # a slice counts once
+    marts = partials.marts(partials.stored(spark, config, schemas))
+    for name, rows in marts.items():
+        assert all("/partials/" in f for f in rows.inputFiles()) and "merge_data" not in plan(rows)
+        assert rows.exceptAll(getattr(gold, name)(stored)).count() == 0 and rows.count() == getattr(gold, name)(stored).count()
+    partials.fold(spark, config, schemas)
+    folded = partials.marts(partials.stored(spark, config, schemas))
+    assert all(folded[name].exceptAll(marts[name]).count() == 0 for name in marts)
+
+
 def test_json_is_parsed_once(spark, sf_dir):
-    for name in ("silver_reviews", "silver_metadata", "raw_reviews_flatten", "raw_items_flatten", "wire_roundtrip"):
+    for name in ("silver_reviews", "silver_metadata", "raw_reviews_flatten", "raw_items_flatten", "wire_roundtrip"):  # one parse for each schema version
         assert plan(registry.QUERIES[name](spark, sf_dir)).count("from_json") == 1, name
 
 

@@ -1,0 +1,80 @@
+"""A change log applied to a table, against a dictionary."""
+
+import json
+import random
+
+import pytest
+from test_streaming import CONFIG, item, write
+
+from plaudit.config import LakeConfig
+from plaudit.contracts import METADATA
+from plaudit.operators.upsert import apply_changes, read_current
+from plaudit.session import scratch_path
+from plaudit.sources.files import folders
+from plaudit.streaming import jobs
+from plaudit.streaming.changes import item_changes
+from plaudit.streaming.messages import MESSAGE
+
+
+def delete(key, ts, offset):
+    return (CONFIG.items_topic, 0, offset, json.dumps({"op": "d", "before": {"parent_asin": key}, "ts_ms": ts}).encode(), None)
+
+
+@pytest.fixture
+def lake(spark):
+    return LakeConfig(root=scratch_path(spark, "upsert-test"), table_partitions=8)
+
+
+def applied(spark, lake, messages):
+    changes = item_changes(spark.createDataFrame(messages, MESSAGE), CONFIG).where("reason IS NULL").drop("value", "reason")
+    apply_changes(changes, lake.current_items, METADATA, "parent_product_id", lake)
+    return {r.parent_product_id: r.product_title for r in read_current(spark, lake.current_items, METADATA).collect()}
+
+
+def test_random_changes(spark, lake):
+    """Deliveries that come again, out of order, with deletes and keys that come back; one key has a third of all changes."""
+    rng, log, want = random.Random(5), [], {}
+    for offset in range(120):
+        key = "hot" if rng.random() < 1 / 3 else f"k{rng.randrange(20)}"
+        message = delete(key, offset // 3, offset) if rng.random() < 0.25 else (
+            CONFIG.items_topic, 0, offset, item(key, f"t{offset}", offset // 3)[3], None)
+        log.append((key, message))
+    assert read_current(spark, lake.current_items, METADATA).count() == 0
+    for part in (log[40:80], log[:40], log[60:120]):
+        got = applied(spark, lake, [m for _, m in part])
+    for key, message in log:
+        after = json.loads(message[3]).get("after")
+        if after:
+            want[key] = after["title"]
+        else:
+            want.pop(key, None)
+    assert got == want
+    assert applied(spark, lake, [m for _, m in log]) == want
+
+
+def test_other_partitions_keep_their_files(spark, lake):
+    first = [(CONFIG.items_topic, 0, k, item(f"k{k}", "a", 1)[3], None) for k in range(60)]
+    applied(spark, lake, first)
+
+    def files():
+        return {part: folders(spark, f"{lake.current_items}/{part}", files=True)
+                for part in folders(spark, lake.current_items)}
+
+    before = files()
+    assert len(before) == 8
+    got = applied(spark, lake, [(CONFIG.items_topic, 0, 99, item("k7", "b", 2)[3], None)])
+    changed = {part for part, names in files().items() if names != before[part]}
+    assert len(changed) == 1 and got["k7"] == "b" and len(got) == 60
+    applied(spark, lake, [])
+    assert {part for part, names in files().items() if names != before[part]} == changed
+
+
+def test_what_breaks_the_contract_goes_to_quarantine(spark, lake):
+    noise = [(CONFIG.items_topic, 0, 1, b"junk", None), (CONFIG.items_topic, 0, 2, None, None),
+             item("bad", "t", 1, price="NaN"), item("fine", "t", 1), (CONFIG.reviews_topic, 0, 3, b"{}", None),
+             (CONFIG.items_topic, 0, 4, b'{"op":"d","before":{},"after":null,"ts_ms":3}', None)]
+    write(spark, noise, f"{lake.root}/feed/0")
+    jobs.start_current_items(spark, lake, CONFIG, f"{lake.root}/feed").awaitTermination()
+    assert [r.parent_product_id for r in read_current(spark, lake.current_items, METADATA).collect()] == ["fine"]
+    bad = spark.read.parquet(lake.path("quarantine", "items"))
+    assert sorted(r.reason for r in bad.collect()) == ["bad_type:price", "corrupt_json", "missing_required:parent_asin"]

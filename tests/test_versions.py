@@ -1,0 +1,96 @@
+"""The table of schemas, and what a reader makes of other writers' records."""
+
+import json
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+from test_streaming import CONFIG, _merged
+
+from plaudit.config import LakeConfig
+from plaudit.session import scratch_path
+from plaudit.streaming import codec, versions
+from plaudit.streaming.versions import Incompatible, Source, resolve
+
+
+def record(**types):
+    return {"type": "record", "name": "R", "fields": [
+        {"name": n, "type": t[0], "default": t[1]} if isinstance(t, tuple) else {"name": n, "type": t}
+        for n, t in types.items()]}
+
+
+@pytest.mark.parametrize("writer, reader", [
+    ("int", "int"), ("int", "long"), ("int", "float"), ("int", "double"), ("long", "float"), ("long", "double"),
+    ("float", "double"), (["null", "int"], "double"), ("int", ["null", "long"]), (["int", "null"], ["null", "int"]),
+    ({"type": "array", "items": "string"}, {"type": "array", "items": "string"}),
+])
+def test_readable(writer, reader):
+    assert resolve(record(a=writer), record(a=reader)) == {"a": Source(True)}
+
+
+@pytest.mark.parametrize("writer, reader", [
+    ("long", "int"), ("double", "float"), ("float", "long"), ("string", "int"), ("boolean", "int"), (["null", "string"], "int"),
+    ({"type": "array", "items": "string"}, "string"), (["null", "int", "string"], "int"),
+])
+def test_not_readable(writer, reader):
+    with pytest.raises(Incompatible):
+        resolve(record(a=writer), record(a=reader))
+
+
+def test_fields_by_name():
+    found = resolve(record(b="int", gone="string", a="string"), record(a="string", b="long", new=(["null", "int"], None),
+                                                                      word=("string", "none")))
+    assert found == {"a": Source(True), "b": Source(True), "new": Source(False, None), "word": Source(False, "none")}
+    with pytest.raises(Incompatible, match="has no default"):
+        resolve(record(a="int"), record(a="int", b="int"))
+
+
+def test_table_of_schemas(spark):
+    lake = LakeConfig(root=scratch_path(spark, "schemas"))
+    with pytest.raises(ValueError, match="no schema"):
+        versions.latest_schema(spark, lake, "t")
+    for schema_id, schema in {7: record(a="int"), 9: record(a="long"), 12: record(a="double", b="int")}.items():
+        versions.register_schema(spark, lake, "t", schema_id, schema)
+        versions.register_schema(spark, lake, "t", schema_id, schema)
+    assert versions.read_schemas(spark, lake, "t") == {7: record(a="int"), 9: record(a="long"),
+                                                      12: record(a="double", b="int")}
+    assert versions.latest_schema(spark, lake, "t") == (12, record(a="double", b="int"))
+    assert versions.read_schemas(spark, lake, "u") == {}
+    with pytest.raises(ValueError, match="another one"):
+        versions.register_schema(spark, lake, "t", 9, record(a="int"))
+
+
+def framed(schema_id, body):
+    return b"\x00" + schema_id.to_bytes(4, "big") + json.dumps(body).encode()
+
+
+def test_frames_are_read_by_their_own_version(spark):
+    """Each with its own types: a fraction is no int of version 2, and version 3's null has no place in a required field."""
+    current = codec.record_schema()
+    fields = {f["name"]: f for f in current["fields"]}
+    required = ["review_title", "review_text", "product_id", "parent_product_id", "user_id", "category", "product_title"]
+    second = {**current, "fields": [{"name": "rating", "type": "int"}, *[fields[n] for n in required]]}
+    third = {**current, "fields": [{"name": "rating", "type": ["null", "float"]}, *[fields[n] for n in required],
+                                   {"name": "more", "type": "string"}]}
+    own = dict.fromkeys(required, "x")
+    rows = [framed(1, {**own, "rating": 1.5}), framed(2, {**own, "rating": 2}), framed(2, {**own, "rating": 2.5}),
+            framed(3, {**own, "rating": 3.5, "more": "y"}), framed(3, {**own, "rating": None}), framed(4, own), b"\x00"]
+    frame = spark.createDataFrame([(f.decode("latin-1").encode(),) for f in rows], "value BINARY")
+    decoded = codec.decode(frame, CONFIG, {1: current, 2: second, 3: third, 4: record(a="int")}).collect()
+    assert [(r.rating, r.reason) for r in decoded] == [
+        (1.5, None), (2.0, None), (None, "bad_type:rating"), (3.5, None), (None, "missing_required:rating"),
+        (None, "incompatible_schema"), (None, "bad_frame")]
+    assert all(r.brand is None and r.helpful_vote is None for r in decoded)
+
+
+def test_another_writer_round_trip(spark):
+    """A record of more and other fields, read as the current one."""
+    schema = codec.record_schema()
+    wider = {**schema, "fields": [*schema["fields"], {"name": "n", "type": "long"}]}
+    rows = _merged(spark, 2)
+    values = codec.encode(rows.withColumn("n", F.lit(5)), replace(CONFIG, schema_id=8), wider)
+    decoded = codec.decode(values, CONFIG, {1: schema, 8: wider}).collect()
+    names = rows.columns
+    assert [r.reason for r in decoded] == [None] * 2
+    assert sorted(tuple(r[n] for n in names) for r in decoded) == sorted(tuple(r) for r in rows.collect())
+    assert [r.reason for r in codec.decode(values, CONFIG).collect()] == ["unknown_schema"] * 2
