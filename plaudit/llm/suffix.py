@@ -4,9 +4,9 @@ Every window of `length` bytes belongs to the class of its anchor, the smallest
 windows have equal anchors. Consecutive windows of one class form a slice of text. A count-min sketch sorts out the
 classes that occur once. Equal slices (by 128 bits of hash) are counted before anything is shuffled by key: all their
 windows repeat. Of a class with several different slices one copy of each is sent to a task, where a suffix array to the depth
-of `length` is built over about a megabyte of such slices by prefix doubling. Suffixes with that much in common stand in
-text order, so the previous smaller position of a suffix, which gives its longest previous factor, is its
-neighbour; one with a neighbour at either side occurs elsewhere.
+of `length` is built over about a megabyte of such slices by prefix doubling. The nearest smaller positions before and after
+a suffix in that order give its longest previous factor, the nearest larger ones its longest next factor; a place
+whose factor has `length` bytes begins a string that occurs elsewhere.
 
 A class with more than `most` bytes of different slices is not gathered in a task: its slices are dealt anew by anchors of
 another hash, with smaller groups of bytes, and if need be once more; in the last round the anchor is the
@@ -20,6 +20,7 @@ with or without an id; with keep="first" the copy with the smallest id is the fi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -129,40 +130,91 @@ def _redealt(rows: DataFrame, length: int, round: int) -> DataFrame:
     return rows.mapInArrow(run, SLICES)
 
 
-def suffix_order(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places where `depth` bytes of a row begin, in the order of these bytes and then of place, and whether each has
-    them in common with the one before it (the longest common prefix reaches `depth`)."""
+class Suffixes(NamedTuple):
+    """Suffixes that have `depth` bytes of their row, in the order of these bytes and then of place."""
+
+    order: np.ndarray
+    ranks: list[tuple[int, np.ndarray]]  # by length: numbers of the strings of that length at each place, in their order
+    words: np.ndarray  # the eight bytes at each place, beyond the row too
+    depth: int
+
+
+def suffix_array(data: np.ndarray, offsets: np.ndarray, depth: int) -> Suffixes:
+    """By prefix doubling up to `depth`, over all rows at once."""
     size = len(data)
     ends = np.repeat(offsets[1:], np.diff(offsets))
     padded = np.zeros(size + 8, np.uint64)
     padded[:size] = data
-    rank = np.zeros(size, np.uint64)
+    words = np.zeros(size, np.uint64)
     for k in range(8):  # bytes beyond the row do not matter: only strings within it are taken at the end
-        rank = rank << U64(8) | padded[k:k + size]
-    reach = 8
-    if depth < 8:
-        rank, reach = rank >> U64(8 * (8 - depth)), depth
-    _, rank = np.unique(rank, return_inverse=True)
+        words = words << U64(8) | padded[k:k + size]
+    reach = min(8, depth)
+    _, rank = np.unique(words >> U64(8 * (8 - reach)), return_inverse=True)
+    ranks = [(reach, rank)]
     while reach < depth:
         step = min(reach, depth - reach)
         after = np.zeros(size, np.int64)
-        after[:size - step] = rank[step:] + 1
+        after[:max(0, size - step)] = rank[step:] + 1
         _, rank = np.unique(rank * np.int64(size + 1) + after, return_inverse=True)
         reach += step
+        ranks.append((reach, rank))
     places = np.flatnonzero(np.arange(size) + depth <= ends)
-    order = places[np.argsort(rank[places], kind="stable")]
-    same = np.r_[False, rank[order][1:] == rank[order][:-1]][:len(order)]
-    return order, same
-
-
-def factors(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Longest previous and next factors, cut off at `depth`: whether the `depth` bytes at a place also stand at an
-    earlier place, and whether at a later one."""
-    order, same = suffix_order(data, offsets, depth)
-    previous, following = np.zeros(len(data), bool), np.zeros(len(data), bool)
-    previous[order[same]] = True
-    following[order[:-1][same[1:]]] = True
-    return previous, following
+    return Suffixes(places[np.argsort(rank[places], kind="stable")], ranks, words, depth)
+
+
+def smaller_before(values: np.ndarray) -> np.ndarray:
+    """For each entry the nearest one before it that is smaller, or -1.
+
+    All entries jump at once: one that is not smaller points to an entry before it, with none but larger ones between, so
+    what it points to may be taken over, also while that is still on its way. Each step doubles the reach.
+    """
+    found = np.arange(-1, len(values) - 1)
+    active = np.arange(len(values))
+    while len(active):
+        at = found[active]
+        active = active[(at >= 0) & (values[at] >= values[active])]
+        found[active] = found[found[active]]
+    return found
+
+
+def common_prefix(suffixes: Suffixes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bytes that the strings at two places have in common, `depth` at most, by the numbers of ever shorter strings."""
+    common = np.zeros(len(a), np.int64)
+    size = len(suffixes.words)
+    for length, rank in reversed(suffixes.ranks):
+        more = common + length <= suffixes.depth
+        x, y = (np.minimum(p + common, size - 1) for p in (a, b))
+        common += np.where(more & (rank[x] == rank[y]), length, 0)
+    x, y = (suffixes.words[np.minimum(p + common, size - 1)] for p in (a, b))
+    apart = x ^ y
+    for k in range(7, 0, -1):  # whole bytes alike, of the eight that are next
+        alike = apart >> U64(8 * (8 - k)) == 0
+        common = np.where(alike, common + k, common)
+        apart = np.where(alike, U64(1) << U64(63), apart)
+    return np.minimum(common, suffixes.depth)
+
+
+def factors(data: np.ndarray, offsets: np.ndarray, depth: int, following: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Longest previous and longest next factor at each place, up to `depth`: how many bytes from there on also stand at an
+    earlier place, and at a later one. Places with less than `depth` bytes of their row have 0, as have all next factors
+    unless they are asked for.
+
+    Of all earlier suffixes the two that are nearest in suffix order share most with a suffix: the nearest smaller position
+    before it, and after it. For later ones these are the nearest larger positions.
+    """
+    suffixes = suffix_array(data, offsets, depth)
+    order = suffixes.order
+
+    def longest(values: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(data), np.int64)
+        for way in (slice(None), slice(None, None, -1)):
+            own = order[way]
+            near = smaller_before(values[way])
+            has = np.flatnonzero(near >= 0)
+            found[own[has]] = np.maximum(found[own[has]], common_prefix(suffixes, own[has], own[near[has]]))
+        return found
+
+    return longest(order), longest(-order) if following else np.zeros(len(data), np.int64)
 
 
 RESULT = SLICES + ", stop int"
@@ -174,8 +226,8 @@ def _searched(length: int, most: int, first: bool):
 
     def spans(rows: pa.Table) -> pa.RecordBatch | None:
         data, offsets = bytes_of(rows["slice"].combine_chunks().cast(pa.large_binary()))
-        previous, following = factors(data, offsets, length)
-        found = previous if first else previous | following
+        previous, following = factors(data, offsets, length, not first)
+        found = np.maximum(previous, following) >= length
         steps = np.zeros(len(data) + 1, np.int32)
         at = np.flatnonzero(found)
         steps[at] += 1
