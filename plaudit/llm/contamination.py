@@ -5,25 +5,34 @@ pattern is a single word). For each pattern length a shift table says how far th
 bucket table lists the patterns that end with a block, and the words of a candidate are compared one by one.
 The search starts at every place that the largest shift would reach, all of them at once in numpy.
 
-The patterns are broadcast in blocks of items with about `block_bytes` of text each; more items make more
-blocks, which are searched one after another in the same pass over the documents.
+Items are cut into runs of `run_windows` windows at most, so that a long item is several runs, and the runs are dealt into
+blocks of about `block_bytes` of text. One block at a time is broadcast and searched; the hits are written before the next
+is broadcast, so that a task holds the tables of one block however large the benchmark is. A benchmark of one block is
+searched in the pass that also gives the result.
 
 Null and wordless texts have no words and no hits; items without an id or without words have no windows. Items that share
-an id count as one, repeated items are taken once. Repeated documents are judged each.
+an id count as one, repeated items are taken once. Repeated documents are judged each; those with one text have the same hits.
+A window that stands several times, or in several items, counts for each; there are no ties to break. Texts are searched
+whole, however long. No documents give no rows, no items no hits. Other columns are passed on within `doc`, whatever their names.
 """
 
 from __future__ import annotations
 
+import string
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plaudit.llm.rows import packed, with_columns
+from plaudit.llm.rows import packed, stored, with_columns
 from plaudit.llm.text import ALNUM, FOLD, U64, window_hashes, word_hashes, words_of
 
 TABLE = 1 << 18
+#: What words are parted by, after A-Z have been lower-cased.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPACED = np.where(ALNUM[FOLD], FOLD, 32).astype(np.uint8).tobytes()
 
 
@@ -122,28 +131,53 @@ def _search(patterns, name: str):
     return work
 
 
+def runs_of(items: DataFrame, window: int, run_windows: int) -> DataFrame:
+    """(item, text) of runs of words that hold all windows of the items, each window in one of them."""
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    words = items.select("item", F.array_remove(F.split(lower, BETWEEN), "").alias("words"))
+    places = F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)), F.lit(run_windows))
+    return words.select("item", "words", F.explode(places).alias("at")).select("item", F.array_join(
+        F.slice("words", F.col("at") + 1, run_windows + window - 1), " ").alias("text")).where("text <> ''").distinct()
+
+
 def searched(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id",
              item_text: str = "text", window: int = 13, carry: list[str] | None = None,
-             block_bytes: int = 8 << 20) -> DataFrame:
+             block_bytes: int = 8 << 20, run_windows: int = 4096) -> DataFrame:
     """Every row of `docs` as `doc` with n_words, n_hit, n_items, items (sorted ids) and `hits`: by item, the stretches
     of words that its windows cover."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text")).dropna().distinct()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-size // block_bytes))
+    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text")).dropna()
+    runs = stored(runs_of(items, window, run_windows), "benchmark-runs")
+    size = runs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(max(1, -(-size // block_bytes))))
+    blocks = [r.block for r in runs.select(block.alias("block")).distinct().orderBy("block").collect()]
     rows = packed(docs, [id, text, *(carry or [])])
-    names = [f"_hits{k}" for k in range(n_blocks)]
-    for k, name in enumerate(names):
-        block = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k)
-        chosen = sorted((r["item"], r["text"]) for r in block.collect())  # about block_bytes
-        rows = with_columns(rows, f"{name} {HIT}",
-                            _search(spark.sparkContext.broadcast(patterns_of(chosen, window)), name), text)
+
+    def found_in(rows: DataFrame, number: int) -> tuple[DataFrame, Broadcast]:
+        chosen = sorted((r["item"], r["text"]) for r in runs.filter(block == number).collect())  # about block_bytes
+        patterns = spark.sparkContext.broadcast(patterns_of(chosen, window))
+        return with_columns(rows, f"found {HIT}", _search(patterns, "found"), text), patterns
+
+    if not blocks:
+        rows = rows.withColumn("found", F.array().cast(HIT))
+    elif len(blocks) == 1:
+        rows, _ = found_in(rows, blocks[0])
+    else:
+        own = F.col("doc").getField(text)
+        keyed = rows.withColumns({"k1": F.xxhash64(own), "k2": F.xxhash64(F.lit(1), own)})
+        hits = []
+        for number in blocks:
+            found, patterns = found_in(keyed, number)
+            hits.append(stored(found.select("k1", "k2", F.explode("found").alias("hit")).distinct(), "hits"))
+            patterns.unpersist()
+        of_text = reduce(DataFrame.union, hits).distinct().groupBy("k1", "k2").agg(F.collect_list("hit").alias("found"))
+        rows = keyed.join(of_text, ["k1", "k2"], "left").select(
+            "doc", F.coalesce("found", F.array().cast(HIT)).alias("found"))
 
     def summed(batch: pa.RecordBatch, texts: pa.Array) -> dict[str, pa.Array]:
         n_words = np.diff(words_of(texts, ALNUM, fold=True).first)
         n_hit, owners, hits = np.zeros(len(texts), np.int64), [], []
-        for i, found in enumerate(zip(*(batch.column(n).to_pylist() for n in names), strict=True)):
-            own = [h for part in found for h in part]
+        for i, own in enumerate(batch.column("found").to_pylist()):
             if own:
                 flags = np.zeros(n_words[i], bool)
                 for h in own:
@@ -155,6 +189,4 @@ def searched(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
                 "n_items": pa.array([len(x) for x in owners], pa.int64()), "hits": pa.array(hits, HITS)}
 
     return with_columns(rows, f"n_words long, n_hit long, items array<string>, n_items long, hits {HIT}",
-                        summed, text).drop(*names)
-
-
+                        summed, text).drop("found")
