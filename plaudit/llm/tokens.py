@@ -11,6 +11,7 @@ Null counts as empty. Repeated rows are counted each, ids are not looked at.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -51,6 +52,19 @@ def cut(text: str, limit: int = PIECE_CHARS) -> list[str]:
     return [*parts, text[at:]]
 
 
+def batches(parts: list[str], limit: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+    """Stretches of parts with `limit` bytes of UTF-8 at most, or one longer part."""
+    at = size = 0
+    for k, part in enumerate(parts):
+        own = len(part.encode())
+        if k > at and size + own > limit:
+            yield at, k
+            at, size = k, 0
+        size += own
+    if parts:
+        yield at, len(parts)
+
+
 def counted(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "text",
             carry: list[str] | None = None) -> DataFrame:
     """Every row of `docs` as `doc` with the bytes and tokens of its whole text."""
@@ -65,13 +79,9 @@ def counted(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "t
             parts += own
             owner += [i] * len(own)
         n_tokens = np.zeros(len(whole), np.int64)
-        at = size = 0
-        for k, part in enumerate(parts):
-            size += len(part)
-            if size >= BATCH_BYTES or k == len(parts) - 1:
-                lengths = [len(x) for x in model.encode(parts[at:k + 1], num_threads=1)]
-                np.add.at(n_tokens, owner[at:k + 1], lengths)
-                at, size = k + 1, 0
+        for at, to in batches(parts):
+            lengths = [len(x) for x in model.encode(parts[at:to], num_threads=1)]
+            np.add.at(n_tokens, owner[at:to], lengths)
         return {"n_bytes": pa.array(n_bytes), "n_tokens": pa.array(n_tokens)}
 
     return with_columns(packed(docs, [id, text, *(carry or [])]), "n_bytes long, n_tokens long", work, text)

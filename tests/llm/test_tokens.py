@@ -42,6 +42,15 @@ def test_cuts_are_safe(pieces, parts):
     assert sum(len(pieces.encode(p)) for p in tokens.cut(text, 5)) == len(pieces.encode(text))
 
 
+@given(st.lists(st.sampled_from(["", "a", "日本語", "x" * 30, "é" * 20, "😀" * 9]), max_size=30))
+def test_batches_are_balanced_by_bytes(parts):
+    found = list(tokens.batches(parts, 40))
+    assert [k for at, to in found for k in range(at, to)] == list(range(len(parts)))
+    sizes = [sum(len(p.encode()) for p in parts[at:to]) for at, to in found]
+    assert all(size <= 40 or to == at + 1 for size, (at, to) in zip(sizes, found))
+    assert all(size + len(parts[to].encode()) > 40 for size, (_, to) in zip(sizes, found[:-1]))
+
+
 @given(st.lists(st.sampled_from(["It's", "word", " ", "\n", "É", "ß", "12", "½", "!?", "<|endoftext|>", "<|", "é",
                                  "Σ", "İ", "日本", "\x85", "\x1c", "''s", "ª", "ſ", "ŉ"]), max_size=40))
 @settings(max_examples=200, deadline=None)
