@@ -69,8 +69,8 @@ def _distance(p: str, q: str, size: int) -> str:
     def part(x: str, y: str) -> str:
         return f"CASE WHEN {x}[i] > 0 THEN {x}[i] * log2(2 * {x}[i] / ({x}[i] + {y}[i])) ELSE 0.0 END"
 
-    return (f"sqrt(greatest(list_sum(list_transform(range(1, {size + 1}), "
-            f"lambda i: ({part(p, q)} + {part(q, p)}) / 2)), 0.0))")
+    return (f"CASE WHEN {p} IS NOT NULL AND {q} IS NOT NULL THEN sqrt(greatest(list_sum(list_transform("
+            f"range(1, {size + 1}), lambda i: ({part(p, q)} + {part(q, p)}) / 2)), 0.0)) END")
 
 
 _COMMON = " ".join(f"WHEN lang = '{name}' THEN {_listed(words)}" for name, words in COMMON.items())

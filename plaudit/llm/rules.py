@@ -123,13 +123,14 @@ def _shares(counts: Column) -> Column:
 
 
 def distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance of two arrays of shares."""
+    """Jensen-Shannon distance of two arrays of shares; null without one of them."""
 
     def part(x: Column, y: Column) -> Column:
         return F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(F.lit(0.0))
 
     terms = F.zip_with(p, q, lambda x, y: (part(x, y) + part(y, x)) / 2)
-    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
+    found = F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
+    return F.when(p.isNotNull() & q.isNotNull(), found)  # greatest() would pass over a null
 
 
 def judged(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", least_chars: int = 300,

@@ -3,7 +3,10 @@
 from collections import Counter
 
 import brute
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from plaudit.llm import contamination, rules, simhash, substring, suffix
@@ -56,6 +59,23 @@ def test_contamination(spark, docs, corpus, block_bytes):
     assert contamination.searched(docs, bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
 
 
+def test_a_long_item_is_several_runs(spark, docs, corpus):
+    """Every window is in one run, and no run is longer than asked for; blocks are searched one at a time."""
+    long_one = next(t for i, t in corpus if i == 17)
+    bench = spark.createDataFrame([(1, long_one), (2, "a b"), (3, "")], "item_id long, text string")
+    runs = contamination.runs_of(bench.selectExpr("cast(item_id as string) item", "text"), 13, 100).collect()
+    windows = Counter()
+    for r in runs:
+        words = r.text.split()
+        assert len(words) <= 112
+        windows.update((r.item, tuple(words[k:k + 13])) for k in range(max(1, len(words) - 12)))
+    words = brute.PLAIN.findall(brute.lower(long_one))
+    assert windows == Counter({**{("1", tuple(words[k:k + 13])): 1 for k in range(len(words) - 12)}, ("2", ("a", "b")): 1})
+    rows = contamination.searched(docs, bench, block_bytes=9000, run_windows=1000)
+    got = rows_of(rows.select(DOC_ID, "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256), contaminated()))
+    assert got == Counter(brute.contamination(corpus, [(1, long_one), (2, "a b")]))
+
+
 def test_contamination_spans(spark, docs):
     bench = spark.createDataFrame([(1, "w1 w2 w3")], "item_id long, text string")
     row = contamination.searched(docs, bench).filter("doc.doc_id = 24").first()
@@ -92,6 +112,29 @@ def test_suffix(docs, corpus, keep, length, most):
     assert got == Counter(brute.suffix(rows, length, keep))
 
 
+@given(st.lists(st.text("ab", max_size=30), min_size=1, max_size=6), st.integers(1, 20))
+@settings(max_examples=200, deadline=None)
+def test_factors(texts, depth):
+    """Longest previous and next factors against a comparison of all places."""
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)])
+    strings = {offsets[r] + k: t[k:k + depth] for r, t in enumerate(texts) for k in range(len(t) - depth + 1)}
+
+    def longest(at, others):
+        return max((next((k for k in range(depth) if strings[at][k] != strings[o][k]), depth) for o in others), default=0)
+
+    want = [([longest(a, [o for o in strings if o < a]), longest(a, [o for o in strings if o > a])] if a in strings else [0, 0])
+            for a in range(len(data))]
+    previous, following = suffix.factors(data, offsets, depth)
+    assert np.stack([previous, following], 1).tolist() == want
+    assert not suffix.factors(data, offsets, depth, following=False)[1].any()
+
+
+@given(st.lists(st.integers(0, 9), max_size=60))
+def test_smaller_before(values):
+    want = [max((j for j in range(i) if values[j] < v), default=-1) for i, v in enumerate(values)]
+    assert suffix.smaller_before(np.array(values, np.int64)).tolist() == want
+
+
 def test_suffix_of_nothing(nothing):
     assert suffix.without_repeats(nothing).count() == 0
     with pytest.raises(ValueError):
@@ -112,6 +155,16 @@ def test_rules_divergence(spark):
     far = F.array(*[F.lit(x) for x in (0.0, 0.0, 1.0)])
     row = spark.range(1).select(rules.distance(same, same).alias("a"), rules.distance(same, far).alias("b")).first()
     assert (row.a, row.b) == (0.0, 1.0)
+    none = F.lit(None).cast("array<double>")
+    row = spark.range(1).select(rules.distance(same, none).alias("a"), rules.distance(none, same).alias("b")).first()
+    assert (row.a, row.b) == (None, None)
+
+
+def test_short_texts_are_not_judged(docs, corpus):
+    """Null, not zero, below the least lengths and without a word list."""
+    rows = {r.doc_id: r for r in rules.judged(docs).collect()}
+    assert rows[9].char_distance is None and rows[9].word_distance is None
+    assert rows[17].char_distance is not None
 
 
 def test_rules_are_native(docs):
