@@ -4,7 +4,7 @@ Not expressible: learned models (op1, op6, op7), public tokenizers (op3, op8, op
 strings of bytes at any place (op5); tests hold these against brute force.
 """
 
-from plaudit.llm.rules import COMMON, N_CLASSES, forms
+from plaudit.llm.rules import LONGEST, N_CLASSES, N_COMMON
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -57,14 +57,6 @@ def _count(letters: str) -> str:
     return f"length(t) - length(translate(t, '{letters}', ''))"
 
 
-def _listed(words: list[str]) -> str:
-    def quoted(listed: list[str]) -> str:
-        return ", ".join(f"'{w}'" for w in forms(listed))
-
-    each = ", ".join(f"len(list_filter(ws, lambda w: w IN ({quoted([w])})))" for w in words)
-    return f"[{each}, len(list_filter(ws, lambda w: w NOT IN ({quoted(words)})))]"
-
-
 def _distance(p: str, q: str, size: int) -> str:
     def part(x: str, y: str) -> str:
         return f"CASE WHEN {x}[i] > 0 THEN {x}[i] * log2(2 * {x}[i] / ({x}[i] + {y}[i])) ELSE 0.0 END"
@@ -73,17 +65,22 @@ def _distance(p: str, q: str, size: int) -> str:
             f"range(1, {size + 1}), lambda i: ({part(p, q)} + {part(q, p)}) / 2)), 0.0)) END")
 
 
-_COMMON = " ".join(f"WHEN lang = '{name}' THEN {_listed(words)}" for name, words in COMMON.items())
-_N_COMMON = len(COMMON["en"]) + 1
+_N_COMMON = N_COMMON + 1
 _MEAN_P = ", ".join(f"avg(p[{k}])" for k in range(1, N_CLASSES + 1))
 _MEAN_Q = ", ".join(f"avg(q[{k}])" for k in range(1, _N_COMMON + 1))
 
 RULES = f"""
 WITH texts AS (
     SELECT doc_id, lang, coalesce(text, '') AS t, {_WORDS} AS ws,
+           regexp_extract_all(coalesce({_LOWER}, ''), '[^\x20\x09-\x0D]+') AS small,
            list_filter(string_split(coalesce(text, ''), chr(10)),
                        lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
     FROM documents),
+lists AS (
+    SELECT lang, list(word ORDER BY n DESC, encode(word)) AS listed FROM (
+        SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(small) AS word FROM texts)
+        WHERE length(word) <= {LONGEST} AND regexp_matches(word, '\\p{{L}}') GROUP BY lang, word
+        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, encode(word)) <= {N_COMMON}) GROUP BY lang),
 triples AS (
     SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS triple
     FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 1))) AS i FROM texts)),
@@ -93,7 +90,7 @@ repeats AS (
         FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, triple) AS times FROM triples) WHERE times > 1)
     GROUP BY doc_id),
 counts AS (
-    SELECT doc_id, lang, len(ws) AS n_words,
+    SELECT doc_id, texts.lang, len(ws) AS n_words,
            CAST(coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
            {_count("#*$%&|<>")} AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
            coalesce(n, 0) AS n_repeat_words, length(t) AS n_chars,
@@ -101,12 +98,13 @@ counts AS (
             length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')), {_count("0123456789")},
             length(t) - length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')), {_count("#*$%&|<>")},
             {_count(".,;:!?'" + '"()-')}] AS known,
-           CASE {_COMMON} END AS common
-    FROM texts LEFT JOIN repeats USING (doc_id)),
+           list_transform(range(1, {N_COMMON + 1}), lambda k: len(list_filter(small, lambda w: w = listed[k]))) AS common
+    FROM texts LEFT JOIN repeats USING (doc_id) LEFT JOIN lists ON texts.lang IS NOT DISTINCT FROM lists.lang),
 shares AS (
     SELECT *, CASE WHEN word_chars >= 300 THEN
                list_transform(list_append(known, CAST(n_chars - list_sum(known) AS BIGINT)), lambda x: x / n_chars) END AS p,
-           CASE WHEN n_words >= 100 THEN list_transform(common, lambda x: x / n_words) END AS q
+           CASE WHEN n_words >= 100 THEN list_transform(
+               list_append(common, CAST(n_words - list_sum(common) AS BIGINT)), lambda x: x / n_words) END AS q
     FROM counts),
 refs AS (SELECT lang, [{_MEAN_P}] AS rp, [{_MEAN_Q}] AS rq FROM shares GROUP BY lang),
 far AS (

@@ -1,37 +1,37 @@
 """Quality rules by distribution divergence, in DataFrame functions only.
 
 A document's shares of character classes, and its shares of the commonest words of its language, are compared
-with a reference of that language by Jensen-Shannon distance (base 2, from 0 to 1). The references are the mean shares over all
+with a reference of that language by Jensen-Shannon distance (base 2, from 0 to 1). The commonest words are counted over all
+texts of the language, capitals A-Z as small letters; of equally common ones the smaller comes first. Words without a letter, and
+those of over 40 characters, are none of them. The references are the mean shares over all
 documents of the language that pass the minimum lengths. A document is judged by characters from `least_chars` word
-characters on, and by words from `least_words` words on and only in a language with a word list; a shorter one, or
-one whose language has no reference, is not judged by that measure. Language null is a language of its own.
+characters on, and by words from `least_words` words on; a shorter one is not judged by that measure. Language null is a
+language of its own.
 
-Null texts have no words. Repeated rows get the same answer each.
+Null and empty texts have no words; texts of any length are measured whole. Repeated rows get the same answer each. No rows
+give none. Only id, text and language are looked at, whatever other columns are called.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import string
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plaudit.llm.rows import checkpointed
 
-#: Fixed values, as patterns: characters by class, and the commonest words by language.
+#: Fixed values, as patterns: characters by class.
 SPACE = r"[\x20\x09-\x0D]"
 LOWER_OR_SPACE = r"[a-z\x20\x09-\x0D\p{Ll}]"
 OTHERS = {"upper": r"\p{Lu}", "digits": "[0-9]", "symbols": "[#*$%&|<>]", "punctuation": r"[.,;:!?'\"()\-]"}
-COMMON = {
-    "en": "the of and to in is that it was for on with".split(),
-    "de": "der die und in den von zu das mit des ein nicht".split(),
-    "fr": "de la le et les des en un du une que pour".split(),
-    "es": "de la que el en y los se del las un por".split(),
-}
 N_CLASSES = 7
+N_COMMON = 13  # words in a language's list
+LONGEST = 40
 
 
-def forms(listed: list[str]) -> list[str]:
-    """A word as it is, with a capital, and in capitals."""
-    return [form for word in listed for form in (word, word.capitalize(), word.upper())]
+def small(text: Column) -> Column:
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
 def _less(text: Column, pattern: str) -> Column:
@@ -78,30 +78,44 @@ def _classes(text: Column, rest: Column, word_chars: Column) -> Column:
         *known, left - sum(known[1:], known[0]), space, word_chars - left)])
 
 
-def _listed(words: Column, listed: list[str]) -> Column:
-    """Each listed word gets a letter; the text of all letters is as much shorter without one as the word is frequent."""
-    letters = "abcdefghijklmnopqrstuvwxyz"[:len(listed)]
-    names = F.array(*[F.lit(word) for word in listed])
-    chosen = F.filter(words, lambda w: w.isin(forms(listed)))
+def common_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """(of, listed): the commonest words of each language, most common first. Words are counted in the tasks before the
+    shuffle, and a task keeps a list's length of each language at most."""
+    words = docs.select(F.col(lang).alias("of"), F.explode(F.split(small(F.col(text)), f"{SPACE}+")).alias("word"))
+    counts = words.where((F.col("word") != "") & (F.char_length("word") <= LONGEST)).groupBy("of", "word").agg(
+        F.count("*").alias("n"))
+    order = Window.partitionBy("of").orderBy(F.desc("n"), "word")
+    counts = counts.where(F.col("word").rlike(r"\p{L}"))
+    top = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= N_COMMON)
+    return top.groupBy("of").agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).getField("word").alias("listed"))
+
+
+def _counted(words: Column, listed: Column) -> Column:
+    """How often each listed word occurs, and all others; null without a list. Each listed word gets a letter; the text of
+    all letters is as much shorter without one as the word is frequent. A short list is filled up with zeros."""
+    letters = "abcdefghijklm"
+    chosen = F.filter(F.transform(words, small), lambda w: F.array_contains(listed, w))
     line = F.array_join(F.transform(chosen, lambda w: F.substring(
-        F.lit(letters), F.array_position(names, F.lower(w)).cast("int"), F.lit(1))), "")
-    return F.transform(F.array(line), lambda x: F.array(
+        F.lit(letters), F.array_position(listed, w).cast("int"), F.lit(1))), "")
+    counts = F.transform(F.array(line), lambda x: F.array(
         *[(F.length(x) - F.length(F.replace(x, F.lit(letter), F.lit("")))).cast("long") for letter in letters],
         (F.size(words) - F.length(x)).cast("long")))[0]
+    return F.when(listed.isNotNull(), counts)
 
 
-def _common(words: Column, lang: Column) -> Column:
-    """How often each word of the language's list occurs, and all other words; null without a list."""
-    out = F.lit(None).cast("array<long>")
-    for name, listed in COMMON.items():
-        out = F.when(lang == name, _listed(words, listed)).otherwise(out)
-    return out
+def _by_language(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Rows with what a table holds for their language, one row for each."""
+    table = checkpointed(table)
+    if table.count() <= 10_000:
+        table = F.broadcast(table)
+    return rows.join(table, F.col("lang").eqNullSafe(F.col("of")), "left").drop("of")
 
 
 def measured(docs: DataFrame, id: str, text: str, lang: str) -> DataFrame:
     """Base counts and the two histograms of every row. What several of them need is made in generators, whose output is
     made once; the words first, then the hashes and what remains of the text."""
     rows = docs.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = _by_language(rows, common_words(docs, text, lang))
     rows = rows.select("*", F.explode(F.array(F.array_remove(F.split("text", f"{SPACE}+"), ""))).alias("words"))
     rows = rows.select("*", F.inline(F.array(F.struct(
         _hashes(F.col("words")).alias("hashes"), _less(F.col("text"), LOWER_OR_SPACE).alias("rest"),
@@ -114,7 +128,7 @@ def measured(docs: DataFrame, id: str, text: str, lang: str) -> DataFrame:
         F.transform(F.array(lines), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))[0]
         .alias("n_dup_lines"),
         _repeated_words(words, F.col("hashes")).alias("n_repeat_words"),
-        _classes(text, rest, word_chars).alias("classes"), _common(words, F.col("lang")).alias("common"))
+        _classes(text, rest, word_chars).alias("classes"), _counted(words, F.col("listed")).alias("common"))
 
 
 def _shares(counts: Column) -> Column:
@@ -141,15 +155,12 @@ def judged(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str =
         "*", F.when(F.col("word_chars") >= least_chars, _shares(F.col("classes"))).alias("p"),
         F.when(F.col("n_words") >= least_words, _shares(F.col("common"))).alias("q")).drop("classes", "common"))
     mean = [F.avg(F.col(c)[k]).alias(f"{c}{k}") for c, n in
-            (("p", N_CLASSES), ("q", len(COMMON["en"]) + 1)) for k in range(n)]
+            (("p", N_CLASSES), ("q", N_COMMON + 1)) for k in range(n)]
     references = rows.groupBy("lang").agg(*mean).select(
         F.col("lang").alias("of"), F.array(*[f"p{k}" for k in range(N_CLASSES)]).alias("rp"),
-        F.array(*[f"q{k}" for k in range(len(COMMON["en"]) + 1)]).alias("rq"))
-    references = checkpointed(references)
-    if references.count() <= 10_000:  # a row for each language
-        references = F.broadcast(references)
+        F.array(*[f"q{k}" for k in range(N_COMMON + 1)]).alias("rq"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return (rows.join(references, F.col("lang").eqNullSafe(F.col("of")), "left")
+    return (_by_language(rows, references)
             .select(F.col("id").alias(id), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     distance(F.col("p"), F.col("rp")).alias("char_distance"),
                     distance(F.col("q"), F.col("rq")).alias("word_distance"), failed.alias("base_failed"))

@@ -160,6 +160,15 @@ def test_rules_divergence(spark):
     assert (row.a, row.b) == (None, None)
 
 
+def test_common_words(spark):
+    """By language, null among them; ties by bytes; no word without a letter, none that is too long."""
+    rows = [(1, "B b a | | | A c", "en"), (2, "z " * 3 + "x" * 41 + " é É", "en"), (3, "- 1 2", "de"), (4, "q", None),
+            (5, None, "fr"), (6, " ".join(f"w{k:02}" for k in range(20)), "es")]
+    found = rules.common_words(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang")
+    got = {r.of: r.listed for r in found.collect()}
+    assert got == {"en": ["z", "a", "b", "c", "É", "é"], None: ["q"], "es": [f"w{k:02}" for k in range(13)]}
+
+
 def test_short_texts_are_not_judged(docs, corpus):
     """Null, not zero, below the least lengths and without a word list."""
     rows = {r.doc_id: r for r in rules.judged(docs).collect()}
