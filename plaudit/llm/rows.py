@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -48,7 +49,15 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Rec
         for at, to in slices(text_of(batch, text)):
             yield batch.slice(at, to - at)
         del batch
-        pa.default_memory_pool().release_unused()  # a worker lives on, and its task's JVM needs the room
+        _give_back()
+
+
+def _give_back() -> None:
+    """Freed memory goes back to the machine: a worker lives on, and its task's JVM needs the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # numpy's memory; only some C libraries have it
+    if trim:
+        trim(0)
 
 
 def durable(spark: SparkSession) -> SparkSession:
