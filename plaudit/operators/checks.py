@@ -26,6 +26,11 @@ def fk_orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return per_key.join(parent.select(key), key, "left_anti")
 
 
+def _digest(key: Column) -> Column:
+    """128 bits that stand for a key in a grouping; ids are 36 characters that no compression of the shuffle shortens."""
+    return F.unhex(F.md5(key.cast("string")))
+
+
 def primary_key_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Per table: rows, null keys and keys that repeat.
 
@@ -49,10 +54,14 @@ def derived_key_report(per_review: DataFrame, tables: Mapping[str, DataFrame]) -
 
 
 def _keys_summed(keys: DataFrame, names: list[str], counted_as: Mapping[str, str] | None = None) -> DataFrame:
-    per_key = keys.groupBy("table_name", "key").agg(F.count(F.lit(1)).alias("n"))
+    alike = counted_as or {}
+    codes = {name: number for number, name in enumerate(dict.fromkeys(alike.get(name, name) for name in names))}
+    coded = F.element_at(F.create_map(*[F.lit(x) for pair in codes.items() for x in pair]), F.col("table_name"))
+    per_key = keys.select(coded.alias("table"), _digest(F.col("key")).alias("key")).groupBy("table", "key").agg(
+        F.count(F.lit(1)).alias("n"))
 
     def of(name: str) -> list[Column]:
-        here = F.col("table_name") == (counted_as or {}).get(name, name)
+        here = F.col("table") == codes[alike.get(name, name)]
         return [F.lit(name).alias("table_name"),
                 F.coalesce(F.sum(F.when(here, F.col("n"))), F.lit(0)).alias("n_rows"),
                 F.coalesce(F.sum(F.when(here & F.col("key").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
@@ -70,17 +79,18 @@ def foreign_key_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     def named(child: str, key: str, parent: str) -> str:
         return f"{child}.{key} -> {parent}"
 
+    codes = {named(*fk): F.lit(number) for number, fk in enumerate(FOREIGN_KEYS)}
     parts = []
     for child in dict.fromkeys(c for c, _, _ in FOREIGN_KEYS):
-        pairs = F.create_map(*[x for c, k, p in FOREIGN_KEYS if c == child for x in (F.lit(named(c, k, p)), F.col(k))])
-        parts.append(tables[child].select(F.explode(pairs).alias("constraint_name", "key"), F.lit(1).alias("n"))
+        pairs = F.create_map(*[x for c, k, p in FOREIGN_KEYS if c == child for x in (codes[named(c, k, p)], _digest(F.col(k)))])
+        parts.append(tables[child].select(F.explode(pairs).alias("fk", "key"), F.lit(1).alias("n"))
                      .where(F.col("key").isNotNull()))
-    parts += [tables[p].select(F.lit(named(c, k, p)).alias("constraint_name"), F.col(k).alias("key"), F.lit(0).alias("n"))
+    parts += [tables[p].select(codes[named(c, k, p)].alias("fk"), _digest(F.col(k)).alias("key"), F.lit(0).alias("n"))
               for c, k, p in FOREIGN_KEYS]
-    per_key = reduce(DataFrame.unionByName, parts).groupBy("constraint_name", "key").agg(
+    per_key = reduce(DataFrame.unionByName, parts).groupBy("fk", "key").agg(
         F.sum("n").alias("n"), F.min("n").alias("parent"))
     orphans = [F.struct(F.lit(named(*fk)).alias("constraint_name"), F.coalesce(F.sum(F.when(
-        (F.col("constraint_name") == named(*fk)) & (F.col("parent") == 1), F.col("n"))), F.lit(0)).alias("orphan_rows"))
+        (F.col("fk") == codes[named(*fk)]) & (F.col("parent") == 1), F.col("n"))), F.lit(0)).alias("orphan_rows"))
         for fk in FOREIGN_KEYS]
     return per_key.agg(F.array(*orphans).alias("r")).select(F.inline("r"))
 
