@@ -1,0 +1,92 @@
+"""What is written and shuffled stays small, and the state of a merge is reached in chunks."""
+
+import os
+
+import pandas as pd
+from plaudit.config import LakeConfig
+from plaudit.operators import checks, enrich
+from plaudit.operators.sinks import write_table
+from plaudit.plans import registry
+from plaudit.sources.starschema import deliver
+from plaudit.streaming import processor
+
+
+def _names(folder):
+    return [name for _, _, names in os.walk(folder) for name in names if name.startswith("part-")]
+
+
+def test_raw_files_are_packed_and_bounded(spark, tmp_path, monkeypatch):
+    lines = spark.range(600_000, numPartitions=1).selectExpr("concat('{\"a\":', id, '}') AS value")
+    monkeypatch.setattr(registry.starschema, "review_lines", lambda *_: lines)
+    monkeypatch.setattr(registry.starschema, "item_lines", lambda *_: lines.limit(1))
+    registry._write_raw(spark, "", str(tmp_path))
+    names = _names(f"{tmp_path}/bronze/raw/reviews")
+    assert len(names) == 3 and all(name.endswith(".gz") for name in names)
+    assert spark.read.text(f"{tmp_path}/bronze/raw/reviews").count() == 600_000
+
+
+def test_tables_and_feed_are_packed(spark, tmp_path):
+    write_table(spark.range(3).toDF("id"), f"{tmp_path}/t", LakeConfig(root=str(tmp_path)))
+    message = spark.sql("SELECT 't' AS topic, 0 AS partition, 0L AS offset, CAST('v' AS BINARY) AS value, "
+                        "CAST(NULL AS TIMESTAMP) AS timestamp")
+    deliver(message, f"{tmp_path}/feed", "0")
+    names = _names(tmp_path)
+    assert len(names) >= 2 and all("zstd" in name for name in names)
+
+
+def test_ids_are_counted_by_hash(spark, monkeypatch):
+    """Also where so many repeat that all rows are ranked at once; rows without an id are no copies."""
+    rows = spark.createDataFrame(
+        [("a", "stream"), ("a", "batch"), ("b", "stream"), ("b", "stream"), ("c", "batch"), (None, "batch"), (None, "batch")],
+        "review_id STRING, source STRING")
+    expected = [("a", "batch"), ("b", "stream"), ("c", "batch"), ("null", "batch"), ("null", "batch")]
+    for few in (500_000, 1):
+        monkeypatch.setattr(enrich, "FEW_COPIES", few, raising=False)
+        found = enrich.without_copies(rows)
+        assert sorted((r.review_id or "null", r.source) for r in found.collect()) == expected
+        assert found.columns == rows.columns
+    monkeypatch.setattr(enrich, "FEW_COPIES", 500_000, raising=False)
+    plan = enrich.without_copies(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64(review_id" in plan
+
+
+def test_reports_group_digests(spark):
+    one = spark.sql("SELECT 'r' AS review_id, 't' AS time_id, 'p' AS product_id")
+    tables = {name: one for name in ("dim_time", "dim_reviews", "dim_products", "fact_reviews")}
+    for report in (checks.primary_key_report(tables), checks.foreign_key_report(tables)):
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        keys = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert keys and all("table_name" not in line and "constraint_name" not in line for line in keys)
+
+
+class _State(dict):
+    """State of one group; counts how often it is asked."""
+
+    calls = 0
+
+    def exists(self):
+        return bool(self)
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+
+def test_beyond_a_chunk_state_is_reached_in_chunks():
+    logic = processor.MergeProcessor(None, 100)
+    logic._heads, logic._waiting, logic._items, logic._dealt = _State(), _State(), _State(), _State()
+    logic._items.updateValue = None  # texts of single versions are not stored
+    items = [(f"P{n}", 1, 0, f"m{n}") for n in range(500)]
+    reviews = [(f"P{n % 600}", 2, processor.REVIEW, f"r{n}") for n in range(1200)]
+    frames = [pd.DataFrame((items + reviews)[at:at + 50], columns=["parent_asin", "ts_ms", "rank", "payload"])
+              for at in range(0, 1700, 50)]
+    pairs = {(r.review, r.item) for out in logic.handleInputRows((0,), iter(frames), None) for r in out.itertuples()}
+    assert pairs == {(f"r{n}", f"m{n % 600}") for n in range(1200) if n % 600 < 500}
+    assert logic._heads.calls == 0 and not logic._dealt
+    assert sum(len(found[0]) for found in logic._waiting.values()) == 200
