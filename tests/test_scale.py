@@ -7,8 +7,10 @@ from plaudit.config import LakeConfig
 from plaudit.operators import checks, enrich
 from plaudit.operators.sinks import write_table
 from plaudit.plans import registry
+from plaudit.plans.registry import STREAMS
 from plaudit.sources.starschema import deliver
-from plaudit.streaming import processor
+from plaudit.streaming import jobs, processor
+from plaudit.streaming.messages import MESSAGE
 
 
 def _names(folder):
@@ -90,3 +92,28 @@ def test_beyond_a_chunk_state_is_reached_in_chunks():
     assert pairs == {(f"r{n}", f"m{n % 600}") for n in range(1200) if n % 600 < 500}
     assert logic._heads.calls == 0 and not logic._dealt
     assert sum(len(found[0]) for found in logic._waiting.values()) == 200
+
+
+def test_a_feed_has_files_of_bounded_length(spark, tmp_path):
+    messages = spark.range(600_000, numPartitions=1).selectExpr(
+        "'t' AS topic", "0 AS partition", "id AS offset", "CAST('v' AS BINARY) AS value", "CAST(NULL AS TIMESTAMP) AS timestamp")
+    deliver(messages, f"{tmp_path}/feed", "0")
+    assert len(_names(f"{tmp_path}/feed")) == 3
+    assert spark.read.parquet(f"{tmp_path}/feed/0").select("offset").distinct().count() == 600_000
+
+
+def test_text_of_good_changes_is_not_kept(spark, tmp_path, monkeypatch):
+    def change(key, title):
+        return ('{"op":"c","before":null,"after":{"main_category":"c","title":%s,"price":1.5,"store":"s","brand":"b",'
+                '"material":null,"style":null,"color":null,"parent_asin":"%s"},"ts_ms":1}' % (title, key))
+
+    rows = [(STREAMS.items_topic, 0, n, bytearray(change(*c).encode()), None)
+            for n, c in enumerate([("P1", '"t"'), ("P2", "null")])]
+    deliver(spark.createDataFrame(rows, MESSAGE), f"{tmp_path}/feed", "0")
+    seen = []
+    monkeypatch.setattr(jobs, "apply_changes", lambda good, *_: seen.extend(good.select("parent_product_id", "value").collect()))
+    config = LakeConfig(root=str(tmp_path / "lake"))
+    jobs.start_current_items(spark, config, STREAMS, f"{tmp_path}/feed").awaitTermination()
+    assert [tuple(r) for r in seen] == [("P1", None)]
+    bad = spark.read.parquet(f"{config.path('quarantine', 'items')}/batch_id=0").collect()
+    assert [r.value for r in bad] == [change("P2", "null")]
