@@ -4,6 +4,7 @@ import os
 
 import pandas as pd
 from plaudit.config import LakeConfig
+from plaudit.contracts import MERGE_DATA
 from plaudit.operators import checks, enrich
 from plaudit.operators.sinks import write_table
 from plaudit.plans import registry
@@ -117,3 +118,22 @@ def test_text_of_good_changes_is_not_kept(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in seen] == [("P1", None)]
     bad = spark.read.parquet(f"{config.path('quarantine', 'items')}/batch_id=0").collect()
     assert [r.value for r in bad] == [change("P2", "null")]
+
+
+def test_ids_of_landed_rows_are_made_once(spark, sf_dir, tmp_path, monkeypatch):
+    plans, write = [], jobs.write_merge_data
+
+    def written(rows, *rest):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        write(rows, *rest)
+
+    monkeypatch.setattr(jobs, "write_merge_data", written)
+    config, feed = LakeConfig(root=str(tmp_path / "lake")), f"{tmp_path}/feed"
+    merged = registry.merge(spark, sf_dir).limit(50)
+    registry._deliver_merged(merged, feed, "0")
+    jobs.start_landing(spark, config, STREAMS, feed).awaitTermination()
+    assert len(plans) == 1 and "md5" not in plans[0]
+    columns = MERGE_DATA.fieldNames()
+    landed = spark.read.parquet(config.merge_data).select(*columns)
+    streamed = spark.read.parquet(config.streaming).select(*columns)
+    assert landed.count() == 50 and landed.exceptAll(streamed).isEmpty() and streamed.exceptAll(landed).isEmpty()
