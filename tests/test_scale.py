@@ -1,17 +1,24 @@
 """What is written and shuffled stays small, and the state of a merge is reached in chunks."""
 
 import os
+import re
 
 import pandas as pd
 from plaudit.config import LakeConfig
-from plaudit.contracts import MERGE_DATA
+from plaudit.contracts import MERGE, MERGE_DATA
+from plaudit.functions import wire
+from plaudit.functions.documents import typed
 from plaudit.operators import checks, enrich
 from plaudit.operators.sinks import write_table
+from plaudit.operators.validate import accepted
 from plaudit.plans import registry
 from plaudit.plans.registry import STREAMS
 from plaudit.sources.starschema import deliver
-from plaudit.streaming import jobs, processor
+from plaudit.streaming import codec, jobs, processor
+from plaudit.streaming.merge import merged_rows
 from plaudit.streaming.messages import MESSAGE
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _names(folder):
@@ -137,3 +144,37 @@ def test_ids_of_landed_rows_are_made_once(spark, sf_dir, tmp_path, monkeypatch):
     landed = spark.read.parquet(config.merge_data).select(*columns)
     streamed = spark.read.parquet(config.streaming).select(*columns)
     assert landed.count() == 50 and landed.exceptAll(streamed).isEmpty() and streamed.exceptAll(landed).isEmpty()
+
+
+def _largest_method(rows):
+    text = rows.sparkSession._jvm.org.apache.spark.sql.execution.debug.package.codegenString(
+        rows._jdf.queryExecution().executedPlan())
+    return max(int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text))
+
+
+def test_typing_and_decoding_are_compiled(spark, tmp_path):
+    """The JVM only interprets methods of more than 8,000 bytes."""
+    spark.sql("SELECT '{}' AS review, '{}' AS item").write.parquet(f"{tmp_path}/pairs")
+    spark.sql("SELECT CAST('v' AS BINARY) AS value").write.parquet(f"{tmp_path}/wire")
+    pairs = merged_rows(spark.read.parquet(f"{tmp_path}/pairs"))
+    assert _largest_method(accepted(pairs, MERGE)) < 8_000
+    messages = spark.read.parquet(f"{tmp_path}/wire")
+    for known in (None, registry._other_versions()):
+        decoded = codec.decode(messages, STREAMS, known).select(*MERGE.fieldNames(), "reason")
+        assert _largest_method(decoded) < 8_000
+
+
+def test_carrier_of_plain_and_other_text(spark):
+    texts = ["", "abc", "\x00\x7f", "caf\xe9 \xff", "\u0100", "a\u20acb", "\U0001f600"]
+    rows = [(t.encode(),) for t in texts] + [(b"a\xff",), (b"\xc3",), (None,)]
+    got = spark.createDataFrame(rows, "value BINARY").select(wire.from_carrier(F.col("value")).alias("v"))
+    latin = [t.encode("latin-1") if max(t, default="") <= "\xff" else None for t in texts]
+    assert [r.v and bytes(r.v) for r in got.collect()] == [b and bytes(b) for b in latin] + [None] * 3
+
+
+def test_kinds_of_numbers(spark):
+    texts = ["1", "1.5", "1e300", "9223372036854775808", '"1"', "true", "null", "[1]", '{"a":1}', None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING").select(F.try_parse_json("t").alias("v"))
+    got = rows.select(typed(F.col("v"), T.DoubleType()).alias("d"), typed(F.col("v"), T.TimestampType()).alias("at"))
+    assert [r.d for r in got.collect()] == [1.0, 1.5, 1e300, 9223372036854775808.0, *[None] * 6]
+    assert [r.at is not None for r in got.collect()] == [True, True, False, False, True, *[False] * 5]
