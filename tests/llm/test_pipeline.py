@@ -92,5 +92,5 @@ def test_sql(spark, name):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in LLM_QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in LLM_QUERIES}
     assert set(LLM_QUERIES) <= set(driver.queries()) and set(LLM_ORACLE) <= set(driver.oracle_sql())
