@@ -192,7 +192,11 @@ def _tokenized(id: str, text: str, path: str, size: int, pairs: list):
             docs = pa.compute.struct_field(batch.column("doc"), id).cast(pa.int64())
             whole = [ids_of(t or "") + closing for t in text_of(batch, text).to_pylist()]
             ends = np.cumsum([0, *map(len, whole)]) // 4
-            narrow = np.frombuffer(b"".join(whole), np.uint8).reshape(-1, 4)[:, :size].tobytes()
+            wide = b"".join(whole)
+            if size == 2:
+                narrow = np.frombuffer(wide, "<u4").astype("<u2").tobytes()
+            else:
+                narrow = np.frombuffer(wide, np.uint8).reshape(-1, 4)[:, :size].tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cuts(docs, np.asarray(batch.column("tie"), np.int64))), docs, batch.column("tie"),
                  pa.array(np.diff(ends)), pa.array([narrow[a * size:b * size] for a, b in zip(ends, ends[1:])], pa.binary())],

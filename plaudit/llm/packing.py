@@ -17,7 +17,7 @@ import re
 import struct
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import islice
 
@@ -30,7 +30,7 @@ from plaudit.llm.rows import packed, text_of, text_slices
 
 LENGTH = 2048
 CLOSING = 1  # the id after each document
-KNOWN = 300_000  # words whose ids a worker remembers
+KNOWN = 500_000  # words whose ids a worker remembers
 
 
 def _byte_letters() -> dict[int, str]:
@@ -43,6 +43,19 @@ def _byte_letters() -> dict[int, str]:
 BYTES = _byte_letters()
 
 
+class _Known(dict):
+    """Ids of words, found when a word is first asked for; all are forgotten when they are too many."""
+
+    def __init__(self, found: Callable[[str], bytes]) -> None:
+        self.found = found
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= KNOWN:
+            self.clear()
+        ids = self[word] = self.found(word)
+        return ids
+
+
 class WordIds:
     """Ids of whole texts. Words are looked up one by one where that is the same as asking the library for the text:
     in Latin script, where its normalisation and its word pattern are plain, and without its special strings."""
@@ -50,32 +63,31 @@ class WordIds:
     #: The tokenizer's word pattern, over lower-case Latin text.
     LETTERS = "".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == "L" and c == c.lower())
     DIGITS = "".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == "N")
-    PATTERN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^ \t\n\r{LETTERS}{DIGITS}]+")
+    PATTERN = re.compile(f"[{LETTERS}]+|[{DIGITS}]|'s|'t|'re|'ve|'m|'ll|'d|[^ \t\n\r{LETTERS}{DIGITS}]+")
     FOREIGN = re.compile("[^\t\n\r\x20-\x7e\xa1-įı-ſ]|<\\|")
+    ASCII_PATTERN = re.compile("[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^ \t\n\ra-z0-9]+")
+    PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F)])  # ASCII that is not foreign
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self._word)
 
     def _word(self, word: str) -> bytes:
         """Ids of one word, which is what is left to do once the text has been normalised and split."""
-        found = self.model.tokenize(word.encode().decode("latin-1").translate(BYTES))
+        if not (word.isascii() and word.isalnum()):  # these bytes print, so they are their own letters
+            word = word.encode().decode("latin-1").translate(BYTES)
+        found = self.model.tokenize(word)
         return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
     def __call__(self, text: str) -> bytes:
-        if self.FOREIGN.search(text):
+        ascii = text.isascii()
+        if "<|" in text or text.encode().translate(None, self.PLAIN) if ascii else self.FOREIGN.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = self.PATTERN.findall(text.lower())
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        known = self.known
-        for word in set(words):
-            if word not in known:
-                known[word] = self._word(word)
-        return b"".join([known[w] for w in words])
+        pattern = self.ASCII_PATTERN if ascii else self.PATTERN
+        return b"".join(map(self.known.__getitem__, pattern.findall(text.lower())))
 
 
 @lru_cache(2)

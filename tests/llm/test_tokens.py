@@ -60,6 +60,14 @@ def test_word_ids(words, parts):
     assert got == words.encode(text, add_special_tokens=False).ids
 
 
+def test_known_words_are_bounded_within_a_text(words, monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN", 10)
+    ids_of = packing.WordIds(tokenizer("word_bpe_49k.json"))
+    for text in (" ".join(f"{a}{b}'s ..{a}" for a in "abcdef" for b in "uvwxyz"), "é à ç ü ö ñ å " * 3 + "à'll don't O'RE"):
+        assert np.frombuffer(ids_of(text), "<u4").tolist() == words.encode(text, add_special_tokens=False).ids
+        assert len(ids_of.known) <= 10
+
+
 @given(st.lists(st.integers(1, 40), min_size=1, max_size=80), st.integers(1, 8))
 @settings(max_examples=200, deadline=None)
 def test_first_fit_decreasing(lengths, least_cut):
