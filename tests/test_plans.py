@@ -53,6 +53,19 @@ def test_dedup_ranks_before_the_shuffle(stored):
     assert text.count("WindowGroupLimit") == 2
 
 
+def test_dedup_ranks_both_paths_where_the_join_has_dealt_them(spark, sf_dir):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rows = registry.QUERIES["dedup_reviews"](spark, sf_dir)
+        assert not re.search(r"Exchange hashpartitioning\([^)]*review_id", plan(rows))
+        either = enrich.dedup_reviews(registry.union_batch_stream(spark, sf_dir))
+        assert rows.count() == either.count() > 0 and rows.exceptAll(either).isEmpty()
+    finally:
+        spark.conf.set(key, before)
+
+
 @pytest.mark.parametrize("name", registry.QUERIES)
 def test_no_python_workers_in_results(spark, sf_dir, name):
     if name in ("stream_merge", "stream_to_lake", "historical_store_mart", "cdc_archive", "cdc_rejects",
