@@ -1,0 +1,76 @@
+"""Shuffle files go with the query that wrote them, copies are left out part by part, and broadcasts go by measured size."""
+
+import time
+
+import pytest
+from plaudit.config import LakeConfig
+from plaudit.contracts import MERGE_DATA
+from plaudit.operators import enrich
+from plaudit.operators.sinks import write_merge_data
+from plaudit.plans import batch, registry
+from plaudit.session import RUNTIME, freeing_shuffles, measured_session, scratch_path
+from plaudit.sources import lake, starschema
+from plaudit.streaming.messages import MESSAGE
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def test_the_setting_ends_with_the_step(spark):
+    before = spark.conf.get(CLEANUP)
+    with pytest.raises(ValueError), freeing_shuffles(spark):
+        assert spark.conf.get(CLEANUP) == "true"
+        raise ValueError
+    assert spark.conf.get(CLEANUP) == before and RUNTIME[CLEANUP] == "true"
+
+
+def test_steps_that_are_written_free_their_shuffles(spark, sf_dir, monkeypatch):
+    seen = []
+    write = registry.write_merge_data
+    monkeypatch.setattr(registry, "write_merge_data", lambda rows, *a: seen.append(rows.sparkSession.conf.get(CLEANUP)) or write(rows, *a))
+    spark.conf.set(CLEANUP, "false")
+    try:
+        registry._stored(spark, sf_dir)
+        assert seen == ["true"] and spark.conf.get(CLEANUP) == "false"
+        rows = spark.range(5000).selectExpr("'t' AS topic", "0 AS partition", "id AS offset", "CAST(CAST(id AS STRING) AS BINARY) AS value",
+                                            "CAST(NULL AS TIMESTAMP) AS timestamp").repartition(3, "offset")
+        at = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+        def ours() -> set[str]:
+            return {name for name in at.getAllFiles().mkString("\n").split("\n") if "shuffle_" in name}
+
+        before = ours()
+        starschema.deliver(rows.select(*MESSAGE.fieldNames()), scratch_path(spark, "disk-test"), "0")
+        for _ in range(100):  # they are removed in the background
+            if not (left := ours() - before):
+                break
+            time.sleep(0.1)
+        assert not left
+    finally:
+        spark.conf.set(CLEANUP, RUNTIME[CLEANUP])
+
+
+def test_published_in_parts(spark, monkeypatch):
+    """Where many ids repeat, each part is shuffled and written by itself; rows without an id stay."""
+    monkeypatch.setattr(enrich, "FEW_COPIES", 1)
+    monkeypatch.setattr(enrich, "PART_ROWS", 20)
+    config = LakeConfig(root=scratch_path(spark, "parts-test"))
+    names = [f for f in MERGE_DATA.fieldNames() if f != "review_id"]
+    rows = spark.range(50).selectExpr("IF(id = 49, NULL, CAST(id AS STRING)) AS review_id", *[
+        f"CAST(NULL AS {MERGE_DATA[n].dataType.simpleString()}) AS {n}" for n in names]).select(*MERGE_DATA.fieldNames())
+    for source in ("batch", "stream"):
+        write_merge_data(rows, config, source, 0)
+    stored = lake.read_merge_data(spark, config)
+    assert len(enrich.without_copies_in_parts(stored)) == 5
+    for _ in range(2):  # a second publication takes the place of the first
+        batch.publish(spark, config)
+        found = sorted((r.review_id or "null", r.source) for r in lake.read_published(spark, config).collect())
+        assert found == sorted([(str(k), "batch") for k in range(49)] + [("null", "batch"), ("null", "stream")])
+
+
+def test_parsed_items_are_broadcast_by_measured_size_alone(spark, sf_dir):
+    """Spark's estimate of what was parsed is far too small."""
+    for query in (registry.merge_from_lines, registry.orphan_products):
+        text = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in text and "SortMergeJoin" in text
+    child = measured_session(spark)
+    assert child.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
